@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import cover_dedup, exact_dedup, line_dedup, mixing, packing, quality_rules, sharding, simhash, suffix_dedup
+from . import cover_dedup, exact_dedup, line_dedup, mixing, packing, pii, quality_rules, sharding, simhash, suffix_dedup
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_line_dedup": line_dedup.op3_line_dedup,
         "op4_cover_dedup": cover_dedup.op4_cover_dedup,
+        "op5_pii": pii.op5_pii,
         "op6_quality_rules": quality_rules.op6_quality_rules,
         "op7_sharding": sharding.op7_sharding,
         "op8_mixing": mixing.op8_mixing,
