@@ -9,8 +9,10 @@ entries, whatever the corpus.  Spark counts the histogram, ranks the pieces of e
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -21,49 +23,83 @@ from pyspark.sql import functions as F
 from .common import documents, table
 
 CAPACITY = 2048
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 PIECE = pa.schema(
     [("row", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary()), ("part", pa.int64()), ("at", pa.int64())]
 )
 PIECE_SQL = "row long, doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, part long, at long"
 
-_tokenizers: dict[str, tuple] = {}
+_encoders: dict[str, Encoder] = {}
+#: Latin letters and ASCII punctuation after them.  The tokenizer lower-cases and cuts between the two (an apostrophe may join them).
+SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
-def encoder(path: str):
-    """A function from a text to its ids as little-endian 32-bit bytes.
+class Encoder:
+    """From a text to its ids as little-endian 32-bit bytes.
 
-    The tokenizer drops white space and never joins across it, so that words can be encoded once and remembered; the memory is
-    emptied at ``CACHED_WORDS`` words.
+    The tokenizer drops white space and never joins across it, so that words can be encoded once and remembered, and so can the
+    lower-cased letters and the punctuation of a word.  Both memories are emptied at ``CACHED_WORDS`` entries.
     """
-    if path not in _tokenizers:
+
+    def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    tokenizer, known = _tokenizers[path]
-
-    def learn(words: set[bytes]) -> None:
-        if len(known) + len(words) > CACHED_WORDS:
-            known.clear()
-        new = list(words)
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for word, e in zip(some, tokenizer.encode_batch([w.decode("utf-8", "replace") for w in some], add_special_tokens=False), strict=True):
-                known[word] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(text: str) -> bytes:
-        words = text.encode("utf-8", "replace").split()
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            missing = {w for w in words if w not in known}
-            if len(known) + len(missing) > CACHED_WORDS:
-                missing = set(words)
-            learn(missing)
-            return b"".join([known[w] for w in words])
-
-    return encode
+        self.tokenizer, self.words, self.parts = Tokenizer.from_file(path), {}, {}
+
+    def encode(self, some: list[str]) -> Iterator[bytes]:
+        """The ids of each string, many at a time: a token belongs to the string in which it starts."""
+        for at in range(0, len(some), 2000):
+            strings = some[at : at + 2000]
+            found = self.tokenizer.encode(" ".join(strings), add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            starts = np.cumsum([0] + [len(x) + 1 for x in strings])
+            cuts = np.searchsorted(np.array([o[0] for o in found.offsets], np.int64), starts)
+            raw = ids.tobytes()
+            for a, b in pairwise((4 * cuts).tolist()):
+                yield raw[a:b]
+
+    def learn(self, words: set[bytes]) -> None:
+        if len(self.words) + len(words) > CACHED_WORDS:
+            self.words.clear()
+        if len(self.parts) > CACHED_WORDS:
+            self.parts.clear()
+        parts, cut, new = self.parts, {}, {}
+        for w in words:
+            text = w.decode("utf-8", "replace")
+            m = SIMPLE.fullmatch(text)
+            cut[w] = own = (m[1].lower(), m[2]) if m else (text, "")
+            for x in own:
+                if x not in parts:
+                    new[x] = None
+        new.pop("", None)
+        parts.update(zip(new, self.encode(list(new)), strict=True))
+        parts[""] = b""
+        self.words.update((w, parts[x] + parts[y]) for w, (x, y) in cut.items())
+
+    def ids(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text; new words are learnt some megabytes of text at a time."""
+        at = 0
+        while at < len(texts):
+            split, size = [], 0
+            while at < len(texts) and size < 4 << 20:
+                raw = (texts[at] or "").encode("utf-8", "replace")
+                split.append(raw.split())
+                size += len(raw)
+                at += 1
+            every = set().union(*split)
+            missing = every - self.words.keys()
+            if missing:
+                self.learn(every if len(self.words) + len(missing) > CACHED_WORDS else missing)
+            known = self.words.__getitem__
+            for words in split:
+                yield b"".join(map(known, words))
+
+
+def encoder(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def cut_pieces(path: str, capacity: int, with_ids: bool):
@@ -71,8 +107,9 @@ def cut_pieces(path: str, capacity: int, with_ids: bool):
         encode, part, ranks = encoder(path), TaskContext.get().partitionId(), {}
         for batch in batches:
             out = []
-            for row, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text")), strict=True):
-                ids = encode(text or "") + bytes(4)
+            rows = (batch.column(c).to_pylist() for c in ("row", "doc_id"))
+            for row, doc_id, found in zip(*rows, encode.ids(batch.column("text").to_pylist()), strict=True):
+                ids = found + bytes(4)
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]
                     n = len(own) // 4
