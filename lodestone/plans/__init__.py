@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
+MODULES = ("regression",)
+
+
+def _gather(what: str) -> dict:
+    out: dict = {}
+    for m in MODULES:
+        out |= getattr(import_module(f"{__name__}.{m}"), what)
+    return out
+
 
 def queries() -> dict:
-    return {}
+    return _gather("QUERIES")
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return _gather("SQL")
