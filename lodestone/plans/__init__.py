@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("regression",)
+MODULES = ("regression", "linked")
 
 
 def _gather(what: str) -> dict:
