@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; a longer text is a block of its own.
-BLOCK = 8 << 20
+BLOCK = 2 << 20
 SEEDS = (7, 11)
 LAST = (1 << 63) - 1
 
@@ -39,7 +39,7 @@ def tags(texts: list[bytes]) -> np.ndarray:
     return np.array([zlib.crc32(t) & 0x7FFFFFFF for t in texts], np.int64)
 
 
-@lru_cache(4)
+@lru_cache(2)
 def _powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     base = (int(np.random.default_rng(seed).integers(1 << 62)) << 3 | 3) & 0xFFFFFFFFFFFFFFFF
     table = np.random.default_rng(seed + 1).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -62,7 +62,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
     """A 64-bit hash of each span of bytes: polynomial prefix sums modulo 2^64, shifted to the span's start."""
-    size = 1 << max(20, int(len(data)).bit_length())
+    size = 1 << max(21, int(len(data) - 1).bit_length())
     table, up, down = _powers(seed, size)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(table[data] * up[: len(data)], out=total[1:])

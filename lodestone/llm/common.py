@@ -28,11 +28,22 @@ def work_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{app}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage and fixes any generated row numbers."""
+    """Write ``df`` to the shared folder and read it back: cuts the lineage and fixes any generated row numbers.
+
+    The write's shuffle files are of no further use and are removed when it ends.
+    """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -50,20 +50,21 @@ def hits(key: np.ndarray, owner: np.ndarray, docs: np.ndarray, at: np.ndarray, a
     What the block itself shows to be repeated (over documents, if ``across``) goes straight to its document with the lowest bit of
     ``at`` set, and stands for comparison once: a hot key leaves each block as one row.
     """
-    order = np.lexsort((docs[owner], key))
-    key, doc, at = key[order], docs[owner][order], at[order]
-    first = runs(key)
+    doc = docs[owner]
+    order = np.lexsort((doc, key))
+    first = runs(key[order])
     size = np.diff(np.append(first, len(key)))
     many = size > 1
     if across and len(key):
-        many &= doc[first] != doc[np.append(first[1:], len(key)) - 1]
-    sure = np.repeat(many, size)
+        many &= doc[order[first]] != doc[order[np.append(first[1:], len(key)) - 1]]
+    sure = np.zeros(len(key), bool)
+    sure[order] = np.repeat(many, size)
     lone = ~sure
-    lone[first[many]] = True
-    k = np.concatenate([signed(key)[lone], by_doc(doc[sure])])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(k), pa.array(np.concatenate([doc[lone], doc[sure]])), pa.array(np.concatenate([at[lone], at[sure] | 1]))], schema=HIT
-    )
+    lone[order[first[many]]] = True
+    # in the order of the texts, so that a document's rows stay together and compress well
+    lone, sure = np.flatnonzero(lone), np.flatnonzero(sure)
+    columns = [np.concatenate([signed(key)[lone], by_doc(doc[sure])]), np.concatenate([doc[lone], doc[sure]]), np.concatenate([at[lone], at[sure] | 1])]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=HIT)
 
 
 def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,9 +106,10 @@ def candidate_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         key, check = signed(key), signed(check >> np.uint64(32))
         doc, at = docs[owner[good]], tag[owner[good]] << 32 | pos[good] << 1
         order = np.lexsort((doc, check, key))
-        key, check, doc, at = key[order], check[order], doc[order], at[order]
-        new = np.concatenate([[True], (key[1:] != key[:-1]) | (check[1:] != check[:-1])])
-        low = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+        k, c = key[order], check[order]
+        new = np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])])
+        low = np.empty(len(key), np.int64)
+        low[order] = doc[order[np.flatnonzero(new)]][np.cumsum(new) - 1]
         sure = doc > low
         columns = [np.where(sure, by_doc(doc), key), np.where(sure, -1, check), doc, at | sure]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=FOUND)
