@@ -113,7 +113,7 @@ def link_preservation(before: dict[str, DataFrame], after: dict[str, DataFrame],
         a = fingerprint(tables[name], cols(tables[name], own)).withColumnRenamed("_fp", "own")
         t = fingerprint(tables[target], cols(tables[target], to)).select(part, F.col("row_id").alias("_l"), F.col("_fp").alias("target"))
         where = F.col(link) if kind == "scalar" else F.explode(link) if kind == "array" else F.explode(F.array(F.col(link)["first"], F.col(link)["last"]))
-        return a.select(part, "own", where.cast("long").alias("_l")).join(t, [part, "_l"], "left").select(part, "own", "target")
+        return a.select(part, "own", where.alias("_l")).withColumn("_l", F.col("_l").cast("long")).join(t, [part, "_l"], "left").select(part, "own", "target")
 
     out = None
     for name, r in registry.items():

@@ -111,13 +111,13 @@ def chi2(pairs: DataFrame, t: DataFrame, key: list[str] = ("object",)) -> DataFr
     term = F.when(n + m > 0, F.pow(F.col("sum_b") * n - F.col("sum_a") * m, 2) / (n + m))
     out = both.groupBy(*key, "sum_a", "sum_b").agg(F.sum(term).alias("s"), F.count(term).alias("filled"))
     scale = F.col("sum_a") * F.col("sum_b")
-    return out.select(*key, F.when((scale > 0) & (F.col("filled") > 1), F.col("s") / scale / (F.col("filled") - 1)).alias("value"))
+    return out.select(*key, F.when((scale > 0) & (F.col("filled") > 1), F.try_divide(F.col("s"), scale * (F.col("filled") - 1))).alias("value"))
 
 
 def kolmogorov_probability(z: Column) -> Column:
     """The Kolmogorov distribution's tail, by the alternating series, and by its dual series for small z."""
     tail = sum((2.0 if j % 2 else -2.0) * F.exp(-2.0 * j * j * z * z) for j in range(1, 5))
-    dual = 1 - F.sqrt(F.lit(2) * F.pi()) / z * sum(F.exp(-((2 * k - 1) ** 2) * F.pi() * F.pi() / (8 * z * z)) for k in range(1, 4))
+    dual = 1 - F.try_divide(F.sqrt(F.lit(2) * F.pi()), z) * sum(F.exp(F.try_divide(-((2 * k - 1) ** 2) * F.pi() * F.pi(), 8 * z * z)) for k in range(1, 4))
     return F.when(z < 0.2, 1.0).when(z < 0.755, dual).when(z > 6.8116, 0.0).otherwise(tail)
 
 
@@ -125,15 +125,16 @@ def kolmogorov(pairs: DataFrame, t: DataFrame, key: list[str] = ("object",)) ->
     """Largest distance of the cumulative contents and its probability; NULL if neither histogram has errors."""
     both = pairs.where((F.col("bin") > 0) & (F.col("bin") <= F.coalesce("bins", "bins_b"))).join(t.select(*key, "sum_a", "sum_b", "w_a", "w_b"), list(key))
     run = Window.partitionBy(*key).orderBy("bin")
-    gap = F.abs(F.sum(F.coalesce("ca", F.lit(0.0))).over(run) / F.col("sum_a") - F.sum(F.coalesce("cb", F.lit(0.0))).over(run) / F.col("sum_b"))
+    share = lambda c, total: F.try_divide(F.sum(F.coalesce(c, F.lit(0.0))).over(run), F.col(total))
+    gap = F.abs(share("ca", "sum_a") - share("cb", "sum_b"))
     out = both.withColumn("gap", gap).groupBy(*key, "sum_a", "sum_b", "w_a", "w_b").agg(F.max("gap").alias("distance"))
-    na, nb = F.col("sum_a") * F.col("sum_a") / F.col("w_a"), F.col("sum_b") * F.col("sum_b") / F.col("w_b")
-    size = F.when((F.col("w_a") > 0) & (F.col("w_b") > 0), na * nb / (na + nb)).when(F.col("w_a") > 0, na).when(F.col("w_b") > 0, nb)
+    na, nb = (F.try_divide(F.col(f"sum_{v}") * F.col(f"sum_{v}"), F.col(f"w_{v}")) for v in "ab")
+    size = F.when((F.col("w_a") > 0) & (F.col("w_b") > 0), F.try_divide(na * nb, na + nb)).when(F.col("w_a") > 0, na).when(F.col("w_b") > 0, nb)
     return out.select(*key, "distance", kolmogorov_probability(F.col("distance") * F.sqrt(size)).alias("value"))
 
 
 def entry_difference(t: DataFrame, key: list[str] = ("object",)) -> DataFrame:
-    return t.select(*key, (F.abs(F.col("sum_a") - F.col("sum_b")) / ((F.col("sum_a") + F.col("sum_b")) / 2)).alias("value"))
+    return t.select(*key, F.try_divide(F.abs(F.col("sum_a") - F.col("sum_b")), (F.col("sum_a") + F.col("sum_b")) / 2).alias("value"))
 
 
 #: name: (function of bin pairs, totals and key, threshold, lower is better).  Thresholds and directions are fixed values.
