@@ -14,28 +14,48 @@ from pyspark.sql import functions as F
 
 from .common import documents, table
 
-#: Classes of words that share a counter.  Rarity only orders the words: any fixed order gives the same result.
-COUNTERS = 1 << 14
+#: Bits of a word's hash that name its counter.  Rarity only orders the words: any fixed order gives the same result.
+COUNTER_BITS = 14
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
+LOW = (1 << (64 - COUNTER_BITS)) - 1
 
 
-def token_set(line: Column) -> Column:
-    """The distinct words of a line as 64-bit hashes."""
-    words = F.filter(F.split(line, WORD_BREAK), lambda w: w != "")
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+def words_of(line: Column) -> Column:
+    return F.filter(F.split(line, WORD_BREAK), lambda w: w != "")
+
+
+def counter(w: Column) -> Column:
+    return F.shiftrightunsigned(w, 64 - COUNTER_BITS).cast("int")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc, mark, line_no, tokens) of each line with a word."""
+    """(doc, mark, line_no, line) of each line with a word."""
     lines = docs.select("doc", "mark", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return lines.select("doc", "mark", "line_no", token_set(F.col("line")).alias("tokens")).where(F.size("tokens") > 0)
+    return lines.where(F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
+
+
+def word_order(lines: DataFrame) -> Column:
+    """A literal array: for each counter its place by frequency, the rarest first.
+
+    Only 2^COUNTER_BITS numbers come to the driver.  The places are centred on zero, so that signed numbers sort rightly.
+    """
+    counted = lines.select(F.explode(words_of(F.col("line"))).alias("w")).groupBy(counter(F.xxhash64("w")).alias("c")).agg(F.count("*").alias("n"))
+    found, size = dict(counted.collect()), 1 << COUNTER_BITS
+    place = {c: k for k, c in enumerate(sorted(range(size), key=lambda c: (found.get(c, 0), c)))}
+    return F.from_json(F.lit(json.dumps([place[c] - (size >> 1) for c in range(size)])), "array<int>")
+
+
+def token_set(line: Column, order: Column) -> Column:
+    """The distinct words of a line, rarest first: the counter's place stands for the top bits of each word's 64-bit hash."""
+    place = lambda h: F.get(order, counter(h)).cast("long") * F.lit(LOW + 1)
+    hashes = F.transform(words_of(line), lambda w: F.xxhash64(w))
+    return F.sort_array(F.array_distinct(F.transform(hashes, lambda h: place(h).bitwiseOR(h.bitwiseAND(F.lit(LOW))))))
 
 
-def word_order(tokens: DataFrame) -> Column:
-    """A literal array of how often the words of each counter occur: COUNTERS numbers at most come to the driver."""
-    counted = tokens.select(F.explode("tokens").alias("t")).groupBy(F.pmod("t", F.lit(COUNTERS)).cast("int").alias("c")).agg(F.count("*").alias("n"))
-    found = dict(counted.collect())
-    return F.from_json(F.lit(json.dumps([found.get(k, 0) for k in range(COUNTERS)])), "array<bigint>")
+def signature(tokens: Column, part: int) -> Column:
+    """64 bits, one of them set for each word; each differing bit of two signatures is a word that one set lacks."""
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 6 * part).bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(bit(t)))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t_num: int = 4, t_den: int = 5) -> DataFrame:
@@ -50,36 +70,39 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     ).withColumn("mark", F.xxhash64("text"))
     lines = lines_of(given)
-    often = word_order(lines)
+    order = word_order(lines)
 
-    # one row per distinct set: its size, its prefix by rarity and its first place
+    # one row per distinct set: its size, its prefix by rarity, its signatures and its first place
+    full_sets = lines.select("doc", "mark", "line_no", token_set(F.col("line"), order).alias("tokens"))
     n = F.size("tokens")
-    rare = F.array_sort(F.transform("tokens", lambda w: F.struct(F.element_at(often, (F.pmod(w, F.lit(COUNTERS)) + 1).cast("int")).alias("c"), w.alias("w"))))
     probe = n - F.ceil(n * t_num / t_den).cast("int") + 1
-    marked = lines.select(
-        "doc", "mark", "line_no", n.alias("n"), F.xxhash64(F.sort_array("tokens")).alias("s"), F.transform(F.slice(rare, 1, probe), lambda x: x["w"]).alias("prefix")
+    marked = full_sets.select(
+        "doc", "mark", "line_no", n.alias("n"), F.xxhash64("tokens").alias("s"), F.slice("tokens", 1, probe).alias("prefix"), signature(F.col("tokens"), 0).alias("b0"), signature(F.col("tokens"), 1).alias("b1")
     )
     place = F.struct("doc", "line_no")
     marked = table(marked, "lines")
-    sets = table(marked.groupBy("s", "n").agg(F.min(F.struct("doc", "line_no", "mark")).alias("first"), F.min("prefix").alias("prefix")), "sets")
+    one = [F.min("prefix").alias("prefix"), F.min("b0").alias("b0"), F.min("b1").alias("b1")]
+    sets = table(marked.groupBy("s", "n").agg(F.min(F.struct("doc", "line_no", "mark")).alias("first"), *one), "sets")
 
     # prefix join: the larger set probes, the smaller one is found by its shorter index prefix
     index = F.col("n") - F.ceil(F.col("n") * 2 * t_num / (t_num + t_den)).cast("int") + 1
     # a set of fewer words than this has no other set similar enough, and one of as many only a larger one
     least = -(-t_num // (t_den - t_num))
-    x = sets.where(F.col("n") > least).select(F.col("s").alias("xs"), F.col("n").alias("xn"), F.posexplode("prefix").alias("xi", "w"))
-    y = sets.where(F.col("n") >= least).select(F.col("s").alias("ys"), F.col("n").alias("yn"), F.posexplode(F.slice("prefix", F.lit(1), index)).alias("yi", "w"))
+    x = sets.where(F.col("n") > least).select(F.col("s").alias("xs"), F.col("n").alias("xn"), F.col("b0").alias("x0"), F.col("b1").alias("x1"), F.posexplode("prefix").alias("xi", "w"))
+    y = sets.where(F.col("n") >= least).select(F.col("s").alias("ys"), F.col("n").alias("yn"), F.col("b0").alias("y0"), F.col("b1").alias("y1"), F.posexplode(F.slice("prefix", F.lit(1), index)).alias("yi", "w"))
     need = F.ceil((F.col("xn") + F.col("yn")) * t_num / (t_num + t_den))
     length = (F.col("yn") * t_den >= F.col("xn") * t_num) & ((F.col("yn") < F.col("xn")) | ((F.col("yn") == F.col("xn")) & (F.col("ys") < F.col("xs"))))
     position = 1 + F.least(F.col("xn") - F.col("xi") - 1, F.col("yn") - F.col("yi") - 1) >= need
-    near = table(x.join(y, "w").where(length & position).select("xs", "xn", "ys", "yn").distinct(), "candidates")
+    # signatures bound the words in only one of the sets
+    apart = F.greatest(*[F.bit_count(F.col(f"x{k}").bitwiseXOR(F.col(f"y{k}"))) for k in (0, 1)]) <= F.col("xn") + F.col("yn") - 2 * need
+    near = table(x.join(y, "w").where(length & position & apart).select("xs", "xn", "ys", "yn").distinct(), "candidates")
 
     # verification on the full sets, read again from the first place of each set in a candidate pair
     wanted = near.select(F.col("xs").alias("s"), F.col("xn").alias("n")).union(near.select("ys", "yn")).distinct()
     spots = sets.join(wanted, ["s", "n"]).select("s", "n", F.col("first.doc").alias("d"), F.col("first.mark").alias("m"), F.col("first.line_no").alias("l"))
     spots = spots.groupBy("d", "m").agg(F.collect_list(F.struct("l", "s", "n")).alias("spots"))  # at most one per line of a document
     texts = given.join(spots, (F.col("doc") == F.col("d")) & (F.col("mark") == F.col("m"))).select(F.split("text", "\n").alias("all"), F.explode("spots").alias("spot"))
-    full = texts.select(F.col("spot.s").alias("s"), F.col("spot.n").alias("n"), token_set(F.element_at("all", F.col("spot.l") + 1)).alias("tokens"))
+    full = texts.select(F.col("spot.s").alias("s"), F.col("spot.n").alias("n"), token_set(F.element_at("all", F.col("spot.l") + 1), order).alias("tokens"))
     full = table(full.dropDuplicates(["s", "n"]), "full")
     fx, fy = (full.select(F.col("s").alias(f"{v}s"), F.col("n").alias(f"{v}n"), F.col("tokens").alias(f"{v}t")) for v in "xy")
     common = F.size(F.array_intersect("xt", "yt"))
@@ -93,11 +116,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     early = where.join(other, ["s", "n"], "left").select("s", "n", F.least("first", F.coalesce("of", "first")).alias("early"))
     gone = marked.join(early, ["s", "n"]).where(F.col("early") < place).select("doc", "mark", "line_no")
     gone = gone.groupBy("doc", "mark").agg(F.array_sort(F.collect_set("line_no")).alias("gone")).withColumnsRenamed({"doc": "d", "mark": "m"})
-    has_word = F.size(F.filter(F.split("text", "\n"), lambda x: F.rlike(x, F.lit("[^\\x20\\x09-\\x0D]"))))
-    rows = given.select("doc", "mark", has_word.cast("long").alias("n_lines"))
+    found = marked.select("doc", "mark", "line_no").distinct().groupBy(F.col("doc").alias("d0"), F.col("mark").alias("m0")).agg(F.count("*").alias("n_lines"))
+    rows = given.select("doc", "mark").join(found, (F.col("doc") == F.col("d0")) & (F.col("mark") == F.col("m0")), "left")
     out = rows.join(gone, (F.col("doc") == F.col("d")) & (F.col("mark") == F.col("m")), "left")
     return out.select(
-        F.when(F.col("doc") < (1 << 63) - 1, F.col("doc")).alias("doc_id"), "n_lines",
+        F.when(F.col("doc") < (1 << 63) - 1, F.col("doc")).alias("doc_id"), F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(F.array_join("gone", ","), F.lit("")).alias("removed_lines"),
     )
 
