@@ -32,20 +32,21 @@ def _start(df, name):
     return df.withColumns({"start": F.unix_timestamp(F.col(f"{name}.start"))}).drop(name).where("start < 1709251200 and event_type <> 'end'" if "event_type" in df.columns else "start < 1709251200")
 
 
-SUMS = [F.count("*").alias("n"), F.sum("user_id").alias("users")]
+def _sums():
+    return [F.count("*").alias("n"), F.sum("user_id").alias("users")]
 
 
 def cycle_stream(spark, d):
-    return _start(S.drain(S.cycles(source(spark, d), "ts", 3600, ["event_type"], SUMS), _folder(spark)), "cycle")
+    return _start(S.drain(S.cycles(source(spark, d), "ts", 3600, ["event_type"], _sums()), _folder(spark)), "cycle")
 
 
 def merge_deltas_stream(spark, d):
-    c = S.cycles(source(spark, d), "ts", 3600, ["event_type"], SUMS)
+    c = S.cycles(source(spark, d), "ts", 3600, ["event_type"], _sums())
     return _start(S.drain(S.merge_deltas(c, 3600, 4, ["event_type"], ["n", "users"]), _folder(spark)), "merged")
 
 
 def moving_stream(spark, d):
-    return _start(S.drain(S.cycles(source(spark, d), "ts", 7200, ["event_type"], SUMS, slide=3600), _folder(spark)), "cycle")
+    return _start(S.drain(S.cycles(source(spark, d), "ts", 7200, ["event_type"], _sums(), slide=3600), _folder(spark)), "cycle")
 
 
 def sampled_stream(spark, d):
@@ -63,7 +64,7 @@ def slice_trend_stream(spark, d):
 
 
 def slot_stream(spark, d):
-    return _start(S.drain(S.slots(source(spark, d), "ts", 600, 12, 3, ["event_type"], SUMS), _folder(spark)), "cycle")
+    return _start(S.drain(S.slots(source(spark, d), "ts", 600, 12, 3, ["event_type"], _sums()), _folder(spark)), "cycle")
 
 
 def _batch(spark, d):

@@ -23,3 +23,13 @@ def test_entry(spark):
 
     assert e.entry(spark).count() == 9
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_listing_needs_no_session():
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    code = "import __spark_entry__ as e; assert len(e.queries()) >= len(e.oracle_sql()) > 150"
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=60)
