@@ -16,6 +16,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,77 +24,89 @@ from pyspark.sql import functions as F
 from .common import documents, table
 
 CAPACITY = 2048
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_000_000
 PIECE = pa.schema(
     [("row", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary()), ("part", pa.int64()), ("at", pa.int64())]
 )
 PIECE_SQL = "row long, doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, part long, at long"
 
 _encoders: dict[str, Encoder] = {}
-#: Latin letters and ASCII punctuation after them.  The tokenizer lower-cases and cuts between the two (an apostrophe may join them).
-SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+#: Where a letter meets ASCII punctuation (an apostrophe may join them) the tokenizer cuts, so that a space there changes nothing.
+MEETING = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([!-&(-/:-@\\[-`{-~])"
+SPECIAL = "<|"
+ONE_WORD = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[!-&(-/:-@\\[-`{-~]+")
+WORD_END = "</w>"
 
 
 class Encoder:
-    """From a text to its ids as little-endian 32-bit bytes.
+    """From texts to their ids as little-endian 32-bit bytes.
 
-    The tokenizer drops white space and never joins across it, so that words can be encoded once and remembered, and so can the
-    lower-cased letters and the punctuation of a word.  Both memories are emptied at ``CACHED_WORDS`` entries.
+    The tokenizer lower-cases, drops white space and never joins across it.  So words can be encoded once and remembered, after A-Z
+    are lower-cased and punctuation is set apart; texts that may hold a special token stay as they are.  The memory is emptied at
+    ``CACHED_WORDS`` entries.
     """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.words, self.parts = Tokenizer.from_file(path), {}, {}
+        self.tokenizer, self.words = Tokenizer.from_file(path), {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for t, k in vocabulary.items() if t.endswith(WORD_END)]] = True
 
     def encode(self, some: list[str]) -> Iterator[bytes]:
-        """The ids of each string, many at a time: a token belongs to the string in which it starts."""
+        """The ids of each string, many at a time.
+
+        A string of letters or of punctuation alone is one word to the tokenizer and ends with the only token that marks a word's
+        end.  Where this doesn't hold, a token belongs to the string in which it starts.
+        """
         for at in range(0, len(some), 2000):
             strings = some[at : at + 2000]
             found = self.tokenizer.encode(" ".join(strings), add_special_tokens=False)
             ids = np.array(found.ids, "<u4")
-            starts = np.cumsum([0] + [len(x) + 1 for x in strings])
-            cuts = np.searchsorted(np.array([o[0] for o in found.offsets], np.int64), starts)
+            if all(map(ONE_WORD.fullmatch, strings)) and len(cuts := np.flatnonzero(self.ends[ids]) + 1) == len(strings):
+                cuts = np.concatenate([[0], cuts])
+            else:
+                starts = np.cumsum([0] + [len(x) + 1 for x in strings])
+                cuts = np.searchsorted(np.array([o[0] for o in found.offsets], np.int64), starts)
             raw = ids.tobytes()
             for a, b in pairwise((4 * cuts).tolist()):
                 yield raw[a:b]
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.words) + len(words) > CACHED_WORDS:
-            self.words.clear()
-        if len(self.parts) > CACHED_WORDS:
-            self.parts.clear()
-        parts, cut, new = self.parts, {}, {}
-        for w in words:
-            text = w.decode("utf-8", "replace")
-            m = SIMPLE.fullmatch(text)
-            cut[w] = own = (m[1].lower(), m[2]) if m else (text, "")
-            for x in own:
-                if x not in parts:
-                    new[x] = None
-        new.pop("", None)
-        parts.update(zip(new, self.encode(list(new)), strict=True))
-        parts[""] = b""
-        self.words.update((w, parts[x] + parts[y]) for w, (x, y) in cut.items())
-
-    def ids(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text; new words are learnt some megabytes of text at a time."""
-        at = 0
+    def learn(self, words: list[str]) -> None:
+        one = [w for w in words if ONE_WORD.fullmatch(w)]
+        rest = [w for w in words if not ONE_WORD.fullmatch(w)]
+        for some in (one, rest):
+            self.words.update(zip(some, self.encode(some), strict=True))
+
+    def ids(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text (null: none).  Some megabytes at a time are split and numbered by distinct words, whose ids are then put
+        in place by array operations."""
+        at, sizes = 0, np.asarray(pc.fill_null(pc.binary_length(texts), 0))
         while at < len(texts):
-            split, size = [], 0
-            while at < len(texts) and size < 4 << 20:
-                raw = (texts[at] or "").encode("utf-8", "replace")
-                split.append(raw.split())
-                size += len(raw)
-                at += 1
-            every = set().union(*split)
-            missing = every - self.words.keys()
-            if missing:
-                self.learn(every if len(self.words) + len(missing) > CACHED_WORDS else missing)
-            known = self.words.__getitem__
-            for words in split:
-                yield b"".join(map(known, words))
+            n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), 8 << 20, side="right")))
+            some = pc.fill_null(texts.slice(at, n), "")
+            apart = pc.replace_substring_regex(pc.ascii_lower(some), MEETING, r"\1 \2")
+            lists = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(some, SPECIAL), some, apart))
+            at += n
+            coded = lists.flatten().dictionary_encode()
+            distinct, codes = coded.dictionary.to_pylist(), np.asarray(coded.indices)
+            known = self.words
+            if missing := [w for w in distinct if w not in known]:
+                if len(known) + len(missing) > CACHED_WORDS:
+                    known.clear()
+                    missing = distinct
+                self.learn(missing)
+            found = [known[w] for w in distinct]
+            pool, size = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+            start, each = np.cumsum(size) - size, size[codes] if len(codes) else np.zeros(0, np.int64)
+            upto = np.cumsum(each)
+            flat = pool[np.repeat(start[codes] - (upto - each), each) + np.arange(int(upto[-1]))] if len(codes) else pool
+            bounds = np.concatenate([[0], upto])[np.asarray(lists.offsets) - int(lists.offsets[0].as_py())]
+            raw = flat.tobytes()
+            for a, b in pairwise((4 * bounds).tolist()):
+                yield raw[a:b]
 
 
 def encoder(path: str) -> Encoder:
@@ -108,7 +121,7 @@ def cut_pieces(path: str, capacity: int, with_ids: bool):
         for batch in batches:
             out = []
             rows = (batch.column(c).to_pylist() for c in ("row", "doc_id"))
-            for row, doc_id, found in zip(*rows, encode.ids(batch.column("text").to_pylist()), strict=True):
+            for row, doc_id, found in zip(*rows, encode.ids(batch.column("text")), strict=True):
                 ids = found + bytes(4)
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]
