@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import catalog as K
 from ..operators import hist
+from ..operators import predicates as P
 from .regression import VALS, _axes, _values
 from .tables import read
 
@@ -134,7 +135,29 @@ def compact_plan(spark, d):
     return K.compact_plan(o, "o_custkey", "o_orderkey", "size", 400000)
 
 
+def path_prune(spark, d):
+    p = read(spark, d, "part").withColumn("path", F.concat(F.lit("//"), F.col("p_type"), F.lit("/"), F.col("p_brand"), F.lit("/")))
+    p = p.withColumn("path", F.when(F.col("p_partkey") % 11 == 0, "/PROMO").otherwise(F.col("path")))
+    return P.by_path(p.select("p_partkey", "path"), "path", ["/PROMO/Brand#1", "Brand#12"])
+
+
+def triggered(spark, d):
+    o = read(spark, d, "orders").withColumn("mask", F.col("o_custkey").bitwiseAND(F.lit(12)))
+    return P.triggered(o.select("o_orderkey", "mask"), "mask")
+
+
+def numeric_columns(spark, d):
+    """The columns a histogram is filled from, with their values."""
+    p = read(spark, d, "part").withColumnRenamed("p_retailprice", "p_price_")
+    return hist.long_form(p).groupBy("object").agg(F.count("*").alias("n"), F.max("x").alias("top"))
+
+
 SQL = {
+    "path_prune": """with p as (select p_partkey, case when p_partkey % 11 = 0 then '/PROMO' else '//' || p_type || '/' || p_brand || '/' end as path from part),
+        n as (select *, trim(regexp_replace(path, '/+', '/', 'g'), '/') as q from p)
+        select p_partkey, path from n where contains(q, 'PROMO/Brand#1') or contains('PROMO/Brand#1', q) or contains(q, 'Brand#12') or contains('Brand#12', q)""",
+    "triggered": "select o_orderkey, o_custkey & 12 as mask from orders where o_custkey & 12 <> 0",
+    "numeric_columns": "select unnest(['p_partkey', 'p_size']) as object, count(*) as n, unnest([max(p_partkey), max(p_size)])::double as top from part",
     "thinned": "select o_orderpriority, o_orderkey from orders where o_orderpriority = (select min(o_orderpriority) from orders)",
     "first_parts": "select l_suppkey, l_orderkey, l_partkey from lineitem where l_suppkey in (select distinct l_suppkey from lineitem order by 1 limit 7)",
     "selective_copy": "select 'orders' as \"table\", o_orderkey as k, o_custkey as v from orders union all select 'lineitem', l_orderkey, l_partkey from lineitem",

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import asof, intervals
+from ..operators import asof, intervals, predicates
 from .tables import read, rounded
 
 
@@ -133,8 +132,7 @@ def consecutive_runs(spark, d):
 def events_before(spark, d):
     """Events before each frame and the offset of the file: a running sum that ends one frame earlier."""
     g = events(spark, d).groupBy((F.col("user_id") % 10).alias("run"), F.floor(F.col("sec") / 86400).alias("frame")).agg(F.count("*").alias("n"))
-    w = Window.partitionBy("run").orderBy("frame").rowsBetween(Window.unboundedPreceding, -1)
-    return g.withColumn("before", F.lit(7) + F.coalesce(F.sum("n").over(w), F.lit(0)))
+    return predicates.events_before(g, "run", "frame", "n", 7)
 
 
 SQL = {
