@@ -260,9 +260,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     counts = table(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "counts")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select(F.col("part").alias("p"), F.col("length").alias("l"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    base = base.withColumnRenamed("base", "first")
-    ranked = pieces.join(base.select("p", "l", "first"), (F.col("part") == F.col("p")) & (F.col("length") == F.col("l")))
+    base = counts.select(F.col("part").alias("p"), F.col("length").alias("l"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    ranked = pieces.join(base, (F.col("part") == F.col("p")) & (F.col("length") == F.col("l")))
     ranked = ranked.withColumn("rank", F.col("first") + F.col("at")).drop("part", "at", "p", "l", "first")
     kinds = ", ".join(f"{c} {t}" for c, t in ranked.dtypes if c != "rank")
     return ranked.mapInArrow(place(places(plan(histogram, capacity, rounds))), f"{kinds}, sequence_id long, offset long")

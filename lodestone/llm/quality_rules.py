@@ -113,9 +113,9 @@ def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
     """``docs`` without the rejected documents, all columns unchanged.  The verdict depends on host and text alone."""
     judged = quality_rules(docs.select(F.xxhash64(F.col(text_col), F.col(host_col)).alias("k"), F.col(text_col).alias("t"), F.col(host_col).alias("h")), "k", "t", "h", **limits)
-    good = judged.where("kept").select(F.col("doc_id").alias("k"), "copy", "host").distinct()
+    good = judged.where("kept").select(F.col("doc_id").alias("k")).distinct()
     whole = docs.select(F.struct("*").alias("whole"), F.xxhash64(F.col(text_col), F.col(host_col)).alias("k"))
-    return whole.join(good.select("k").distinct(), "k", "left_semi").select("whole.*")
+    return whole.join(good, "k", "left_semi").select("whole.*")
 
 
 #: The words of a text as DuckDB sees them.
