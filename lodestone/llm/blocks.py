@@ -69,6 +69,14 @@ def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int)
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def piece_hash(data: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """As ``span_hash`` for the piece of ``width`` bytes at every position."""
+    table, up, down = _powers(seed, 1 << max(21, int(len(data) - 1).bit_length()))
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(table[data] * up[: len(data)], out=total[1:])
+    return mix((total[width:] - total[:-width]) * down[: len(data) - width + 1])
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 

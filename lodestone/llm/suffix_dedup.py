@@ -16,10 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import SEEDS, blocks, by_doc, mix, runs, signed, span_hash, tags
+from .blocks import SEEDS, blocks, by_doc, piece_hash, runs, signed, tags
 from .common import documents, table
 from .cover_dedup import hits, with_found
 
@@ -45,10 +45,9 @@ def segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     offset = np.concatenate([[0], np.cumsum(size)])
     if len(data) < LENGTH:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
-    at = np.arange(len(data) - PIECE + 1)
-    whole = span_hash(data, at, at + PIECE, SEEDS[0])
+    whole = piece_hash(data, PIECE, SEEDS[0])
     # The place breaks ties towards the left; a block has fewer than 2^28 bytes unless a single text is longer.
-    least = sliding_min(mix(whole) & ~_PLACE | at.astype(np.uint64) & _PLACE, SPREAD)
+    least = sliding_min(whole & ~_PLACE | np.arange(len(whole), dtype=np.uint64) & _PLACE, SPREAD)
     owner = np.repeat(np.arange(len(texts)), np.maximum(0, size - LENGTH + 1))
     start = np.arange(len(owner)) - np.concatenate([[0], np.cumsum(np.maximum(0, size - LENGTH + 1))])[owner] + offset[owner]
     chosen = (least[start] & _PLACE).astype(np.int64)
@@ -123,7 +122,10 @@ def suffix_array(data: np.ndarray, end: np.ndarray) -> np.ndarray:
     padded = np.concatenate([data, np.zeros(h, np.uint8)])
     key = np.zeros(n, np.uint64)
     for j in range(h):
-        key = key << np.uint64(8) | np.where(left > j, padded[j : j + n], 0).astype(np.uint64)
+        key = key << np.uint64(8) | padded[j : j + n]
+    short = np.flatnonzero(left < h)
+    cut = (8 * (h - left[short])).astype(np.uint64)
+    key[short] = key[short] >> cut << cut
     key = (key << np.uint64(3) | np.minimum(left, h).astype(np.uint64)) << np.uint64(bits) | np.arange(n, dtype=np.uint64)
     key.sort()
     order = (key & np.uint64(mask)).astype(np.int32)
@@ -320,10 +322,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = given.mapInArrow(anchors, "k long, doc long, at long")
-    sure = F.col("at").bitwiseAND(F.lit(1)) == 1
-    # Counts first, then a join: partial sums keep a hot anchor small, and the join can be split where it is skewed.
-    often = rows.where(~sure).groupBy("k").agg(F.count("*").alias("c")).where("c > 1").select("k")
-    flagged = table(rows.where(sure).select("doc", "at").unionByName(rows.where(~sure).join(often, "k").select("doc", "at")), "anchors")
+    # A block sends each of its anchors once, so that the rows of a hot anchor are as many as the blocks.
+    often = F.count("*").over(Window.partitionBy("k")) > 1
+    flagged = rows.withColumn("often", often).where((F.col("at").bitwiseAND(F.lit(1)) == 1) | F.col("often"))
+    flagged = table(flagged.select("doc", "at"), "anchors")
     spots = with_found(given, flagged, "inner").mapInArrow(contexts, CONTEXT_SQL)
     sharded = spots.repartition("k").sortWithinPartitions("k", "doc", "at")
     removed = table(sharded.mapInArrow(compare, "doc long, at long, n long"), "removed")
