@@ -52,9 +52,9 @@ def token_set(line: Column, order: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(hashes, lambda h: place(h).bitwiseOR(h.bitwiseAND(F.lit(LOW))))))
 
 
-def signature(tokens: Column, part: int) -> Column:
+def signature(tokens: Column) -> Column:
     """64 bits, one of them set for each word; each differing bit of two signatures is a word that one set lacks."""
-    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 6 * part).bitwiseAND(F.lit(63)).cast("int"))
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
     return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(bit(t)))
 
 
@@ -72,29 +72,29 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = lines_of(given)
     order = word_order(lines)
 
-    # one row per distinct set: its size, its prefix by rarity, its signatures and its first place
+    # one row per distinct set: its size, its prefix by rarity (32 bits a word: pairs are verified), its signature and its first place
     full_sets = lines.select("doc", "mark", "line_no", token_set(F.col("line"), order).alias("tokens"))
     n = F.size("tokens")
     probe = n - F.ceil(n * t_num / t_den).cast("int") + 1
     marked = full_sets.select(
-        "doc", "mark", "line_no", n.alias("n"), F.xxhash64("tokens").alias("s"), F.slice("tokens", 1, probe).alias("prefix"), signature(F.col("tokens"), 0).alias("b0"), signature(F.col("tokens"), 1).alias("b1")
+        "doc", "mark", "line_no", n.alias("n"), F.xxhash64("tokens").alias("s"), F.transform(F.slice("tokens", 1, probe), lambda t: F.xxhash64(t).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("prefix"), signature(F.col("tokens")).alias("bits")
     )
     place = F.struct("doc", "line_no")
     marked = table(marked, "lines")
-    one = [F.min("prefix").alias("prefix"), F.min("b0").alias("b0"), F.min("b1").alias("b1")]
+    one = [F.min("prefix").alias("prefix"), F.min("bits").alias("bits")]
     sets = table(marked.groupBy("s", "n").agg(F.min(F.struct("doc", "line_no", "mark")).alias("first"), *one), "sets")
 
     # prefix join: the larger set probes, the smaller one is found by its shorter index prefix
     index = F.col("n") - F.ceil(F.col("n") * 2 * t_num / (t_num + t_den)).cast("int") + 1
     # a set of fewer words than this has no other set similar enough, and one of as many only a larger one
     least = -(-t_num // (t_den - t_num))
-    x = sets.where(F.col("n") > least).select(F.col("s").alias("xs"), F.col("n").alias("xn"), F.col("b0").alias("x0"), F.col("b1").alias("x1"), F.posexplode("prefix").alias("xi", "w"))
-    y = sets.where(F.col("n") >= least).select(F.col("s").alias("ys"), F.col("n").alias("yn"), F.col("b0").alias("y0"), F.col("b1").alias("y1"), F.posexplode(F.slice("prefix", F.lit(1), index)).alias("yi", "w"))
+    x = sets.where(F.col("n") > least).select(F.col("s").alias("xs"), F.col("n").alias("xn"), F.col("bits").alias("xb"), F.posexplode("prefix").alias("xi", "w"))
+    y = sets.where(F.col("n") >= least).select(F.col("s").alias("ys"), F.col("n").alias("yn"), F.col("bits").alias("yb"), F.posexplode(F.slice("prefix", F.lit(1), index)).alias("yi", "w"))
     need = F.ceil((F.col("xn") + F.col("yn")) * t_num / (t_num + t_den))
     length = (F.col("yn") * t_den >= F.col("xn") * t_num) & ((F.col("yn") < F.col("xn")) | ((F.col("yn") == F.col("xn")) & (F.col("ys") < F.col("xs"))))
     position = 1 + F.least(F.col("xn") - F.col("xi") - 1, F.col("yn") - F.col("yi") - 1) >= need
-    # signatures bound the words in only one of the sets
-    apart = F.greatest(*[F.bit_count(F.col(f"x{k}").bitwiseXOR(F.col(f"y{k}"))) for k in (0, 1)]) <= F.col("xn") + F.col("yn") - 2 * need
+    # the signatures bound the words in only one of the sets
+    apart = F.bit_count(F.col("xb").bitwiseXOR(F.col("yb"))) <= F.col("xn") + F.col("yn") - 2 * need
     near = table(x.join(y, "w").where(length & position & apart).select("xs", "xn", "ys", "yn").distinct(), "candidates")
 
     # verification on the full sets, read again from the first place of each set in a candidate pair
@@ -103,7 +103,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spots = spots.groupBy("d", "m").agg(F.collect_list(F.struct("l", "s", "n")).alias("spots"))  # at most one per line of a document
     texts = given.join(spots, (F.col("doc") == F.col("d")) & (F.col("mark") == F.col("m"))).select(F.split("text", "\n").alias("all"), F.explode("spots").alias("spot"))
     full = texts.select(F.col("spot.s").alias("s"), F.col("spot.n").alias("n"), token_set(F.element_at("all", F.col("spot.l") + 1), order).alias("tokens"))
-    full = table(full.dropDuplicates(["s", "n"]), "full")
+    full = table(full, "full")  # repeated rows of a document give a pair twice, which does no harm
     fx, fy = (full.select(F.col("s").alias(f"{v}s"), F.col("n").alias(f"{v}n"), F.col("tokens").alias(f"{v}t")) for v in "xy")
     common = F.size(F.array_intersect("xt", "yt"))
     pairs = near.join(fx, ["xs", "xn"]).join(fy, ["ys", "yn"]).where(common * t_den >= (F.col("xn") + F.col("yn") - common) * t_num)
