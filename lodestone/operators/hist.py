@@ -157,10 +157,11 @@ def metrics() -> dict[str, tuple[Callable, float, bool]]:
 def compare(a: DataFrame, b: DataFrame, names: list[str] | None = None, key: list[str] = ("object",)) -> DataFrame:
     """One row per object and metric: object, metric, value, comparable, threshold, lower_is_better, note.
 
-    Objects in only one set are left out (see ``presence``).  A value that isn't a number makes the row not comparable.
+    Objects in only one set are left out (see ``presence``).  A value that isn't a number makes the row not comparable.  The bin
+    pairs, which all metrics share, are kept, so that the data behind the histograms are read once; they are as many as there are bins.
     """
     key = list(key)
-    pairs = pair(a, b, key)
+    pairs = pair(a, b, key).persist()
     t = comparable(totals(pairs, key)).where(F.col("axes_differ").isNotNull())
     out = None
     for name in names or list(_metrics):
