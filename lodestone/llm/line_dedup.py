@@ -1,6 +1,6 @@
 """Line dedup as an exact set-similarity join, in DataFrame functions only.
 
-A line is the set of its words.  Words are ordered by rarity; two sets with a Jaccard similarity of ``t`` or more share a word among
+A line is the set of its words.  Words are ordered by rarity; two sets with a Jaccard similarity of ``t`` or more share words among
 their first few, so only these prefixes are joined, under the length and positional filters.  Surviving pairs of distinct sets are
 verified on their full sets.  Lines with the same set are one set, whatever their number.
 """
@@ -75,7 +75,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # one row per distinct set: its size, its prefix by rarity (32 bits a word: pairs are verified), its signature and its first place
     full_sets = lines.select("doc", "mark", "line_no", token_set(F.col("line"), order).alias("tokens"))
     n = F.size("tokens")
-    probe = n - F.ceil(n * t_num / t_den).cast("int") + 1
+    probe = n - F.ceil(n * t_num / t_den).cast("int") + 2
     marked = full_sets.select(
         "doc", "mark", "line_no", n.alias("n"), F.xxhash64("tokens").alias("s"), F.transform(F.slice("tokens", 1, probe), lambda t: F.xxhash64(t).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("prefix"), signature(F.col("tokens")).alias("bits")
     )
@@ -84,18 +84,19 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one = [F.min("prefix").alias("prefix"), F.min("bits").alias("bits")]
     sets = table(marked.groupBy("s", "n").agg(F.min(F.struct("doc", "line_no", "mark")).alias("first"), *one), "sets")
 
-    # prefix join: the larger set probes, the smaller one is found by its shorter index prefix
-    index = F.col("n") - F.ceil(F.col("n") * 2 * t_num / (t_num + t_den)).cast("int") + 1
+    # prefix join: the larger set probes, the smaller one is found by its shorter index prefix; prefixes are one word longer than
+    # need be, so that similar sets share two words of them
+    index = F.col("n") - F.ceil(F.col("n") * 2 * t_num / (t_num + t_den)).cast("int") + 2
     # a set of fewer words than this has no other set similar enough, and one of as many only a larger one
     least = -(-t_num // (t_den - t_num))
     x = sets.where(F.col("n") > least).select(F.col("s").alias("xs"), F.col("n").alias("xn"), F.col("bits").alias("xb"), F.posexplode("prefix").alias("xi", "w"))
     y = sets.where(F.col("n") >= least).select(F.col("s").alias("ys"), F.col("n").alias("yn"), F.col("bits").alias("yb"), F.posexplode(F.slice("prefix", F.lit(1), index)).alias("yi", "w"))
     need = F.ceil((F.col("xn") + F.col("yn")) * t_num / (t_num + t_den))
     length = (F.col("yn") * t_den >= F.col("xn") * t_num) & ((F.col("yn") < F.col("xn")) | ((F.col("yn") == F.col("xn")) & (F.col("ys") < F.col("xs"))))
-    position = 1 + F.least(F.col("xn") - F.col("xi") - 1, F.col("yn") - F.col("yi") - 1) >= need
+    position = 2 + F.least(F.col("xn") - F.col("xi") - 1, F.col("yn") - F.col("yi") - 1) >= need
     # the signatures bound the words in only one of the sets
     apart = F.bit_count(F.col("xb").bitwiseXOR(F.col("yb"))) <= F.col("xn") + F.col("yn") - 2 * need
-    near = table(x.join(y, "w").where(length & position & apart).select("xs", "xn", "ys", "yn").distinct(), "candidates")
+    near = table(x.join(y, "w").where(length & position & apart).groupBy("xs", "xn", "ys", "yn").agg(F.count("*").alias("c")).where("c > 1").drop("c"), "candidates")
 
     # verification on the full sets, read again from the first place of each set in a candidate pair
     wanted = near.select(F.col("xs").alias("s"), F.col("xn").alias("n")).union(near.select("ys", "yn")).distinct()
