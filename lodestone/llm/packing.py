@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import documents, table
 
 CAPACITY = 2048
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 500_000
 PIECE = pa.schema(
     [("row", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary()), ("part", pa.int64()), ("at", pa.int64())]
 )
