@@ -1,13 +1,14 @@
 """Best-fit packing by a configuration linear program over the length histogram.
 
 The program's columns are configurations: multisets of lengths that fit one sequence.  Multiplicative weights price the lengths, a
-knapsack dynamic program finds the best configuration for the prices, and the averaged solution is rounded down; what rounding
+knapsack dynamic program finds the best configurations for the prices, and the cover they make is rounded; what rounding
 leaves over is filled largest first with the best fitting lengths.  All of this works on a histogram with at most ``capacity``
 entries, whatever the corpus.  Spark counts the histogram, ranks the pieces of each length and gives each its place.
 """
 
 from __future__ import annotations
 
+import logging
 import os
 import re
 import zlib
@@ -134,70 +135,89 @@ def cut_pieces(path: str, capacity: int, with_ids: bool):
     return run
 
 
-def best_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> np.ndarray:
-    """Counts by length of the multiset with the highest price that fits ``capacity``: the unbounded knapsack program."""
-    value, take = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+def fillings(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each room up to ``capacity`` the highest price of a multiset that fits it, and the length to take first (-2: leave one
+    place empty): the unbounded knapsack program."""
+    value, take = np.zeros(capacity + 1), np.full(capacity + 1, -2)
+    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for room in range(1, capacity + 1):
-        n = np.searchsorted(lengths, room, side="right")
-        if n:
+        value[room] = value[room - 1]
+        if n := upto[room]:
             gain = value[room - lengths[:n]] + prices[:n]
-            k = int(np.argmax(gain))
+            k = int(gain.argmax())
             if gain[k] > value[room]:
                 value[room], take[room] = gain[k], k
-        if value[room - 1] > value[room]:
-            value[room], take[room] = value[room - 1], -2
-    counts, room = np.zeros(len(lengths), np.int64), capacity
-    while room > 0 and take[room] != -1:
-        if take[room] == -2:
-            room -= 1
-        else:
-            counts[take[room]] += 1
-            room -= lengths[take[room]]
-    return counts
-
-
-def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 400, rate: float = 0.25) -> list[tuple[np.ndarray, float]]:
-    """Configurations with fractional multiplicities that cover the demand, by multiplicative weights.
-
-    In each round the lengths covered least so far carry the highest prices.  A configuration enters with the largest step that
-    raises no length's coverage by more than ``rate`` of its demand.
+    return value, take
+
+
+def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 400, rate: float = 0.25, gap: float = 0.005) -> list[tuple[np.ndarray, float]]:
+    """Configurations with fractional multiplicities that cover the whole demand, by multiplicative weights.
+
+    A length's price starts at its size and falls as its coverage grows.  One knapsack program a round gives, for each length, the
+    best configuration that holds it; those within a few percent of the best price enter, the lengths covered least first, as
+    often as raises no length's coverage by more than ``rate`` of its demand in the round.  Any prices bound the number of sequences
+    from below; rounds end when the cover is within ``gap`` of the best bound.  Where ``rounds`` end first, single
+    configurations of the lengths behind complete the cover.
     """
-    covered, found = np.zeros(len(lengths)), {}
+    covered, found, total, bound, near = np.zeros(len(lengths)), {}, 0.0, 0.0, 0.02
+    sizes = lengths.tolist()
     for _ in range(rounds):
-        weight = np.exp(-4 * (covered - covered.min()))
-        counts = best_configuration(lengths, weight / demand, capacity)
-        used = counts > 0
-        step = rate * float(np.min(demand[used] / counts[used]))
-        covered += step * counts / demand
-        key = counts.tobytes()
-        found[key] = found.get(key, 0.0) + step
-        if covered.min() >= 4:
+        prices = lengths / capacity * np.exp(-(covered - covered.min()))
+        value, take = fillings(lengths, prices, capacity)
+        best = float(value[capacity])
+        bound = max(bound, float(demand @ prices) / best)
+        first, room = take.tolist(), np.zeros(len(lengths))
+        good = prices + value[capacity - lengths] >= (1 - near) * best
+        for k in np.argsort(covered, kind="stable").tolist():
+            if not good[k] or room[k] > 0.9 * rate:
+                continue
+            own, left = {k: 1}, capacity - sizes[k]
+            while left > 0:
+                j = first[left]
+                if j >= 0:
+                    own[j] = own.get(j, 0) + 1
+                    left -= sizes[j]
+                else:
+                    left -= 1
+            step = min((rate - room[j]) * demand[j] / c for j, c in own.items())
+            if step * own[k] < 0.02 * rate * demand[k]:
+                continue
+            for j, c in own.items():
+                room[j] += step * c / demand[j]
+            key = tuple(sorted(own.items()))
+            found[key] = found.get(key, 0.0) + step
+            total += step
+        covered += room
+        if covered.min() > 0 and total / covered.min() <= (1 + gap) * bound:
             break
-    scale = 1 / max(1.0, float(covered.max()))
-    return [(np.frombuffer(k, np.int64), v * scale) for k, v in found.items()]
+    base = float(np.quantile(covered, 0.02)) or float(covered.max()) or 1.0
+    for k in np.flatnonzero(covered < base).tolist():
+        own = capacity // sizes[k]
+        found[((k, own),)] = found.get(((k, own),), 0.0) + (base - covered[k]) * demand[k] / own
+    out = []
+    for key, times in found.items():
+        counts = np.zeros(len(lengths), np.int16)
+        counts[[j for j, _ in key]] = [c for _, c in key]
+        out.append((counts, times / base))
+    return out
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = 400) -> list[tuple[list[tuple[int, int]], int]]:
-    """Configurations as ((length, count), ...) with whole multiplicities that use up the histogram exactly."""
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = 400, placed: dict[str, int] | None = None) -> list[tuple[list[tuple[int, int]], int]]:
+    """Configurations as ((length, count), ...) with whole multiplicities that use up the histogram exactly.
+
+    The program's multiplicities are rounded down, then their fractions up, the largest first, while there are pieces; a place left in
+    a configuration is filled largest first.  ``placed`` gets the sequences laid by the program and by the filler alone.
+    """
     lengths = np.array(sorted(x for x in histogram if 0 < x < capacity), np.int64)
     left = np.array([histogram[x] for x in lengths.tolist()], np.int64)
     out: list[tuple[list[tuple[int, int]], int]] = [([(capacity, 1)], histogram[capacity])] if histogram.get(capacity) else []
+    laid = {"program": 0, "filler": 0}
 
-    def use(counts: np.ndarray, times: int) -> None:
+    def use(counts: np.ndarray, most: int | None, by: str) -> None:
+        """Largest first what still fits beside ``counts``, then as often as the pieces last, ``most`` times at most."""
         nonlocal left
-        left = left - counts * times
-        own = np.flatnonzero(counts)
-        out.append(([(int(lengths[k]), int(counts[k])) for k in own[::-1]], times))
-
-    if len(lengths):
-        for counts, times in sorted(solve(lengths, left.astype(float), capacity, rounds), key=lambda x: -x[1] * int(x[0] @ lengths)):
-            if int(counts @ lengths) >= 0.98 * capacity:
-                own = counts > 0
-                if (times := min(int(times), int(np.min(left[own] // counts[own])))) > 0:
-                    use(counts, times)
-    while left.any():  # the remainder: the largest length, then always the largest that fits, as often as all of them last
-        counts, room, rest = np.zeros(len(lengths), np.int64), capacity, left.copy()
-        k = len(lengths)
+        counts, rest, k = counts.astype(np.int64), left - counts, len(lengths)
+        room = capacity - int(counts @ lengths)
         while room > 0:
             k = min(k, int(np.searchsorted(lengths, room, side="right")))
             there = np.flatnonzero(rest[:k])
@@ -208,8 +228,26 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = 400)
             counts[k] += n
             rest[k] -= n
             room -= n * int(lengths[k])
-        own = counts > 0
-        use(counts, max(1, int(np.min(left[own] // counts[own]))))
+        own = np.flatnonzero(counts)
+        times = int(np.min(left[own] // counts[own]))
+        times = max(1, times if most is None else min(times, most))
+        left = left - counts * times
+        laid[by] += times
+        out.append(([(int(lengths[k]), int(counts[k])) for k in own[::-1]], times))
+
+    found = solve(lengths, left.astype(float), capacity, rounds) if len(lengths) else []
+    for up, turn in ((0, sorted(found, key=lambda x: -x[1])), (1, sorted(found, key=lambda x: -(x[1] % 1)))):
+        for counts, times in turn:
+            own = np.flatnonzero(counts)
+            more = 1 if up else int(times)
+            while (n := min(more, int(np.min(left[own] // counts[own])))) > 0:
+                was = laid["program"]
+                use(counts, n, "program")
+                more -= laid["program"] - was
+    while left.any():  # the remainder
+        use(np.zeros(len(lengths), np.int64), None, "filler")
+    if placed is not None:
+        placed.update(laid)
     return out
 
 
@@ -264,7 +302,10 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     ranked = pieces.join(base, (F.col("part") == F.col("p")) & (F.col("length") == F.col("l")))
     ranked = ranked.withColumn("rank", F.col("first") + F.col("at")).drop("part", "at", "p", "l", "first")
     kinds = ", ".join(f"{c} {t}" for c, t in ranked.dtypes if c != "rank")
-    return ranked.mapInArrow(place(places(plan(histogram, capacity, rounds))), f"{kinds}, sequence_id long, offset long")
+    laid: dict[str, int] = {}
+    where = places(plan(histogram, capacity, rounds, laid))
+    logging.getLogger(__name__).info("sequences laid by the program: %(program)d, by the filler alone: %(filler)d", laid)
+    return ranked.mapInArrow(place(where), f"{kinds}, sequence_id long, offset long")
 
 
 def word_bpe() -> str:

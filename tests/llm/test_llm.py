@@ -128,6 +128,21 @@ def test_plan_uses_every_piece_once():
     assert packing.plan({}, 8) == []
 
 
+@pytest.mark.parametrize("least", [1, 900])
+def test_program_covers_the_demand(least):
+    """Many lengths: the program itself has to cover the whole demand with few sequences and to lay most of them."""
+    lengths = np.arange(least, 2048)
+    demand = np.full(len(lengths), 50.0)
+    found = packing.solve(lengths, demand, 2048)
+    assert (sum(c * x for c, x in found) >= 0.999 * demand).all()
+    few = demand @ lengths / 2048 if least == 1 else demand[lengths > 1024].sum()
+    assert sum(x for _, x in found) <= 1.05 * few
+    placed = {}
+    out = packing.plan(dict.fromkeys(lengths.tolist(), 50), placed=placed)
+    assert sum(t for _, t in out) <= 1.01 * few + 1
+    assert placed["program"] >= 0.9 * sum(t for _, t in out)
+
+
 def test_pii(spark, texts):
     kinds = {
         "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True), "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
