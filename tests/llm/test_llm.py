@@ -165,6 +165,12 @@ def test_pii(spark, texts):
         assert pii.base_spans(t) == brute(t), t
 
 
+def test_names_beside_punctuation():
+    for t in ('contact "John Smith"', "(Maria Lopez)", "name:John Smith", "-Karen Miller", "\u00abPeter Pan\u00bb", "dear John Smith"):
+        assert [t[a:b] for a, k, b, _ in pii.candidates(t, []) if k == 6] == [" ".join(re.findall("[A-Z][a-z]+", t))], t
+    assert pii.candidates("xJohn Smith, John smith", []) == []
+
+
 def test_labelers_agree_with_planted_classes():
     for_it = [2, 2, 2, 0, 2]
     pattern = lambda v: sum(x * 3**k for k, x in enumerate(v))
