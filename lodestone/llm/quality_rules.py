@@ -17,11 +17,11 @@ SYMBOLS = b"#*$%&|<>"
 
 PROFILE = (
     "row long, doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, host string, copy long, "
-    "lines array<struct<line: long, words: long>>"
+    "lines array<struct<line: long, words: long, at: array<int>>>"
 )
 ARROW = pa.schema(
     [(c, pa.int64()) for c in ("row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    + [("host", pa.string()), ("copy", pa.int64()), ("lines", pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())])))]
+    + [("host", pa.string()), ("copy", pa.int64()), ("lines", pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64()), ("at", pa.list_(pa.int32()))])))]
 )
 
 
@@ -49,7 +49,8 @@ def line_key(host: str | None, words: list[bytes]) -> int:
     return int.from_bytes(hashlib.blake2b(head + b"\0" + text, digest_size=8).digest(), "little", signed=True)
 
 
-def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def profile(batches: Iterator[pa.RecordBatch], with_at: bool = False) -> Iterator[pa.RecordBatch]:
+    """The counts of each text and its lines, with the numbers of the lines if ``with_at`` (else null)."""
     for batch in batches:
         out = []
         for row, doc_id, host, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "host", "text")), strict=True):
@@ -58,23 +59,31 @@ def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = raw.split()
             seen: set[bytes] = set()
             lines: dict[int, int] = {}
+            at: dict[int, list[int]] = {}
             dup = 0
-            for line in raw.split(b"\n"):
+            for no, line in enumerate(raw.split(b"\n")):
                 if own := line.split():
                     dup += line in seen
                     seen.add(line)
                     k = line_key(host, own)
                     lines[k] = lines.get(k, 0) + len(own)
+                    if with_at:
+                        at.setdefault(k, []).append(no)
             spaces, symbols = (len(raw) - len(raw.translate(None, x)) for x in (SPACES, SYMBOLS))
             copy = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
-            pairs = [{"line": k, "words": n} for k, n in lines.items()]
+            pairs = [{"line": k, "words": n, "at": at.get(k)} for k, n in lines.items()]
             out.append((row, doc_id, len(words), len(text) - spaces, symbols, dup, repeated_words(words), host, copy, pairs))
         yield pa.RecordBatch.from_pylist([dict(zip(ARROW.names, x, strict=True)) for x in out], schema=ARROW)
 
 
+def profile_at(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return profile(batches, True)
+
+
 def quality_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
     min_words: int = 50, max_repeat: float = 0.5, min_docs: int = 20, max_share: float = 0.05, min_left: float = 0.5,
+    with_lines: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs`` with the base counts, ``base_failed``, ``n_common_words`` and ``kept``.
 
@@ -84,19 +93,19 @@ def quality_rules(
     documents under ``min_words`` words or with more than ``max_repeat`` of the words in repeated three-word windows.
 
     A null text has no words; a null host is a host of its own; repeated rows are judged alike; an empty table gives an empty
-    result; other columns are ignored.
+    result; other columns are ignored.  ``with_lines`` adds ``gone``: the numbers of the lines over the limit (null: none).
     """
     given = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(host_col).cast("string").alias("host"), F.col(text_col).alias("text")
     )
-    rows = table(given.mapInArrow(profile, PROFILE), "profiles")
-    lines = rows.select("row", "host", "copy", F.explode("lines").alias("l")).select("row", "host", "copy", "l.line", "l.words")
+    rows = table(given.mapInArrow(profile_at if with_lines else profile, PROFILE), "profiles")
+    lines = rows.select("row", "host", "copy", F.explode("lines").alias("l")).select("row", "host", "copy", "l.line", "l.words", "l.at")
     # Two partial aggregations: the copies of a text collapse where they lie, then the texts of a line are counted.
     texts = rows.select("host", "copy").distinct().groupBy("host").agg(F.count("*").alias("texts"))
     per_line = lines.select("host", "line", "copy").distinct().groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     t = texts.select(F.col("host").alias("h"), "texts")
     common = per_line.join(t, F.col("host").eqNullSafe(F.col("h"))).where(F.col("docs") > max_share * F.col("texts")).select("line")
-    lost = lines.join(common, "line").groupBy("row").agg(F.sum("words").alias("lost"))
+    lost = lines.join(common, "line").groupBy("row").agg(F.sum("words").alias("lost"), *([F.flatten(F.collect_list("at")).alias("gone")] if with_lines else []))
     base = (F.col("n_words") < min_words) | (F.col("n_repeat_words") > max_repeat * F.col("n_words"))
     out = rows.drop("lines").join(lost, "row", "left").withColumn("n_common_words", F.coalesce("lost", F.lit(0)))
     depleted = F.col("n_words") - F.col("n_common_words") < min_left * F.col("n_words")
@@ -111,11 +120,17 @@ def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
-    """``docs`` without the rejected documents, all columns unchanged.  The verdict depends on host and text alone."""
-    judged = quality_rules(docs.select(F.xxhash64(F.col(text_col), F.col(host_col)).alias("k"), F.col(text_col).alias("t"), F.col(host_col).alias("h")), "k", "t", "h", **limits)
-    good = judged.where("kept").select(F.col("doc_id").alias("k")).distinct()
-    whole = docs.select(F.struct("*").alias("whole"), F.xxhash64(F.col(text_col), F.col(host_col)).alias("k"))
-    return whole.join(good, "k", "left_semi").select("whole.*")
+    """``docs`` without the rejected documents, and the texts of the others without their lines over the limit; other columns are
+    unchanged.  The verdict depends on host and text alone."""
+    judged = quality_rules(docs.select(F.xxhash64(F.col(text_col), F.col(host_col)).alias("k"), F.col(text_col).alias("t"), F.col(host_col).alias("h")), "k", "t", "h", with_lines=True, **limits)
+    # Rows of one k are judged alike.  As a string the line numbers are aggregated and joined like any plain value.
+    lost = F.concat_ws(",", F.col("gone").cast("array<string>"))
+    good = judged.where("kept").groupBy(F.col("doc_id").alias("_k")).agg(F.max(lost).alias("_gone"))
+    whole = docs.select(F.struct("*").alias("whole"), F.xxhash64(F.col(text_col), F.col(host_col)).alias("_id"))
+    joined = whole.join(good, F.col("_id") == F.col("_k")).withColumn("_gone", F.when(F.col("_gone") != "", F.split("_gone", ",").cast("array<int>")))
+    left = F.array_join(F.filter(F.split(F.col("whole").getField(text_col), "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    text = F.when(F.col("_gone").isNull(), F.col("whole").getField(text_col)).otherwise(left)
+    return joined.select(F.col("whole").withField(text_col, text).alias("whole")).select("whole.*")
 
 
 #: The words of a text as DuckDB sees them.

@@ -327,6 +327,15 @@ def test_remove_and_redact(spark):
     assert {r["text"].split("\n")[-1] for r in pii.redact(d).collect()} == {"other", "mail <email> or <phone>"}
 
 
+def test_kept_texts_lose_common_lines(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(70))
+    rows = [(i, f"All rights  reserved\n{own(i)}\n\nALL rights reserved\n", "a") for i in range(25)] + [(99, f"all rights reserved\n{own(99)}", "b")]
+    rows += [(100, rows[0][1], "a"), (101, "all rights reserved\n" * 40, "a")]
+    got = quality_rules.keep_good(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    want = {i: f"{own(i)}\n\n" for i in range(25)} | {99: rows[25][1], 100: f"{own(0)}\n\n"}
+    assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == sorted(want.items())
+
+
 def test_mixing_cuts_text(spark):
     d = spark.createDataFrame([(i, "a  b\nc d", "s" if i else "t") for i in range(12)], "doc_id long, text string, source string")
     plan = {r["doc_id"]: r["taken"] for r in mixing.mix(d).collect()}
