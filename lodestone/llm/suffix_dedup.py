@@ -27,6 +27,8 @@ LENGTH, PIECE = 100, 24
 SPREAD = LENGTH - PIECE + 1
 #: Bytes in a shard's suffix array.
 SHARD = (2 << 20) - 1
+#: Texts of one anchor that a task compares; where there may be more, each string is dealt by its own hash.
+HOT = 8192
 _PLACE = np.uint64((1 << 28) - 1)
 
 
@@ -66,15 +68,52 @@ def segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
 def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, texts in blocks(batches):
         owner, start, _, key = segments(texts)
-        yield hits(key, owner, np.array(ids, np.int64), tags(texts)[owner] << 32 | start << 1, False)
+        out = hits(key, owner, np.array(ids, np.int64), tags(texts)[owner] << 32 | start << 1, False)
+        # how often the block has the anchor, beside the row that stands for comparison
+        k, at = out.column("k").to_numpy(), out.column("at").to_numpy()
+        n, lone = np.zeros(len(k), np.int32), at & 1 == 0
+        own, count = np.unique(signed(key), return_counts=True)
+        n[lone] = count[np.searchsorted(own, k[lone])]
+        yield out.append_column("n", pa.array(n))
 
 
 CONTEXT = pa.schema([("k", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("n", pa.int32()), ("text", pa.binary())])
 CONTEXT_SQL = "k long, doc long, at long, n int, text binary"
 
 
-def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The text under the strings of each repeated anchor.  Equal texts of a block are sent once, for the earliest place; the strings
+def single_strings(texts: list[bytes], docs: np.ndarray, tag: np.ndarray, owner: np.ndarray, start: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The strings of stretches, each under its own hash (n -1).  Equal strings of the block are sent once, for the earliest place;
+    the others are removed whatever else there is (text null)."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offset = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    who = np.repeat(owner, count)
+    begin = np.repeat(start, count) + np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
+    pos = offset[who] + begin
+    key = signed(piece_hash(data, LENGTH, SEEDS[1]))[pos]
+    order = np.lexsort((begin, tag[who], docs[who], key))
+    first = runs(key[order])
+    least = np.empty(len(order), np.int64)
+    least[order] = np.repeat(order[first], np.diff(np.append(first, len(order))))
+    view = np.lib.stride_tricks.sliding_window_view(data, LENGTH)
+    copy = np.flatnonzero((docs[who] != docs[who[least]]) | (tag[who] != tag[who[least]]) | (begin != begin[least]))
+    gone = np.zeros(len(pos), bool)
+    for c in np.array_split(copy, len(copy) // 50_000 + 1):
+        gone[c] = (view[pos[c]] == view[pos[least[c]]]).all(axis=1)
+    at = tag[who] << 32 | begin << 1
+    sent = np.flatnonzero(~gone)
+    for c in np.array_split(sent, len(sent) // 50_000 + 1):
+        text = pa.Array.from_buffers(pa.binary(LENGTH), len(c), [None, pa.py_buffer(np.ascontiguousarray(view[pos[c]]))]).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(key[c]), pa.array(docs[who[c]]), pa.array(at[c]), pa.array(np.full(len(c), -1, np.int32)), text], schema=CONTEXT)
+    if len(own := np.flatnonzero(gone)):
+        own = own[np.argsort(pos[own], kind="stable")]
+        head = np.flatnonzero(np.concatenate([[True], (pos[own][1:] != pos[own][:-1] + 1) | (who[own][1:] != who[own][:-1])]))
+        n, own = np.diff(np.append(head, len(own))), own[head]
+        columns = [pa.array(by_doc(docs[who[own]])), pa.array(docs[who[own]]), pa.array(at[own]), pa.array(n, pa.int32()), pa.nulls(len(own), pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, schema=CONTEXT)
+
+
+def contexts(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The text under the strings of each repeated anchor; the strings of ``hot`` anchors one by one.  Equal texts of a block are sent once, for the earliest place; the strings
     of the others are removed whatever else there is (text null)."""
     for ids, texts, found in blocks(batches, "found"):
         docs, tag = np.array(ids, np.int64), tags(texts)
@@ -86,6 +125,9 @@ def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = (at[at >> 32 == tag[n]] & 0xFFFFFFFF) >> 1
             good[begin[n] : begin[n + 1]] = np.isin(start[begin[n] : begin[n + 1]], at)
         own = np.flatnonzero(good)
+        if len(hot) and (each := np.isin(signed(key)[own], hot)).any():
+            yield from single_strings(texts, docs, tag, owner[own[each]], start[own[each]], count[own[each]])
+            own = own[~each]
         own = own[np.lexsort((start[own], tag[owner[own]], docs[owner[own]]))]
         seen: dict[tuple, tuple[int, int]] = {}
         out = []
@@ -205,7 +247,9 @@ class Shards:
             self.now, self.texts = row[0], {}
         first = self.texts.setdefault(row[4], row[1:3])
         if first != row[1:3]:
-            return [row[1:4]]
+            return [(*row[1:3], abs(row[3]))]
+        if row[3] < 0:  # a single string under its own hash
+            return []
         out = self.flush() if self.rows and self.size + len(row[4]) > SHARD else []
         self.rows.append(row)
         self.size += len(row[4])
@@ -321,12 +365,15 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty table gives an empty result; other columns are ignored.
     """
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = given.mapInArrow(anchors, "k long, doc long, at long")
+    rows = given.mapInArrow(anchors, "k long, doc long, at long, n int")
     # A block sends each of its anchors once, so that the rows of a hot anchor are as many as the blocks.
-    often = F.count("*").over(Window.partitionBy("k")) > 1
-    flagged = rows.withColumn("often", often).where((F.col("at").bitwiseAND(F.lit(1)) == 1) | F.col("often"))
-    flagged = table(flagged.select("doc", "at"), "anchors")
-    spots = with_found(given, flagged, "inner").mapInArrow(contexts, CONTEXT_SQL)
+    own = Window.partitionBy("k")
+    counted = rows.withColumn("often", F.count("*").over(own) > 1).withColumn("hot", F.when((F.col("n") > 0) & (F.sum("n").over(own) > HOT), F.col("k")))
+    flagged = counted.where((F.col("at").bitwiseAND(F.lit(1)) == 1) | F.col("often") | F.col("hot").isNotNull())
+    flagged = table(flagged.select("doc", "at", "hot"), "anchors")
+    # Fewer than one in HOT anchors of the corpus.
+    hot = np.array(sorted(r.hot for r in flagged.where("hot is not null").select("hot").distinct().collect()), np.int64)
+    spots = with_found(given, flagged.select("doc", "at"), "inner").mapInArrow(lambda batches: contexts(batches, hot), CONTEXT_SQL)
     sharded = spots.repartition("k").sortWithinPartitions("k", "doc", "at")
     removed = table(sharded.mapInArrow(compare, "doc long, at long, n long"), "removed")
     own = removed.groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("found"))

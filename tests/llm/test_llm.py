@@ -274,6 +274,29 @@ def test_suffix_dedup(spark, texts):
     assert sorted(map(tuple, got)) == brute_bytes([(d, t.encode()) for d, t in sorted(docs)])
 
 
+def test_hot_anchors_are_dealt_by_string(spark, monkeypatch):
+    """One piece with many surroundings: the same result, and no key has more than one string."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    rng = random.Random(3)
+    rule = "-" * 90
+    some = ["".join(rng.choice("ab \u00e9") for _ in range(70)) for _ in range(12)]
+    docs = [(i, rng.choice(some)[: rng.randint(20, 70)] + rule + rng.choice(some) + str(i) + rule * rng.randint(0, 2)) for i in range(80)]
+    docs += [docs[3], (3, docs[5][1]), (None, docs[7][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    hot = suffix_dedup.suffix_dedup(df).drop("kept").collect()
+    monkeypatch.setattr(suffix_dedup, "HOT", 1 << 40)
+    assert sorted(map(str, hot)) == sorted(map(str, suffix_dedup.suffix_dedup(df).drop("kept").collect()))
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    got = suffix_dedup.suffix_dedup(spark.createDataFrame(docs[:80], df.schema).repartition(3)).drop("kept").collect()
+    assert sorted(map(tuple, got)) == brute_bytes([(d, t.encode()) for d, t in docs[:80]])
+    texts = [t.encode() for _, t in docs[:80]]
+    owner, start, count, key = suffix_dedup.segments(texts)
+    found = [[int(x) for x in suffix_dedup.tags(texts)[n] << 32 | start[owner == n] << 1] for n in range(80)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(80), pa.int64()), pa.array([t for _, t in docs[:80]]), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "text", "found"])
+    sent = Counter(r["k"] for b in suffix_dedup.contexts(iter([batch]), np.unique(suffix_dedup.signed(key))) for r in b.to_pylist() if r["text"] is not None)
+    assert max(sent.values()) == 1
+
+
 def test_strings_across_shards(monkeypatch):
     """One anchor's texts over many small shards: found by binary search among those carried on."""
     monkeypatch.setattr(suffix_dedup, "SHARD", 1000)
