@@ -29,7 +29,7 @@ def source(spark, d, files: int = 4):
 
 
 def _start(df, name):
-    return df.withColumns({"start": F.unix_timestamp(F.col(f"{name}.start"))}).drop(name).where("start < 1709251200 and event_type <> 'end'" if "event_type" in df.columns else "start < 1709251200")
+    return df.withColumns({"start": F.unix_timestamp(F.col(f"{name}.start"))}).drop(name).where("event_type <> 'end'")
 
 
 def _sums():

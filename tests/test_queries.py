@@ -33,3 +33,20 @@ def test_listing_needs_no_session():
 
     code = "import __spark_entry__ as e; assert len(e.queries()) >= len(e.oracle_sql()) > 150"
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=60)
+
+
+LATE = ["cycle_stream", "merge_deltas_stream", "moving_stream", "trend_stream", "slice_trend_stream", "slot_stream"]
+
+
+@pytest.mark.parametrize("name", LATE)
+def test_events_of_any_date(spark, tmp_path, name):
+    """The events of the tables, moved to the year 2031."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("set timezone = 'UTC'")
+    con.execute(f"copy (select * replace (ts + interval 7 year as ts) from '{DATA}/events.parquet') to '{tmp_path}/events.parquet'")
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet'")
+    got = plans.queries()[name](spark, str(tmp_path)).toPandas()
+    assert len(got)
+    same(got, con.execute(SQL[name]).df())
