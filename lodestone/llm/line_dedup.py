@@ -1,8 +1,13 @@
 """Line dedup as an exact set-similarity join, in DataFrame functions only.
 
 A line is the set of its words.  Words are ordered by rarity; two sets with a Jaccard similarity of ``t`` or more share words among
-their first few, so only these prefixes are joined, under the length and positional filters.  Surviving pairs of distinct sets are
-verified on their full sets.  Lines with the same set are one set, whatever their number.
+their first few, so only these prefixes are joined, under the length, positional and signature filters.  Where the first shared
+word is a frequent one, a second shared word is as near: frequent words only meet in pairs, so that a word which stands in a large
+part of the lines is no key of its own.  Surviving pairs of distinct sets are verified on their words.  Lines with the same set are
+one set, whatever their number.
+
+A line goes when some earlier one is similar; so a set found similar to one earlier set needs no other, and a group of many near
+copies is mostly settled by comparing its sets with a few of its earliest.
 """
 
 from __future__ import annotations
@@ -16,124 +21,187 @@ from .common import documents, table
 
 #: Bits of a word's hash that name its counter.  Rarity only orders the words: any fixed order gives the same result.
 COUNTER_BITS = 14
-WORD_BREAK = "[\\x20\\x09-\\x0D]+"
-LOW = (1 << (64 - COUNTER_BITS)) - 1
+#: Counters, the fullest ones, whose words count as frequent.
+FREQUENT = 64
+#: Sets of more words have signatures of 128 bits.
+LARGE = 64
+#: Sets that all others with the same band are compared with, at most.
+PIVOTS = 16
+ODD_SPACE = "\t\v\f\r"
+NO_ID = (1 << 63) - 1
+
+
+def plain(text: Column) -> Column:
+    """The text with all white space but \\n as spaces; texts without any other aren't rewritten."""
+    odd = F.lit(False)
+    for c in ODD_SPACE:
+        odd = odd | F.contains(text, F.lit(c))
+    return F.when(odd, F.translate(text, ODD_SPACE, " " * len(ODD_SPACE))).otherwise(text)
 
 
-def words_of(line: Column) -> Column:
-    return F.filter(F.split(line, WORD_BREAK), lambda w: w != "")
+def counter(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 64 - COUNTER_BITS).cast("int")
 
 
-def counter(w: Column) -> Column:
-    return F.shiftrightunsigned(w, 64 - COUNTER_BITS).cast("int")
+def word_order(docs: DataFrame) -> list[int]:
+    """For each counter its place by frequency, the rarest first, centred on zero so that signed numbers sort rightly.
+
+    Only 2^COUNTER_BITS numbers come to the driver.
+    """
+    words = docs.select(F.explode(F.split(plain(F.col("text")), "\n")).alias("line")).select(F.explode(F.split("line", " ")).alias("w")).where("w <> ''")
+    found, size = dict(words.groupBy(counter(F.xxhash64("w")).alias("c")).agg(F.count("*").alias("n")).collect()), 1 << COUNTER_BITS
+    place = {c: k - (size >> 1) for k, c in enumerate(sorted(range(size), key=lambda c: (found.get(c, 0), c)))}
+    return [place[c] for c in range(size)]
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc, mark, line_no, line) of each line with a word."""
-    lines = docs.select("doc", "mark", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return lines.where(F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
+def token_set(line: Column, order: list[int]) -> Column:
+    """The distinct words of a line as 64-bit numbers, rarest first: the top bits of a word's hash give way to its counter's place."""
+    low, half = 64 - COUNTER_BITS, 1 << (COUNTER_BITS - 1)
+    signed = lambda c: c - 2 * half if c >= half else c
+    mask = F.from_json(F.lit(json.dumps([signed((p ^ c) & (2 * half - 1)) << low for c, p in enumerate(order)])), "array<long>")
+    token = lambda w: F.xxhash64(w).bitwiseXOR(F.coalesce(F.get(mask, counter(F.xxhash64(w))), F.lit(0).cast("long")))
+    return F.sort_array(F.array_remove(F.array_distinct(F.transform(F.split(line, " "), token)), token(F.lit(""))))
 
 
-def word_order(lines: DataFrame) -> Column:
-    """A literal array: for each counter its place by frequency, the rarest first.
+def signature(tokens: Column, upper: bool = False) -> Column:
+    """64 bits, one of them flipped by each word; each differing bit of two signatures is a word that one set lacks.
 
-    Only 2^COUNTER_BITS numbers come to the driver.  The places are centred on zero, so that signed numbers sort rightly.
+    With ``upper`` only words of the upper half of a signature of 128 bits count; the lower half is the rest.
     """
-    counted = lines.select(F.explode(words_of(F.col("line"))).alias("w")).groupBy(counter(F.xxhash64("w")).alias("c")).agg(F.count("*").alias("n"))
-    found, size = dict(counted.collect()), 1 << COUNTER_BITS
-    place = {c: k for k, c in enumerate(sorted(range(size), key=lambda c: (found.get(c, 0), c)))}
-    return F.from_json(F.lit(json.dumps([place[c] - (size >> 1) for c in range(size)])), "array<int>")
+    weight = lambda t: F.shiftright(t, 6).bitwiseAND(F.lit(1)) if upper else F.lit(1).cast("long")
+    bit = lambda t: F.call_function("shiftleft", weight(t), t.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(bit(t)))
 
 
-def token_set(line: Column, order: Column) -> Column:
-    """The distinct words of a line, rarest first: the counter's place stands for the top bits of each word's 64-bit hash."""
-    place = lambda h: F.get(order, counter(h)).cast("long") * F.lit(LOW + 1)
-    hashes = F.transform(words_of(line), lambda w: F.xxhash64(w))
-    return F.sort_array(F.array_distinct(F.transform(hashes, lambda h: place(h).bitwiseOR(h.bitwiseAND(F.lit(LOW))))))
+def keys_of(prefix: Column, size: Column) -> Column:
+    """(key, i) of each word of a prefix of ``size`` words; of each pair with a later word where the word is frequent (negative).
 
+    ``prefix`` is one word longer.  Frequent words come last, so that after a first shared word that is frequent the second is too.
+    """
+    alone = F.transform(F.slice(prefix, F.lit(1), size), lambda t, i: F.struct(t.alias("key"), i.alias("i")))
+    pairs = F.flatten(
+        F.transform(
+            prefix,
+            lambda t, i: F.when(t >= 0, F.array(F.struct(t.alias("key"), i.alias("i")))).otherwise(
+                F.transform(F.slice(prefix, i + 2, F.size(prefix)), lambda u: F.struct(F.hash(t, u).alias("key"), i.alias("i")))
+            ),
+        )
+    )
+    return F.when(F.element_at(prefix, size) >= 0, alone).otherwise(F.filter(pairs, lambda k: k["i"] < size))
+
+
+def judged_lines(docs: DataFrame, id_col: str, text_col: str, t_num: int, t_den: int) -> DataFrame:
+    """(doc, mark, n_lines, gone) for each row of ``docs``: id or NO_ID, hash of the text, and the numbers of the removed lines."""
+    if 3 * t_num < 2 * t_den or t_num >= t_den:
+        raise ValueError("the similarity must be 2/3 or more and below 1")
+    given = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+    ).withColumn("mark", F.xxhash64("text"))
+    order = word_order(given)
+
+    # one row per line with a word (the first of a text always): its set's hash, signature and size, its prefix by rarity in 31 bits a
+    # word, and three words chosen by hash
+    lines = given.withColumn("row", F.monotonically_increasing_id()).select("row", "doc", "mark", F.posexplode(F.split(plain(F.col("text")), "\n")).alias("line_no", "line"))
+    lines = lines.where((F.col("line_no") == 0) | (F.trim("line") != "")).select("row", "doc", "mark", "line_no", token_set(F.col("line"), order).alias("tokens"))
+    n, often = F.size("tokens"), ((1 << (COUNTER_BITS - 1)) - FREQUENT) << (64 - COUNTER_BITS)
+    short = lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    prefix = F.transform(F.slice("tokens", 1, n - F.ceil(n * t_num / t_den).cast("int") + 2), lambda t: F.when(t < often, short(t)).otherwise(-1 - short(t)))
+    hashes = F.transform("tokens", lambda t: F.shiftleft(t, COUNTER_BITS))
+    lines = lines.select(
+        "row", "doc", "mark", "line_no", n.alias("n"), F.xxhash64("tokens").alias("s"), signature(F.col("tokens")).alias("bits"),
+        F.when(n > LARGE, signature(F.col("tokens"), True)).otherwise(0).alias("upper"), prefix.alias("prefix"), hashes.alias("hashes"),
+    )
+    bands = [F.array_min("hashes"), F.array_max("hashes"), F.array_min("prefix")]
+    lines = table(lines.select("*", *[F.xxhash64(F.lit(k), b).alias(f"band{k}") for k, b in enumerate(bands)]).drop("hashes"), "lines")
 
-def signature(tokens: Column) -> Column:
-    """64 bits, one of them set for each word; each differing bit of two signatures is a word that one set lacks."""
-    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(bit(t)))
+    # one row per distinct set, which hash, signature and size tell apart; the ids follow the sets' first places
+    one, band = ["s", "bits", "n"], [f"band{k}" for k in range(len(bands))]
+    sets = lines.where("n > 0").groupBy(*one).agg(
+        F.min(F.struct("doc", "line_no", "mark")).alias("first"), F.min("prefix").alias("prefix"), *[F.min(c).alias(c) for c in ("upper", *band)], F.count("*").alias("c")
+    )
+    sets = table(sets.repartitionByRange("first").sortWithinPartitions("first").withColumn("id", F.monotonically_increasing_id()), "sets")
+    # a set of fewer words than this has no other set similar enough
+    some = sets.where(F.col("n") >= -(-t_num // (t_den - t_num)))
+
+    def fits(position: Column | None = None) -> Column:
+        """Can the sets x and y be similar, by their sizes, signatures and the words left after a shared one?"""
+        need = F.ceil((F.col("xn") + F.col("yn")) * t_num / (t_num + t_den))
+        whole, upper = F.col("xbits").bitwiseXOR(F.col("ybits")), F.col("xupper").bitwiseXOR(F.col("yupper"))
+        differ = F.when(F.least("xn", "yn") > LARGE, F.bit_count(whole.bitwiseXOR(upper)) + F.bit_count(upper)).otherwise(F.bit_count(whole))
+        length = F.least("xn", "yn") * t_den >= F.greatest("xn", "yn") * t_num
+        # the signatures bound the words in only one of the sets
+        return length & (differ <= F.col("xn") + F.col("yn") - 2 * need) & (F.lit(True) if position is None else position >= need)
+
+    def as_side(df: DataFrame, v: str, *kept: str) -> DataFrame:
+        return df.withColumnsRenamed({c: f"{v}{c}" for c in df.columns if c not in kept})
+
+    def later(near: DataFrame, name: str) -> DataFrame:
+        """The ids x of pairs (xid, yid) whose words are similar and whose places differ, y being the earlier.
+
+        Words are read again from the first place of each set."""
+        wanted = near.select(F.col("xid").alias("id")).union(near.select("yid")).distinct()
+        spots = sets.join(wanted, "id", "left_semi").select("id", F.col("first.doc").alias("d"), F.col("first.mark").alias("m"), F.col("first.line_no").alias("l"))
+        spots = spots.groupBy("d", "m").agg(F.collect_list(F.struct("id", "d", "l")).alias("spots"))  # at most one per line of a document
+        texts = given.join(spots, (F.col("doc") == F.col("d")) & (F.col("mark") == F.col("m"))).select(F.split(plain(F.col("text")), "\n").alias("all"), F.explode("spots").alias("spot"))
+        full = texts.select("spot.*", F.array_remove(F.array_distinct(F.split(F.element_at("all", F.col("spot.l") + 1), " ")), "").alias("w"))
+        full = table(full, f"{name}_words")  # repeated rows of a document give a pair twice, which does no harm
+        both = near.join(as_side(full, "x"), "xid").join(as_side(full, "y"), "yid").where((F.col("yd") < F.col("xd")) | (F.col("yl") < F.col("xl")))
+        common = F.size(F.array_intersect("xw", "yw"))
+        return table(both.where(common * t_den >= (F.size("xw") + F.size("yw") - common) * t_num).select(F.col("xid").alias("id")).distinct(), name)
+
+    # Sets of many near copies meet first at a few pivots: of the sets with one band, the earliest of each of PIVOTS classes of ids.
+    # A set similar to an earlier pivot is settled, so that the join below doesn't write out the pairs of such groups.
+    banded = some.select("id", "n", "bits", "upper", F.explode(F.array(*band)).alias("band"))
+    pivots = banded.groupBy("band").agg(F.count("*").alias("c"), *[F.min(F.when(F.col("id") % PIVOTS == k, F.col("id"))).alias(f"p{k}") for k in range(PIVOTS)]).where("c > 1")
+    pivots = pivots.select("band", F.explode(F.array(*[f"p{k}" for k in range(PIVOTS)])).alias("id")).where("id is not null")
+    pivots = as_side(pivots.join(some.select("id", "n", "bits", "upper"), "id"), "y", "band")
+    tried = as_side(banded, "x", "band").join(pivots, "band").where((F.col("yid") < F.col("xid")) & fits()).select("xid", "yid").distinct()
+    settled = later(table(tried, "tried"), "settled")
+
+    # prefix join of the other sets with all earlier ones
+    size = F.col("n") - F.ceil(F.col("n") * t_num / t_den).cast("int") + 1
+    upto = F.when(F.col("done").isNull(), F.col("id")).otherwise(-1)
+    dealt = some.join(settled.withColumn("done", F.lit(True)), "id", "left").select("id", upto.alias("upto"), "n", "bits", "upper", F.explode(keys_of(F.col("prefix"), size)).alias("k"))
+    dealt = dealt.select("k.key", "k.i", "id", "upto", "n", "bits", "upper")
+    position = 1 + F.least(F.col("xn") - F.col("xi") - 1, F.col("yn") - F.col("yi") - 1)
+    near = as_side(dealt, "x", "key").join(as_side(dealt, "y", "key"), "key").where((F.col("yid") < F.col("xupto")) & fits(position)).select("xid", "yid").distinct()
+    found = later(table(near, "candidates"), "found")
+
+    # lines of a set that isn't the first with its place, and all of a set with a similar earlier one
+    late = sets.join(settled.union(found).withColumn("late", F.lit(True)), "id", "left").where("c > 1 or late").select(*one, F.struct("first.doc", "first.line_no").alias("first"), "late")
+    gone = lines.join(late, one).where(F.col("late") | (F.col("first") < F.struct("doc", "line_no"))).select("doc", "mark", "line_no")
+    gone = gone.groupBy("doc", "mark").agg(F.array_sort(F.collect_set("line_no")).alias("gone")).withColumnsRenamed({"doc": "d", "mark": "m"})
+    rows = lines.groupBy("row").agg(F.min("doc").alias("doc"), F.min("mark").alias("mark"), F.count_if(F.col("n") > 0).alias("n_lines"))
+    return rows.join(gone, (F.col("doc") == F.col("d")) & (F.col("mark") == F.col("m")), "left").select("doc", "mark", "n_lines", "gone")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t_num: int = 4, t_den: int = 5) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_removed, removed_lines (numbers from 0, comma-joined).
 
     Lines are split at \\n and count when they hold a word.  A line is removed when an earlier line (smaller id, or same id and smaller
-    number) has a word set with a Jaccard similarity of t_num / t_den (0.8) or more; lines are judged on the input.  A null text
-    has no lines; a null id is larger than any other; lines of equal number under one id don't count against each other; an empty
-    table gives an empty result; other columns are ignored.
+    number) has a word set with a Jaccard similarity of t_num / t_den (0.8; 2/3 at least) or more; lines are judged on the input.  A
+    null text has no lines; a null id is larger than any other; lines of equal number under one id don't count against each other;
+    an empty table gives an empty result; other columns are ignored.
     """
-    given = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
-    ).withColumn("mark", F.xxhash64("text"))
-    lines = lines_of(given)
-    order = word_order(lines)
-
-    # one row per distinct set: its size, its prefix by rarity (32 bits a word: pairs are verified), its signature and its first place
-    full_sets = lines.select("doc", "mark", "line_no", token_set(F.col("line"), order).alias("tokens"))
-    n = F.size("tokens")
-    probe = n - F.ceil(n * t_num / t_den).cast("int") + 2
-    marked = full_sets.select(
-        "doc", "mark", "line_no", n.alias("n"), F.xxhash64("tokens").alias("s"), F.transform(F.slice("tokens", 1, probe), lambda t: F.xxhash64(t).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("prefix"), signature(F.col("tokens")).alias("bits")
-    )
-    place = F.struct("doc", "line_no")
-    marked = table(marked, "lines")
-    one = [F.min("prefix").alias("prefix"), F.min("bits").alias("bits")]
-    sets = table(marked.groupBy("s", "n").agg(F.min(F.struct("doc", "line_no", "mark")).alias("first"), *one), "sets")
-
-    # prefix join: the larger set probes, the smaller one is found by its shorter index prefix; prefixes are one word longer than
-    # need be, so that similar sets share two words of them
-    index = F.col("n") - F.ceil(F.col("n") * 2 * t_num / (t_num + t_den)).cast("int") + 2
-    # a set of fewer words than this has no other set similar enough, and one of as many only a larger one
-    least = -(-t_num // (t_den - t_num))
-    x = sets.where(F.col("n") > least).select(F.col("s").alias("xs"), F.col("n").alias("xn"), F.col("bits").alias("xb"), F.posexplode("prefix").alias("xi", "w"))
-    y = sets.where(F.col("n") >= least).select(F.col("s").alias("ys"), F.col("n").alias("yn"), F.col("bits").alias("yb"), F.posexplode(F.slice("prefix", F.lit(1), index)).alias("yi", "w"))
-    need = F.ceil((F.col("xn") + F.col("yn")) * t_num / (t_num + t_den))
-    length = (F.col("yn") * t_den >= F.col("xn") * t_num) & ((F.col("yn") < F.col("xn")) | ((F.col("yn") == F.col("xn")) & (F.col("ys") < F.col("xs"))))
-    position = 2 + F.least(F.col("xn") - F.col("xi") - 1, F.col("yn") - F.col("yi") - 1) >= need
-    # the signatures bound the words in only one of the sets
-    apart = F.bit_count(F.col("xb").bitwiseXOR(F.col("yb"))) <= F.col("xn") + F.col("yn") - 2 * need
-    near = table(x.join(y, "w").where(length & position & apart).groupBy("xs", "xn", "ys", "yn").agg(F.count("*").alias("c")).where("c > 1").drop("c"), "candidates")
-
-    # verification on the full sets, read again from the first place of each set in a candidate pair
-    wanted = near.select(F.col("xs").alias("s"), F.col("xn").alias("n")).union(near.select("ys", "yn")).distinct()
-    spots = sets.join(wanted, ["s", "n"]).select("s", "n", F.col("first.doc").alias("d"), F.col("first.mark").alias("m"), F.col("first.line_no").alias("l"))
-    spots = spots.groupBy("d", "m").agg(F.collect_list(F.struct("l", "s", "n")).alias("spots"))  # at most one per line of a document
-    texts = given.join(spots, (F.col("doc") == F.col("d")) & (F.col("mark") == F.col("m"))).select(F.split("text", "\n").alias("all"), F.explode("spots").alias("spot"))
-    full = texts.select(F.col("spot.s").alias("s"), F.col("spot.n").alias("n"), token_set(F.element_at("all", F.col("spot.l") + 1), order).alias("tokens"))
-    full = table(full, "full")  # repeated rows of a document give a pair twice, which does no harm
-    fx, fy = (full.select(F.col("s").alias(f"{v}s"), F.col("n").alias(f"{v}n"), F.col("tokens").alias(f"{v}t")) for v in "xy")
-    common = F.size(F.array_intersect("xt", "yt"))
-    pairs = near.join(fx, ["xs", "xn"]).join(fy, ["ys", "yn"]).where(common * t_den >= (F.col("xn") + F.col("yn") - common) * t_num)
-    pairs = table(pairs.select("xs", "xn", "ys", "yn"), "pairs")
-
-    # the earliest place among a set and the sets similar to it
-    where = sets.select("s", "n", F.struct("first.doc", "first.line_no").alias("first"))
-    both = pairs.union(pairs.select("ys", "yn", "xs", "xn")).toDF("s", "n", "os", "on")
-    other = both.join(where.toDF("os", "on", "of"), ["os", "on"]).groupBy("s", "n").agg(F.min("of").alias("of"))
-    early = where.join(other, ["s", "n"], "left").select("s", "n", F.least("first", F.coalesce("of", "first")).alias("early"))
-    gone = marked.join(early, ["s", "n"]).where(F.col("early") < place).select("doc", "mark", "line_no")
-    gone = gone.groupBy("doc", "mark").agg(F.array_sort(F.collect_set("line_no")).alias("gone")).withColumnsRenamed({"doc": "d", "mark": "m"})
-    found = marked.select("doc", "mark", "line_no").distinct().groupBy(F.col("doc").alias("d0"), F.col("mark").alias("m0")).agg(F.count("*").alias("n_lines"))
-    rows = given.select("doc", "mark").join(found, (F.col("doc") == F.col("d0")) & (F.col("mark") == F.col("m0")), "left")
-    out = rows.join(gone, (F.col("doc") == F.col("d")) & (F.col("mark") == F.col("m")), "left")
-    return out.select(
-        F.when(F.col("doc") < (1 << 63) - 1, F.col("doc")).alias("doc_id"), F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(F.array_join("gone", ","), F.lit("")).alias("removed_lines"),
+    return judged_lines(docs, id_col, text_col, t_num, t_den).select(
+        F.when(F.col("doc") < NO_ID, F.col("doc")).alias("doc_id"), "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.array_join("gone", ","), F.lit("")).alias("removed_lines"),
     )
 
 
 def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the similar later lines taken out of the text."""
-    found = line_dedup(docs, id_col, text_col).where("n_removed > 0").select(F.col("doc_id").alias("_d"), F.split("removed_lines", ",").cast("array<int>").alias("_gone")).dropDuplicates(["_d"])
-    whole = docs.select(F.struct("*").alias("whole"), F.col(id_col).cast("long").alias("_id"))
-    joined = whole.join(found, F.col("_id").eqNullSafe(F.col("_d")), "left")
-    left = F.array_join(F.filter(F.split(F.col("whole").getField(text_col), "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col("whole").getField(text_col)).otherwise(left)
-    return joined.select(F.col("whole").withField(text_col, text).alias("whole")).select("whole.*")
+    """``docs`` with the similar later lines taken out of the text; other columns are unchanged.
+
+    A null text stays null, rows of a null id count as later than all others, an empty table gives an empty result.  Rows of one id
+    are told apart by their texts.
+    """
+    rows = table(docs.select(F.struct("*").alias("whole"), F.monotonically_increasing_id().alias("at")), "whole")
+    ids = rows.select("at", F.coalesce(F.col("whole").getField(id_col).cast("long"), F.lit(NO_ID)).alias("d"), F.xxhash64(F.coalesce(F.col("whole").getField(text_col).cast("string"), F.lit(""))).alias("m"))
+    found = judged_lines(rows.select(f"whole.`{id_col}`", f"whole.`{text_col}`"), id_col, text_col, 4, 5).where("size(gone) > 0").select("doc", "mark", "gone").distinct()
+    lost = ids.join(found, (F.col("d") == F.col("doc")) & (F.col("m") == F.col("mark"))).select("at", "gone")
+    left = F.array_join(F.filter(F.split(F.col("whole").getField(text_col), "\n"), lambda x, i: ~F.array_contains("gone", i)), "\n")
+    text = F.when(F.col("gone").isNull(), F.col("whole").getField(text_col)).otherwise(left)
+    return rows.join(lost, "at", "left").select(F.col("whole").withField(text_col, text).alias("whole")).select("whole.*")
 
 
 def op3_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -343,6 +343,34 @@ def test_cover_brings_any_two_positions_together():
     assert cover_dedup.PERIOD + cover_dedup.GRAM - 1 == cover_dedup.WINDOW
 
 
+def brute_lines(docs):
+    every = sorted((d, i, frozenset(w)) for d, t in docs for i, x in enumerate(t.split("\n")) if (w := re.findall("[^\x20\x09-\x0d]+", x)))
+    found = {d: [0, []] for d, _ in docs}
+    for k, (d, i, s) in enumerate(every):
+        found[d][0] += 1
+        if any(5 * len(s & q) >= 4 * len(s | q) for _, _, q in every[:k]):
+            found[d][1].append(i)
+    return sorted((d, n, len(gone), ",".join(map(str, gone))) for d, (n, gone) in found.items())
+
+
+@pytest.mark.parametrize("frequent", [512, 16384, 1])
+def test_lines_of_hot_words(spark, monkeypatch, frequent):
+    """All pairs by Jaccard, over lines most of whose words are in many others, whatever the number of words held to be frequent."""
+    monkeypatch.setattr(line_dedup, "FREQUENT", frequent)
+    rng = random.Random(5)
+    common, docs = [f"c{i}" for i in range(14)], []
+    for d in range(60):
+        own = []
+        for _ in range(rng.randint(0, 9)):
+            words = [rng.choice(common) for _ in range(rng.randint(1, 12))] + [f"r{rng.randint(0, 30)}" for _ in range(rng.choice((0, 0, 1, 3)))]
+            own.append(rng.choice((" ", "  ", "\t")).join(words))
+            if rng.random() < 0.3:
+                own.append(" ".join(words[:-1] + [f"n{rng.randint(0, 3)}"]))
+        docs.append((d, rng.choice(("\n", "\n\n", "\n \r")).join(own)))
+    got = line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, got.collect())) == brute_lines(docs)
+
+
 def test_remove_and_redact(spark):
     text = "alpha beta gamma delta eps zeta eta theta iota kappa"
     d = spark.createDataFrame([(1, f"{text}\nother"), (2, f"keep\n{text} lambda\nmail a@b.c or +1 (743) 555-3824")], "doc_id long, text string")
