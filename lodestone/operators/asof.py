@@ -1,69 +1,107 @@
-"""Nearest-in-order joins and sliding statistics, by windows over equal keys and buckets of the ordered column."""
+"""Nearest-in-order joins and sliding statistics, by running windows over ranges of the keys and the ordered column."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
-
-
-def _bucketed(left: DataFrame, right: DataFrame, on: str) -> tuple[DataFrame, DataFrame]:
-    """Without exact keys: both sides in BUCKETS equal stretches; each stretch also gets the last lookup row before it and the first after.
-
-    The stretches' edges pass through one window of at most BUCKETS rows; the rows themselves never meet in one task.
-    """
-    span = right.agg(F.min(on).alias("_lo"), ((F.max(on) - F.min(on)) / BUCKETS).alias("_w"))
-    cut = F.greatest(F.lit(0), F.least(F.lit(BUCKETS - 1), F.floor((F.col(on) - F.col("_lo")) / F.when(F.col("_w") > 0, F.col("_w")).otherwise(1))))
-    own = right.join(F.broadcast(span)).withColumn("_b", cut.cast("int")).drop("_lo", "_w")
-    edge = own.groupBy("_b").agg(F.min(F.struct(on, "_v")).alias("_first"), F.max(F.struct(on, "_v")).alias("_last"))
-    every = right.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("_b")).join(edge, "_b", "left")
-    w = Window.orderBy("_b")
-    carried = every.select(
-        "_b", F.last("_last", True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("p"), F.first("_first", True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("n")
-    )
-    more = carried.select("_b", F.explode(F.array("p", "n")).alias("e")).where("e is not null").select("_b", F.col(f"e.{on}").alias(on), F.col("e._v").alias("_v"))
-    return left.join(F.broadcast(span)).withColumn("_b", cut.cast("int")).drop("_lo", "_w"), own.select("_b", on, "_v").unionByName(more)
+from .durable import table
 
 
 def nearest(left: DataFrame, right: DataFrame, on: str, value: str, by: list[str] = (), order: str | None = None, out: str = "nearest") -> DataFrame:
     """``left`` with ``out``: ``value`` of the row of ``right`` with equal ``by`` and the nearest ``on``.
 
     Of two equally near rows the upper one counts; beyond the ends the end row; of rows with equal keys and ``on`` the last by
-    ``order`` (default: the largest value).  Rows without any lookup row get NULL.  No pair of rows is ever formed.
+    ``order`` (default: the largest value).  Rows without any lookup row, or with a null ``on``, get NULL; null keys equal each other.
+
+    No pair of rows is ever formed.  Both sides are dealt by ranges of (by, on), so that a hot key spreads over many tasks; each
+    range is walked once upwards and once downwards, and the lookup rows at its ends are carried over from the ranges around it.
     """
     by = list(by)
-    lookup = right.groupBy(*by, on).agg((F.max_by(value, order) if order else F.max(value)).alias("_v"))
-    keys = by or ["_b"]
-    if not by:
-        left, lookup = _bucketed(left, lookup, on)
-    lookup = lookup.where(F.col(on).isNotNull()).select(*keys, on, F.struct(F.col(on).alias("x"), F.col("_v").alias("v")).alias("_hit"))
+    lookup = right.groupBy(*by, on).agg((F.max_by(value, order) if order else F.max(value)).alias("_v")).where(F.col(on).isNotNull())
+    lookup = lookup.select(*by, on, F.struct(F.col(on).alias("x"), F.col("_v").alias("v")).alias("_hit"))
     both = left.withColumn("_left", F.lit(True)).unionByName(lookup, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(on)
-    before = F.last("_hit", True).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    after = F.first("_hit", True).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing))
-    j = both.withColumn("_a", before).withColumn("_z", after).where("_left")
-    lower = F.col("_z").isNull() | (F.col(on) - F.col("_a.x") < F.col("_z.x") - F.col(on))
-    return j.withColumn(out, F.when(lower, F.col("_a.v")).otherwise(F.col("_z.v"))).drop("_left", "_hit", "_a", "_z", "_b")
-
-
-def sliding(df: DataFrame, x: str, y: str, dx: float, by: list[str] = (), stats: tuple[str, ...] = ("mean", "std")) -> DataFrame:
-    """``df`` with statistics of ``y`` over rows of equal ``by`` within ``x`` ± ``dx``: mean, std (sample, NULL for one row), median (upper).
-
-    Rows are windowed per key and stretch of eight ``dx``; a row near a stretch's end is also a guest in the next.
+    dealt = table(both.repartitionByRange(*by, on).withColumn("_p", F.spark_partition_id()), "dealt")
+    # a row per range and key
+    ends = dealt.groupBy("_p", *by).agg(F.min_by("_hit", "_hit.x").alias("_first"), F.max_by("_hit", "_hit.x").alias("_last"))
+    key = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    earlier = lambda o: key.orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(
+        F.col("_p").alias("_q"), *[F.col(c).alias(f"_by_{c}") for c in by],
+        F.last("_last", True).over(earlier(F.col("_p"))).alias("_below"), F.last("_first", True).over(earlier(F.col("_p").desc())).alias("_above"),
+    )
+    match = F.col("_p") == F.col("_q")
+    for c in by:
+        match = match & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    w = Window.partitionBy("_p", *by)
+    j = dealt.withColumn("_a", F.last("_hit", True).over(w.orderBy(F.col(on).asc()))).withColumn("_z", F.last("_hit", True).over(w.orderBy(F.col(on).desc()))).where("_left").join(ends, match)
+    a, z = F.coalesce("_a", "_below"), F.coalesce("_z", "_above")
+    lower = z.isNull() | (F.col(on) - a["x"] < z["x"] - F.col(on))
+    return j.select(*[F.col(f"`{c}`") for c in left.columns], F.when(F.col(on).isNotNull(), F.when(lower, a["v"]).otherwise(z["v"])).alias(out))
+
+
+def _moments(rows: DataFrame, x: str, y: str, dx: float, part: list[str]) -> DataFrame:
+    """mean and std at each home row of ``rows`` from running sums of the stretch.
+
+    Each home row also sends a mark to either end of its span; the marks read the sums there, so that a row costs the same
+    whatever the number of rows in its span.
     """
+    keep = [*part, F.col(x).alias("_at")]
+    none = F.lit(None).cast("double")
+    points = rows.select(*keep, F.col(x).alias("_x"), F.lit(1).alias("_kind"), F.col(y).cast("double").alias("_y"))
+    home = rows.where("_home = _s")
+    marks = [home.select(*keep, (F.col(x) + side).alias("_x"), F.lit(kind).alias("_kind"), none.alias("_y")) for side, kind in ((-dx, 0), (dx, 2))]
+    every = points.unionByName(marks[0]).unionByName(marks[1])
+    # sums around the stretch's mean, which keeps them small
+    d = F.col("_y") - F.avg("_y").over(Window.partitionBy(*part))
+    run = Window.partitionBy(*part).orderBy("_x", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = every.withColumn("_m", F.avg("_y").over(Window.partitionBy(*part))).withColumn("_d", d)
+    sums = sums.select(*part, "_at", "_kind", "_m", F.count("_d").over(run).alias("_n"), F.coalesce(F.sum("_d").over(run), F.lit(0.0)).alias("_s1"), F.coalesce(F.sum(F.col("_d") * F.col("_d")).over(run), F.lit(0.0)).alias("_s2"))
+    span = lambda c: F.sum(F.when(F.col("_kind") == 2, F.col(c)).otherwise(-F.col(c)))
+    g = sums.where("_kind <> 1").groupBy(*part, "_at").agg(F.max("_m").alias("_m"), *[span(c).alias(c) for c in ("_n", "_s1", "_s2")])
+    mean = F.try_divide(F.col("_s1"), F.col("_n"))
+    var = F.greatest(F.lit(0.0), F.col("_s2") - F.col("_s1") * mean) / F.when(F.col("_n") > 1, F.col("_n") - 1)
+    return g.select(*[c for c in part if c != "_s"], F.col("_at").alias(x), (F.col("_m") + mean).alias("mean"), F.sqrt(var).alias("std"))
+
+
+def sliding(
+    df: DataFrame, x: str, y: str, dx: float, by: list[str] = (), stats: tuple[str, ...] = ("mean", "std"), order: str | None = None, query: DataFrame | None = None
+) -> DataFrame:
+    """Statistics of ``y`` over the points of equal ``by`` within ``x`` ± ``dx``: mean, std (sample, NULL for one point), median (upper).
+
+    Points are the distinct ``x`` of ``df``, of rows with equal ``x`` the last by ``order`` (default: the largest ``y``) counts; rows with
+    a null ``x`` or ``y`` are no points.  The statistics are those at a point; each row of ``query`` (default: ``df``) gets those of
+    its nearest point, of two equally near ones the upper.
+
+    Points are windowed per key and stretch of eight ``dx``; one near a stretch's end is also a guest in the next.
+    """
+    by = list(by)
+    points = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*by, x).agg((F.max_by(y, order) if order else F.max(y)).alias("_y"))
     width = 8 * dx
     home = F.floor(F.col(x) / width)
     guests = F.array_distinct(F.array(home, F.floor((F.col(x) - dx) / width), F.floor((F.col(x) + dx) / width)))
-    rows = df.withColumn("_home", home).withColumn("_s", F.explode(guests))
-    w = Window.partitionBy(*by, "_s").orderBy(x).rangeBetween(-dx, dx)
-    makers = {
-        "mean": lambda: F.avg(y).over(w), "std": lambda: F.stddev_samp(y).over(w),
-        "median": lambda: (lambda a: F.element_at(a, (F.floor(F.size(a) / 2) + 1).cast("int")))(F.array_sort(F.collect_list(y).over(w))),
-    }
-    for s in stats:
-        rows = rows.withColumn(s, makers[s]())
-    return rows.where("_home = _s").drop("_home", "_s")
+    rows = points.withColumn("_home", home).withColumn("_s", F.explode(guests))
+    part, found = [*by, "_s"], points.select(*by, x)
+    if {"mean", "std"} & set(stats):
+        found = _joined(found, _moments(rows, x, "_y", dx, part), [*by, x])
+    if "median" in stats:
+        # the values of a span have to be at hand; they are as many as its distinct x
+        around = F.array_sort(F.collect_list("_y").over(Window.partitionBy(*part).orderBy(x).rangeBetween(-dx, dx)))
+        median = rows.withColumn("_l", around).where("_home = _s").select(*by, x, F.element_at("_l", (F.floor(F.size("_l") / 2) + 1).cast("int")).alias("median"))
+        found = _joined(found, median, [*by, x])
+    if query is None:
+        return _joined(df, found.select(*by, x, *stats), [*by, x], "left")
+    out = nearest(query, found.select(*by, x, F.struct(*stats).alias("_stats")), x, "_stats", by, out="_stats")
+    return out.select(*[F.col(f"`{c}`") for c in query.columns], *[F.col(f"_stats.{s}").alias(s) for s in stats])
+
+
+def _joined(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join in which null keys equal each other."""
+    b = b.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    match: Column = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return a.join(b, match, how).drop(*[f"_k_{k}" for k in keys])
 
 
 _lookups: dict[str, tuple[DataFrame, str, str, list[str]]] = {}

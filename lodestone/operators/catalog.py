@@ -129,9 +129,24 @@ def contradictions(settings: DataFrame) -> DataFrame:
 
 #: What marks a failure in a log.  Fixed values.
 FAILURES = [
-    r"\[ERROR\]", r"\[FATAL\]", "Segmentation fault", "segmentation violation", "Bus error", "Aborted", "Killed", "core dumped", "std::bad_alloc", "Out of memory", "terminate called",
-    "Exception", "No such file", "Disk quota exceeded", "No space left", "command not found", "Assertion",
-]
+    r"\b[Ee]xception",
+    "segmentation violation",
+    "error while setting up workflow",
+    "bus error",
+    "Assertion.*failed",
+    "Fatal in",
+    r"libc\+\+abi.*terminating",
+    "There was a crash.",
+    "arrow.*Check failed",
+    "terminate called after",
+    "terminate called without an active",
+    r"\]\[FATAL\]",
+    r"\*\*\* Program crashed",
+    r"\*\*\* Fatal Exception",
+    "was killed abnormally",
+    "line.*Killed",
+    r"\*\*\* Error in",
+]
 
 
 def failure_context(lines: DataFrame, file: str, patterns: list[str] = FAILURES, before: int = 2, after: int = 10) -> DataFrame:

@@ -31,8 +31,8 @@ def axes_from(values: DataFrame, bins: int) -> DataFrame:
 
 
 def fill(values: DataFrame, axes: DataFrame, keys: list[str] = ()) -> DataFrame:
-    """Counts per (keys…, object, bin); each value weighs one.  ``axes`` has a row per object and is broadcast."""
-    x = values.join(F.broadcast(axes), "object")
+    """Counts per (keys…, object, bin); each value weighs one.  ``axes`` has a row per object; Spark broadcasts it where it is small."""
+    x = values.join(axes, "object")
     inner = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("bins")).cast("int") + 1
     place = F.when(F.col("x") < F.col("lo"), 0).when(F.col("x") >= F.col("hi"), F.col("bins") + 1).otherwise(F.least(inner, F.col("bins")))
     counted = x.groupBy(*keys, "object", "bins", "lo", "hi", place.alias("bin")).agg(F.count("*").cast("double").alias("content"))
@@ -150,6 +150,10 @@ def register_metric(name: str, function: Callable, threshold: float, lower_is_be
     _metrics[name] = (function, threshold, lower_is_better)
 
 
+def unregister_metric(name: str) -> None:
+    _metrics.pop(name, None)
+
+
 def metrics() -> dict[str, tuple[Callable, float, bool]]:
     return dict(_metrics)
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .durable import checkpointed
+
 
 def attribute(access: DataFrame, actions: DataFrame) -> DataFrame:
     """(file, kind, task): any process in an access's chain that belongs to a task."""
@@ -81,25 +83,22 @@ def check_stages(names: DataFrame, needs: DataFrame) -> DataFrame:
 
 def _step(df: DataFrame, k: int, every: int = 4) -> DataFrame:
     """Keep a round's result; every few rounds by a reliable checkpoint, which also cuts the growing lineage."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint() if k % every == every - 1 else df.cache()
+    return checkpointed(df) if k % every == every - 1 else df.cache()
 
 
-def closure(edges: DataFrame, seeds: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def closure(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """All nodes reached from ``seeds(node)`` along ``edges(src, dst)``, the seeds included.
 
-    One join per round on the newest nodes only; the loop ends when a round adds none.
+    One join per round on the newest nodes only; the loop ends when a round adds none, however deep the graph.
     """
+    edges = edges.select("src", "dst").persist()
     seen = front = seeds.select("node").distinct()
-    for k in range(max_rounds):
+    for k in count():
         front = edges.join(front, edges["src"] == front["node"]).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti")
         front = _step(front, k)
         if front.isEmpty():
             return seen
         seen = _step(seen.unionByName(front), k)
-    raise ValueError("not finished within max_rounds")
 
 
 def satisfiable(names: DataFrame, needs: DataFrame) -> DataFrame:
@@ -109,16 +108,17 @@ def satisfiable(names: DataFrame, needs: DataFrame) -> DataFrame:
     return names.select("name").distinct().join(closure(reverse, bad).withColumnRenamed("node", "name"), "name", "left_anti")
 
 
-def levels(names: DataFrame, needs: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def levels(names: DataFrame, needs: DataFrame) -> DataFrame:
     """Topological level of each task, 0 without needs; NULL for tasks in or behind a cycle.
 
     Each round settles the tasks whose open needs were all settled in earlier rounds: one join of the newest tasks with the edges.
+    The rounds end when none is settled any more, however deep the graph.
     """
-    edges = needs.select("name", "need").distinct()
+    edges = needs.select("name", "need").distinct().persist()
     wait = names.select("name").distinct().join(edges.groupBy("name").agg(F.count("*").alias("open")), "name", "left").fillna(0, ["open"])
     front = wait.where("open = 0").select("name", F.lit(0).alias("level"))
     wait, done = wait.where("open > 0"), front
-    for k in range(1, max_rounds):
+    for k in count(1):
         met = edges.join(front.select(F.col("name").alias("need")), "need").groupBy("name").agg(F.count("*").alias("_met"))
         wait = _step(wait.join(met, "name", "left").select("name", (F.col("open") - F.coalesce("_met", F.lit(0))).alias("open")), k, 2)
         front = wait.where("open = 0").select("name", F.lit(k).alias("level"))
@@ -128,17 +128,24 @@ def levels(names: DataFrame, needs: DataFrame, max_rounds: int = 1000) -> DataFr
     return done.unionByName(wait.select("name", F.lit(None).cast("int").alias("level")))
 
 
-def longest_path(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
-    """(name, length): a node's weight and the longest sum of weights below it, for an acyclic graph."""
-    best = nodes.select("name", "weight", F.col("weight").alias("length"))
-    for k in range(max_rounds):
-        below = edges.join(best.select(F.col("name").alias("dst"), "length"), "dst").groupBy(F.col("src").alias("name")).agg(F.max("length").alias("_l"))
-        new = best.join(below, "name", "left").select("name", "weight", (F.col("weight") + F.coalesce("_l", F.lit(0))).alias("_n"), "length")
-        new = _step(new, k)
-        if new.where("_n <> length").isEmpty():
+def longest_path(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(name, length): a node's weight (0 or more) and the longest sum of weights below it, for an acyclic graph.
+
+    A round hands on only the lengths that the round before made longer.  A node of an acyclic graph grows in no more rounds than
+    there are nodes; a round beyond that shows a cycle and raises an error.
+    """
+    edges = edges.select("src", "dst").persist()
+    best = nodes.select("name", "weight", F.col("weight").alias("length"), F.lit(True).alias("grown"))
+    most = nodes.count()
+    for k in range(most + 1):
+        front = best.where("grown").select(F.col("name").alias("dst"), "length")
+        below = edges.join(front, "dst").groupBy(F.col("src").alias("name")).agg(F.max("length").alias("_l"))
+        more = F.col("weight") + F.col("_l")
+        grown = F.coalesce(more > F.col("length"), F.lit(False))
+        best = _step(best.join(below, "name", "left").select("name", "weight", F.when(grown, more).otherwise(F.col("length")).alias("length"), grown.alias("grown")), k)
+        if best.where("grown").isEmpty():
             return best.select("name", "length")
-        best = new.select("name", "weight", F.col("_n").alias("length"))
-    raise ValueError("not finished within max_rounds")
+    raise ValueError("the graph has a cycle")
 
 
 def replicate(stages: DataFrame, frames: int) -> DataFrame:

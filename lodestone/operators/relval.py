@@ -33,24 +33,28 @@ def default_limits(metrics: DataFrame, overrides: dict[str, float] | None = None
 
 
 def user_limits(metrics: DataFrame, combine: str = "mean", margin: float = 0.0) -> DataFrame:
-    """Mean or worst comparable value per object and metric, with a margin as a fraction of it."""
-    ok = metrics.where("comparable")
-    worst = F.when(F.first("lower_is_better"), F.max("value")).otherwise(F.min("value"))
-    g = ok.groupBy("object", "metric").agg((F.avg("value") if combine == "mean" else worst).alias("mean"), F.first("lower_is_better").alias("lower"))
-    room = F.abs("mean") * margin
+    """Mean or worst comparable value per object and metric, with a margin as a fraction of it.
+
+    Where no value is comparable the limits are NULL, so that the object stays and can be judged not comparable.
+    """
+    ok = F.when(F.col("comparable"), F.col("value"))
+    worst = F.when(F.first("lower_is_better"), F.max(ok)).otherwise(F.min(ok))
+    g = metrics.groupBy("object", "metric").agg((F.avg(ok) if combine == "mean" else worst).alias("mean"), F.first("lower_is_better").alias("lower"))
+    room = F.col("mean") * margin
     return g.select("object", "metric", F.lit("threshold_user").alias("test"), "mean", F.when(~F.col("lower"), room).alias("low"), F.when(F.col("lower"), room).alias("high"))
 
 
 def region_limits(metrics: DataFrame) -> DataFrame:
     """Mean and population deviation of central values (tight) and of outliers (loose).
 
-    A value is an outlier if it is worse than its threshold and the threshold is less than a tenth of the excess.
+    A value is an outlier if it is worse than its threshold and the threshold is less than a tenth of the excess.  Objects without
+    a comparable value keep their rows, with NULL limits.
     """
     diff = F.col("value") - F.col("threshold")
     better = F.when(F.col("lower_is_better"), diff < 0).otherwise(diff > 0)
     outlier = ~better & (diff != 0) & (F.abs(F.try_divide(F.col("threshold"), diff)) < 0.1)
-    g = metrics.where("comparable").withColumn("o", F.coalesce(outlier, F.lit(False))).groupBy("object", "metric")
-    one = lambda f, c: f(F.when(c, F.col("value")))
+    g = metrics.withColumn("o", F.coalesce(outlier, F.lit(False))).groupBy("object", "metric")
+    one = lambda f, c: f(F.when(F.col("comparable") & c, F.col("value")))
     g = g.agg(one(F.avg, ~F.col("o")).alias("mc"), one(F.stddev_pop, ~F.col("o")).alias("sc"), one(F.avg, F.col("o")).alias("mo"), one(F.stddev_pop, F.col("o")).alias("so"))
     rows = [F.struct(F.lit(t).alias("test"), F.col(m).alias("mean"), F.col(s).alias("dev")) for t, m, s in (("regions_tight", "mc", "sc"), ("regions_loose", "mo", "so"))]
     out = g.select("object", "metric", F.explode(F.array(*rows)).alias("r"))
@@ -72,8 +76,10 @@ def test(metrics: DataFrame, limits: DataFrame, function: Callable[[Column, Colu
     return j.withColumn("passed", passed).withColumn("n_sigmas", sigmas).drop("low", "high")
 
 
-def interpret(results: DataFrame, critical: list[str] | None = None) -> DataFrame:
-    """Adds ``verdict``.  Without a list all metrics are critical."""
+def interpret(results: DataFrame, critical: list[str] | None = None, function: Callable[[DataFrame], Column] | None = None) -> DataFrame:
+    """Adds ``verdict``.  Without a list all metrics are critical.  ``function`` may give the verdict's column instead."""
+    if function is not None:
+        return results.withColumn("verdict", function(results))
     crit = F.lit(True) if critical is None else F.col("metric").isin(critical)
     verdict = (
         F.when(~F.col("comparable") & crit, "CRIT_NC").when(~F.col("comparable"), "NONCRIT_NC").when(F.col("passed").isNull(), "UNKNOWN")
@@ -134,6 +140,16 @@ def ordered(results: DataFrame) -> DataFrame:
     return results.orderBy("object", "metric")
 
 
+def query(results: DataFrame, condition: Callable[[DataFrame], Column]) -> DataFrame:
+    """Rows for which a function of the frame gives true."""
+    return results.where(condition(results))
+
+
+def patterns_in(lines: list[str]) -> list[str]:
+    """The patterns of a file's lines: empty lines and those that begin with # are left out, as is what follows a # elsewhere."""
+    return [p for line in lines if (p := line.split("#", 1)[0].strip())]
+
+
 def by_pattern(df: DataFrame, column: str, include: list[str] = (), exclude: list[str] = ()) -> DataFrame:
     """Rows whose name some pattern finds; without include patterns, rows that no exclude pattern finds."""
     if include:

@@ -118,7 +118,7 @@ def contradictions(spark, d):
 
 def _lines(spark, d):
     x = read(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return x.withColumn("line", F.when(F.col("line").contains("Licensed"), F.concat(F.lit("[ERROR] "), F.col("line"))).otherwise(F.col("line")))
+    return x.withColumn("line", F.when(F.col("line").contains("Licensed"), F.concat(F.lit("[12:00:00][FATAL] "), F.col("line"))).otherwise(F.col("line")))
 
 
 def failure_context(spark, d):
@@ -188,7 +188,7 @@ SQL = {
         case when o_orderstatus = 'F' then strftime(o_orderdate, '%Y-%m-%d') end as merged_at from orders where o_custkey % 7 in (1, 2, 3) and o_custkey % 7 <> o_orderkey % 5""",
     "contradictions": "select p_brand as \"group\", (p_partkey % 40)::varchar as key, string_agg(distinct p_size::varchar, ',' order by p_size::varchar) as values from part group by all having count(distinct p_size) > 1",
     "failure_context": """with l0 as (select doc_id, unnest(range(len(a)))::int as line_no, unnest(a) as line from (select doc_id, string_split(text, chr(10)) as a from documents)),
-        l as (select doc_id, line_no, case when contains(line, 'Licensed') then '[ERROR] ' || line else line end as line from l0),
+        l as (select doc_id, line_no, case when contains(line, 'Licensed') then '[12:00:00][FATAL] ' || line else line end as line from l0),
         h as (select doc_id, min(line_no) as n from l where regexp_matches(line, '"""
     + "|".join(K.FAILURES)
     + """') group by 1)

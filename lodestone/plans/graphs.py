@@ -73,9 +73,10 @@ def stage_check(spark, d):
 
 
 def closure(spark, d):
-    """What the parts divisible by 97 need."""
+    """What the largest defined parts need."""
     n, e = _stages(spark, d)
-    return L.closure(e.toDF("src", "dst"), n.where("name % 97 = 0").toDF("node"))
+    large = read(spark, d, "part").where("p_size = 50").select(F.col("p_partkey").alias("name"))
+    return L.closure(e.toDF("src", "dst"), n.join(large, "name", "left_semi").toDF("node"))
 
 
 def descendants(spark, d):
@@ -102,7 +103,7 @@ def longest_path(spark, d):
 
 
 def replicate(spark, d):
-    p = read(spark, d, "part").where("p_partkey < 500")
+    p = read(spark, d, "part")
     k = F.col("p_partkey").cast("string")
     glob = F.col("p_partkey") % 5 == 0
     s = p.select(
@@ -136,7 +137,7 @@ SQL = {
     "pid_attribution": """with a as (select distinct l_partkey, l_returnflag as kind, unnest([l_suppkey, l_linenumber]) as pid from lineitem)
         select kind, 'task' || s_nationkey as task, count(distinct l_partkey) as files from a join supplier on s_suppkey = pid and s_nationkey < 12 group by all""",
     "stage_check": f"""with {NEED} select distinct need as name, 'undefined' as problem from ne where need not in (select name from nm) union all select name, 'duplicate' from nm where name % 100 = 4""",
-    "closure": f"with recursive {NEED}, r as (select name as node from nm where name % 97 = 0 union select need from r join ne on name = node) select node from r",
+    "closure": f"with recursive {NEED}, r as (select name as node from nm where name in (select p_partkey from part where p_size = 50) union select need from r join ne on name = node) select node from r",
     "descendants": f"with recursive {NEED}, r as (select 7::bigint as node union select name from r join ne on need = node) select node from r",
     "satisfiable": f"with recursive {NEED}, b as (select distinct name as node from ne where need not in (select name from nm) union select name from b join ne on need = node) select name from nm where name not in (select node from b)",
     "topo_level": f"""with recursive {NEED}, c as (select 20::bigint as node union select name from c join ne on need = node), e as (select * from ne where name not in (select node from c)),
@@ -144,7 +145,7 @@ SQL = {
         select p_partkey as name, max(level)::int as level from part left join lv on name = p_partkey group by 1""",
     "longest_path": """with recursive w as (select p_partkey as leaf, p_partkey as node, p_size::bigint as length from part union all select leaf, node // 2, length + p_size from w join part on p_partkey = node // 2 where node > 1)
         select node as name, max(length) as length from w group by 1""",
-    "replicate": """with s as (select p_partkey as k, p_size, p_partkey % 5 = 0 as g from part where p_partkey < 500)
+    "replicate": """with s as (select p_partkey as k, p_size, p_partkey % 5 = 0 as g from part)
         select case when g then 'g' || k else 't' || k || '_' || f end as name, case when g then -1 else f end::int as timeframe,
                case when g then 't' || k + 1 || '_1,t' || k + 1 || '_2,t' || k + 1 || '_3,g' || p_size * 5 else 't' || k + 1 || '_' || f || ',g' || p_size * 5 end as needs
         from s, (select unnest([1, 2, 3]) as f) where not g or f = 1""",

@@ -18,8 +18,7 @@ EV = "ev as (select *, epoch_us(ts) // 1000000 - 1704067200 as sec from events)"
 
 def _two(spark, d):
     e = events(spark, d)
-    types = [F.col("event_id") % 5 == 0, F.col("event_id") % 3 == 1]
-    return e.where(types[0]).select("event_id", "user_id", "sec"), e.where(types[1]).select("user_id", "sec", F.col("event_id").alias("other"))
+    return e.select("event_id", "user_id", "sec"), e.where("event_type = 'click'").select("user_id", "sec", F.col("event_id").alias("other"))
 
 
 def asof_1d(spark, d):
@@ -34,8 +33,8 @@ def asof_nd(spark, d):
 
 
 def _asof_sql(on: str) -> str:
-    return f"""with {EV}, a as (select event_id, user_id, sec from ev where event_id % 5 = 0),
-      b as (select {'user_id, ' if on else ''}sec, max(event_id) as other from ev where event_id % 3 = 1 group by all),
+    return f"""with {EV}, a as (select event_id, user_id, sec from ev),
+      b as (select {'user_id, ' if on else ''}sec, max(event_id) as other from ev where event_type = 'click' group by all),
       lo as (select a.event_id, b.sec as x, b.other as v from a asof left join b on {on} a.sec >= b.sec),
       hi as (select a.event_id, b.sec as x, b.other as v from a asof left join b on {on} a.sec <= b.sec)
       select a.event_id, {'a.user_id, ' if on else ''}a.sec, case when hi.x is null or a.sec - lo.x < hi.x - a.sec then lo.v else hi.v end as nearest
@@ -44,12 +43,12 @@ def _asof_sql(on: str) -> str:
 
 def sliding_stats(spark, d):
     e = events(spark, d).select("event_id", "event_type", "sec", "value")
-    return rounded(asof.sliding(e, "sec", "value", 86400, ["event_type"]).drop("sec", "value"), mean=10, std=10)
+    return rounded(asof.sliding(e, "sec", "value", 86400, ["event_type"], order="event_id").drop("sec", "value"), mean=6, std=6)
 
 
 def sliding_median(spark, d):
     e = events(spark, d).select("event_id", "event_type", "sec", "value")
-    return asof.sliding(e, "sec", "value", 3600, ["event_type"], ("median",)).drop("sec", "value")
+    return asof.sliding(e, "sec", "value", 3600, ["event_type"], ("median",), "event_id").drop("sec", "value")
 
 
 STEP, MARGIN = 86400, 3600
@@ -104,13 +103,13 @@ def range_lookup(spark, d):
 
 
 def run_lookup(spark, d):
-    s = read(spark, d, "customer").where("c_custkey % 50 = 1").select(F.col("c_custkey").alias("lo"), (F.col("c_custkey") + 59).alias("hi"), F.col("c_mktsegment").alias("setting"))
+    s = read(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("lo"), (F.col("c_custkey") + 59).alias("hi"), F.col("c_mktsegment").alias("setting"))
     return intervals.run_lookup(read(spark, d, "orders").select("o_orderkey", "o_custkey"), s, "o_custkey", 64)
 
 
 def skim(spark, d):
     e = events(spark, d)
-    f = e.where("event_id % 97 = 3").select(F.col("sec").alias("lo"), (F.col("sec") + F.col("user_id") % 20).alias("hi"))
+    f = e.where("event_type = 'signup'").select(F.col("sec").alias("lo"), (F.col("sec") + F.col("user_id") % 20).alias("hi"))
     return intervals.skim(e.select("event_id", "sec"), f, "sec")
 
 
@@ -138,17 +137,20 @@ def events_before(spark, d):
 SQL = {
     "asof_1d": _asof_sql(""),
     "asof_nd": _asof_sql("a.user_id = b.user_id and"),
-    "sliding_stats": f"""with {EV} select event_id, event_type, round(avg(value) over w, 10) as mean, round(stddev_samp(value) over w, 10) as std from ev
-        window w as (partition by event_type order by sec range between 86400 preceding and 86400 following)""",
-    "sliding_median": f"""with {EV}, x as (select event_id, event_type, list_sort(list(value) over (partition by event_type order by sec range between 3600 preceding and 3600 following)) as l from ev)
-        select event_id, event_type, l[len(l) // 2 + 1] as median from x""",
+    "sliding_stats": f"""with {EV}, p as (select event_type, sec, arg_max(value, event_id) as v from ev group by all),
+        s as (select event_type, sec, round(avg(v) over w, 6) as mean, round(stddev_samp(v) over w, 6) as std from p
+              window w as (partition by event_type order by sec range between 86400 preceding and 86400 following))
+        select event_id, event_type, mean, std from ev join s using (event_type, sec)""",
+    "sliding_median": f"""with {EV}, p as (select event_type, sec, arg_max(value, event_id) as v from ev group by all),
+        x as (select event_type, sec, list_sort(list(v) over (partition by event_type order by sec range between 3600 preceding and 3600 following)) as l from p)
+        select event_id, event_type, l[len(l) // 2 + 1] as median from ev join x using (event_type, sec)""",
     "window_plan": f"with {PW} select * from pw",
     "overlap_assign": f"""with {PW} select run, user_id, half, "window" from lb join pw using (run) where hi >= ws and lo <= we and least(hi, we) - greatest(lo, ws) > margin""",
     "overlap_grazed": f"""with {PW} select run, "window", count(*) as touching, count(*) filter (least(hi, we) - greatest(lo, ws) <= margin) as grazed from lb join pw using (run) where hi >= ws and lo <= we group by all""",
     "exclude_intervals": f"""with {LB} select event_id, user_id % 10 as run, sec from ev where not exists (select 1 from lb where half % 5 = 0 and lb.run = ev.user_id % 10 and ev.sec between lb.lo and lb.hi)""",
     "range_lookup": "select o_orderkey, (case when o_totalprice >= 0 and o_totalprice < 100000 then 32 when o_totalprice < 200000 then 16 when o_totalprice < 400000 then 8 else -1 end)::int as orbits, 128 as fixed from orders",
-    "run_lookup": "select o_orderkey, o_custkey, arg_max(c_mktsegment, c_custkey) as setting from orders left join customer on c_custkey % 50 = 1 and o_custkey between c_custkey and c_custkey + 59 group by all",
-    "skim": f"with {EV} select distinct a.event_id, a.sec from ev a join ev f on f.event_id % 97 = 3 and a.sec between f.sec - 55 and f.sec + f.user_id % 20 + 55",
+    "run_lookup": "select o_orderkey, o_custkey, arg_max(c_mktsegment, c_custkey) as setting from orders left join customer on c_mktsegment = 'BUILDING' and o_custkey between c_custkey and c_custkey + 59 group by all",
+    "skim": f"with {EV} select distinct a.event_id, a.sec from ev a join ev f on f.event_type = 'signup' and a.sec between f.sec - 55 and f.sec + f.user_id % 20 + 55",
     "interval_units": f"""with {LB}, p as (select run, user_id, half, case when run < 5 then lo else lo + 5000000 end as lo, hi + 5000000 as hi from lb)
         select run, user_id, half, case when lo > 3000000 then floor((lo - 1000) * 11.245::double)::bigint else lo end as lo, floor((hi - 1000) * 11.245::double)::bigint as hi from p""",
     "distance_order": """with o as (select o_custkey, (o_custkey % 100) / 40 - 0.5 as pos, case when o_custkey % 17 > 0 then o_orderkey end as value from orders),

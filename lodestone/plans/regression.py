@@ -234,14 +234,14 @@ SQL = {
         from g left join verd v using (metric, verdict) group by all""",
     "relval_matrix": f"""with {PAIR} select object, max(verdict) filter (metric = 'test_chi2') as test_chi2, max(verdict) filter (metric = 'test_kolmogorov') as test_kolmogorov,
         max(verdict) filter (metric = 'test_num_entries') as test_num_entries from verd group by object""",
-    "relval_user_limits": f"""with {ORDER_METRICS}, g as (select object, metric, avg(value) as a, max(value) as w from metrics where value > 0 group by all)
-        select object, metric, 'mean' as combine, round(a, 5) as mean, null::double as low, round(abs(a) * 0.1, 5) as high from g
-        union all select object, metric, 'extreme', round(w, 5), null, round(abs(w) * 0.2, 5) from g""",
-    "relval_regions": f"""with {ORDER_METRICS}, o as (select *, value > threshold and abs(threshold / (value - threshold)) < 0.1 as o from metrics where value > 0),
-        g as (select object, metric, avg(value) filter (not o) as mc, stddev_pop(value) filter (not o) as sc, avg(value) filter (o) as mo, stddev_pop(value) filter (o) as so from o group by all)
+    "relval_user_limits": f"""with {ORDER_METRICS}, g as (select object, metric, avg(value) filter (value > 0) as a, max(value) filter (value > 0) as w from metrics group by all)
+        select object, metric, 'mean' as combine, round(a, 5) as mean, null::double as low, round(a * 0.1, 5) as high from g
+        union all select object, metric, 'extreme', round(w, 5), null, round(w * 0.2, 5) from g""",
+    "relval_regions": f"""with {ORDER_METRICS}, o as (select *, value > threshold and abs(threshold / (value - threshold)) < 0.1 as o, value > 0 as ok from metrics),
+        g as (select object, metric, avg(value) filter (ok and not o) as mc, stddev_pop(value) filter (ok and not o) as sc, avg(value) filter (ok and o) as mo, stddev_pop(value) filter (ok and o) as so from o group by all)
         select object, metric, 'regions_tight' as test, round(mc, 5) as mean, round(sc, 5) as low, round(sc, 5) as high from g
         union all select object, metric, 'regions_loose', round(mo, 5), round(so, 5), round(so, 5) from g""",
-    "relval_sigmas": f"""with {ORDER_METRICS}, o as (select *, value > threshold and abs(threshold / (value - threshold)) < 0.1 as o from metrics where value > 0),
+    "relval_sigmas": f"""with {ORDER_METRICS}, o as (select *, value > threshold and abs(threshold / (value - threshold)) < 0.1 and value > 0 as o from metrics),
         g as (select object, metric, avg(value) filter (o) as mo, stddev_pop(value) filter (o) as so from o group by all)
         select object, strftime(month, '%Y-%m') as month, metric, case when mo is not null then value between mo - so and mo + so end as passed,
                round(case when so <> 0 then abs(mo - value) / so end, 4) as n_sigmas from metrics join g using (object, metric)""",

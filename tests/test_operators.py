@@ -27,7 +27,27 @@ def test_axes_empty_and_nan(spark):
 def test_registered_metric(spark):
     a = hist.fill(spark.range(10).select(F.lit("o").alias("object"), F.col("id").cast("double").alias("x")), spark.createDataFrame([("o", 5, 0.0, 10.0)], "object string, bins int, lo double, hi double"))
     hist.register_metric("total", lambda p, t, key: t.select(*key, (F.col("sum_a") + F.col("sum_b")).alias("value")), 1.0, True)
-    assert hist.compare(a, a, ["total"]).first()["value"] == 20
+    try:
+        assert hist.compare(a, a, ["total"]).first()["value"] == 20
+    finally:
+        hist.unregister_metric("total")
+    assert "total" not in hist.metrics()
+
+
+def test_objects_without_comparable_values(spark):
+    rows = [("a", "m", 2.0, True, 1.0, True, None), ("a", "m", 4.0, True, 1.0, True, None), ("b", "m", None, False, 1.0, True, "empty"), ("c", "m", -2.0, True, -1.0, True, None)]
+    m = spark.createDataFrame(rows, "object string, metric string, value double, comparable boolean, threshold double, lower_is_better boolean, note string")
+    user = {r["object"]: (r["mean"], r["low"], r["high"]) for r in relval.user_limits(m, "mean", 0.1).collect()}
+    assert user["a"] == (3.0, None, 3.0 * 0.1) and user["b"] == (None, None, None) and user["c"] == (-2.0, None, -2.0 * 0.1)
+    assert {r["object"]: r["mean"] for r in relval.user_limits(m, "extreme").collect()} == {"a": 4.0, "b": None, "c": -2.0}
+    regions = relval.region_limits(m)
+    assert {r["object"] for r in regions.collect()} == {"a", "b", "c"}
+    for limits in (relval.user_limits(m), regions):
+        verdicts = [r["verdict"] for r in relval.interpret(relval.test(m, limits)).where("object = 'b'").collect()]
+        assert verdicts and set(verdicts) == {"CRIT_NC"}
+    own = relval.interpret(relval.test(m, relval.user_limits(m)), function=lambda r: F.when(r["value"] > 3, "HIGH").otherwise("LOW"))
+    assert relval.query(own, lambda r: r["verdict"] == "HIGH").count() == 1
+    assert relval.patterns_in(["# all", "^a  # first", "", "b$"]) == ["^a", "b$"]
 
 
 def test_nearest_rules(spark):
@@ -58,6 +78,39 @@ def test_merge_order(spark):
         assert math.isclose(whole[c], twice[c], rel_tol=1e-12)
 
 
+def test_deep_chain_has_levels(spark):
+    n = spark.createDataFrame([(k,) for k in range(24)], "name int")
+    e = spark.createDataFrame([(k + 1, k) for k in range(23)], "name int, need int")
+    assert {r["name"]: r["level"] for r in lineage.levels(n, e).collect()} == {k: k for k in range(24)}
+
+
+def test_nearest_of_one_hot_key(spark):
+    """One key's rows over many ranges, against the rule on a sorted list."""
+    import bisect
+    import random
+
+    rng = random.Random(1)
+    table = sorted({rng.randint(0, 4000) for _ in range(300)})
+    queries = [rng.randint(-100, 4100) for _ in range(700)]
+    left = spark.createDataFrame([(k, q, 1) for k, q in enumerate(queries)] + [(-1, None, 1), (-2, 5, None)], "n int, t int, k int")
+    right = spark.createDataFrame([(x, x, 1) for x in table] + [(9, 9, 2)], "t int, v int, k int")
+    got = {r["n"]: r["nearest"] for r in asof.nearest(left.repartition(7), right, "t", "v", ["k"]).collect()}
+    assert got.pop(-1) is None and got.pop(-2) is None
+    for k, q in enumerate(queries):
+        i = bisect.bisect_left(table, q)
+        up, down = table[i] if i < len(table) else None, table[i - 1] if i else None
+        assert got[k] == (down if up is None or (down is not None and q - down < up - q) else up)
+
+
+def test_sliding_at_stored_points(spark):
+    """Of equal x the last counts, and a query gets the statistics of its nearest point."""
+    d = spark.createDataFrame([(0, 1.0, 1), (1, 9.0, 2), (1, 3.0, 3), (2, 5.0, 4), (50, 7.0, 5), (None, 1.0, 6)], "x int, y double, n int")
+    own = {r["n"]: (r["mean"], r["std"], r["median"]) for r in asof.sliding(d, "x", "y", 1, stats=("mean", "std", "median"), order="n").collect()}
+    assert own[1] == (2.0, math.sqrt(2), 3.0) and own[2] == own[3] == (3.0, 2.0, 3.0) and own[4] == (4.0, math.sqrt(2), 5.0) and own[5] == (7.0, None, 7.0) and own[6] == (None,) * 3
+    q = spark.createDataFrame([(-9,), (26,), (25,)], "x int")
+    assert {r["x"]: r["mean"] for r in asof.sliding(d, "x", "y", 1, order="n", query=q).collect()} == {-9: 2.0, 25: 4.0, 26: 7.0}
+
+
 def test_cycle_has_no_level(spark):
     n = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "name string")
     e = spark.createDataFrame([("b", "a"), ("c", "d"), ("d", "c")], "name string, need string")
