@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .links import PART
+from .ranges import with_previous
 
 
 def monotonic(df: DataFrame, by: str, value: str, part: list[str], strict: bool = True) -> DataFrame:
     """Per part: rows, violations against the row before, first violation's position, largest backward jump."""
-    prev = F.lag(value).over(Window.partitionBy(*part).orderBy(by))
+    df, prev = with_previous(df.select(*part, by, value), part, by, value), F.col("_prev")
     bad = (F.col(value) <= prev) if strict else (F.col(value) < prev)
     v = df.withColumn("_bad", F.coalesce(bad, F.lit(False))).withColumn("_jump", prev - F.col(value))
     return v.groupBy(*part).agg(
@@ -22,16 +23,15 @@ def monotonic(df: DataFrame, by: str, value: str, part: list[str], strict: bool
 
 def violation_samples(df: DataFrame, by: str, value: str, part: list[str], n: int = 5) -> DataFrame:
     """The first n violations of each part with the value before."""
-    prev = F.lag(value).over(Window.partitionBy(*part).orderBy(by))
-    bad = df.withColumn("previous", prev).where(F.col(value) < F.col("previous"))
+    bad = with_previous(df.select(*part, by, value), part, by, value, "previous").where(F.col(value) < F.col("previous"))
     nth = F.row_number().over(Window.partitionBy(*part).orderBy(by))
     return bad.withColumn("_n", nth).where(F.col("_n") <= n).select(*part, by, value, "previous")
 
 
 def monotonic_running(df: DataFrame, by: str, value: str, part: list[str]) -> DataFrame:
     """As ``monotonic``, against the largest valid value so far; negative values are ignored."""
-    w = Window.partitionBy(*part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
-    top = F.max(F.when(F.col(value) >= 0, F.col(value))).over(w)
+    valid = F.when(F.col(value) >= 0, F.col(value))
+    df, top = with_previous(df.select(*part, by, value), part, by, value, top=valid), F.col("_top")
     bad = (F.col(value) >= 0) & (F.col(value) < top)
     v = df.withColumn("_bad", F.coalesce(bad, F.lit(False))).withColumn("_back", top - F.col(value))
     return v.groupBy(*part).agg(
@@ -41,7 +41,7 @@ def monotonic_running(df: DataFrame, by: str, value: str, part: list[str]) -> Da
 
 def contiguity(df: DataFrame, by: str, group: str, part: list[str]) -> DataFrame:
     """Groups re-opened after being closed: runs of equal values less distinct values."""
-    prev = F.lag(group).over(Window.partitionBy(*part).orderBy(by))
+    df, prev = with_previous(df.select(*part, by, group), part, by, group), F.col("_prev")
     v = df.withColumn("_new", (prev.isNull() | (prev != F.col(group))).cast("int")).where(F.col(group) >= 0)
     return v.groupBy(*part).agg(F.sum("_new").alias("runs"), F.countDistinct(group).alias("groups")).withColumn("reopened", F.col("runs") - F.col("groups"))
 

@@ -1,8 +1,8 @@
 """Linked columnar tables: row numbers as keys, maps from old to new rows, and remapping of every link.
 
 A table holds ``part`` (the unit of data, default ``df_id``) and ``row_id``; links are row numbers of another table of the same part, -1
-for none.  A map is a table (df_id, old, new), new NULL for a dropped row.  All maps are planned before any link is rewritten.  Windows
-are always partitioned by part and joins are on (part, row), so that parts spread over the cluster.
+for none.  A map is a table (df_id, old, new), new NULL for a dropped row.  All maps are planned before any link is rewritten.  Rows
+are numbered by ranges of (part, order) and joins are on (part, row), so that a large part spreads over the cluster as well.
 """
 
 from __future__ import annotations
@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranges import numbered, with_previous
+
 PART = "df_id"
 
 
 def attach_row_id(df: DataFrame, order: list[str], part: str = PART) -> DataFrame:
-    w = Window.partitionBy(part).orderBy(*order)
-    return df.withColumn("row_id", (F.row_number().over(w) - 1).cast("long"))
+    return numbered(df, [part], order, "row_id")
 
 
 def identity_map(df: DataFrame, part: str = PART) -> DataFrame:
@@ -24,9 +25,9 @@ def identity_map(df: DataFrame, part: str = PART) -> DataFrame:
 
 def dedup_map(df: DataFrame, key: str, part: str = PART) -> DataFrame:
     """Rows sorted by key, equal keys collapsed on the first: every old row leads to the survivor's new row."""
-    by_key = Window.partitionBy(part).orderBy(key)
-    first = F.min("row_id").over(Window.partitionBy(part, key))
-    return df.select(part, F.col("row_id").alias("old"), (F.dense_rank().over(by_key) - 1).cast("long").alias("new"), (F.col("row_id") == first).alias("survives"))
+    keys = numbered(df.groupBy(part, key).agg(F.min("row_id").alias("_first")), [part], [key], "new").withColumnsRenamed({part: "_part", key: "_key"})
+    j = df.select(part, key, "row_id").join(keys, (F.col(part) == F.col("_part")) & F.col(key).eqNullSafe(F.col("_key")))
+    return j.select(part, F.col("row_id").alias("old"), "new", (F.col("row_id") == F.col("_first")).alias("survives"))
 
 
 def linked(df: DataFrame, link: str, target_map: DataFrame, part: str = PART) -> DataFrame:
@@ -37,9 +38,8 @@ def linked(df: DataFrame, link: str, target_map: DataFrame, part: str = PART) ->
 
 def reorder_map(df: DataFrame, link: str, target_map: DataFrame, part: str = PART) -> DataFrame:
     """Stable order by the remapped link, rows without a link last."""
-    w = Window.partitionBy(part).orderBy(F.col("_to") < 0, "_to", "row_id")
-    j = linked(df, link, target_map, part)
-    return j.select(part, F.col("row_id").alias("old"), (F.row_number().over(w) - 1).cast("long").alias("new"))
+    j = linked(df, link, target_map, part).select(part, "row_id", (F.col("_to") < 0).alias("_none"), "_to")
+    return numbered(j, [part], ["_none", "_to", "row_id"], "new").select(part, F.col("row_id").alias("old"), "new")
 
 
 def keyed_dedup_map(df: DataFrame, link: str, target_map: DataFrame, keys: list[str], part: str = PART) -> DataFrame:
@@ -47,9 +47,8 @@ def keyed_dedup_map(df: DataFrame, link: str, target_map: DataFrame, keys: list[
     j = linked(df, link, target_map, part)
     alone = F.when(F.col("_to") < 0, F.col("row_id"))
     first = F.min("row_id").over(Window.partitionBy(part, "_to", alone, *keys))
-    kept = j.withColumn("_first", first).select(part, "row_id", "_to", "_first")
-    w = Window.partitionBy(part).orderBy(F.col("_to") < 0, "_to", "row_id")
-    survivors = kept.where("row_id = _first").select(part, F.col("row_id").alias("_first"), (F.row_number().over(w) - 1).cast("long").alias("new"))
+    kept = j.withColumn("_first", first).select(part, "row_id", (F.col("_to") < 0).alias("_none"), "_to", "_first")
+    survivors = numbered(kept.where("row_id = _first").drop("row_id"), [part], ["_none", "_to", "_first"], "new").select(part, "_first", "new")
     return kept.join(survivors, [part, "_first"]).select(part, F.col("row_id").alias("old"), "new", (F.col("row_id") == F.col("_first")).alias("survives"))
 
 
@@ -58,8 +57,9 @@ def drop_orphans(df: DataFrame, link: str, target_map: DataFrame, part: str = PA
     alive = target_map if "survives" in target_map.columns else target_map.withColumn("survives", F.col("new").isNotNull())
     m = alive.select(part, F.col("old").alias(link), F.when(F.col("survives"), F.col("new")).alias("_to"))
     j = df.join(m, [part, link], "left").withColumn("_gone", (F.col(link) >= 0) & F.col("_to").isNull()).withColumn("_to", F.coalesce("_to", F.lit(-1)).cast("long"))
-    w = Window.partitionBy(part, "_gone").orderBy(F.col("_to") < 0, "_to", "row_id")
-    return j.select(part, F.col("row_id").alias("old"), F.when(~F.col("_gone"), (F.row_number().over(w) - 1).cast("long")).alias("new"))
+    j = j.select(part, "row_id", F.coalesce("_gone", F.lit(False)).alias("_gone"), (F.col("_to") < 0).alias("_none"), "_to")
+    n = numbered(j, [part, "_gone"], ["_none", "_to", "row_id"], "new")
+    return n.select(part, F.col("row_id").alias("old"), F.when(~F.col("_gone"), F.col("new")).alias("new"))
 
 
 def follow_parent(df: DataFrame, parent_map: DataFrame, part: str = PART) -> DataFrame:
@@ -102,10 +102,8 @@ def renumber(df: DataFrame, own_map: DataFrame, part: str = PART) -> DataFrame:
 
 def grouped_by(df: DataFrame, link: str, part: str = PART) -> bool:
     """Is the table, in every part, sorted by this link with missing links last?  One aggregation, one boolean."""
-    w = Window.partitionBy(part).orderBy("row_id")
-    prev = F.lag(link).over(w)
-    bad = ((F.col(link) >= 0) & ((prev < 0) | (prev > F.col(link))))
-    return df.select(bad.alias("b")).where("b").isEmpty()
+    bad = (F.col(link) >= 0) & ((F.col("_prev") < 0) | (F.col("_prev") > F.col(link)))
+    return with_previous(df.select(part, "row_id", link), [part], "row_id", link).where(bad).isEmpty()
 
 
 def plan_maps(tables: dict[str, DataFrame], registry: dict[str, dict], part: str = PART, max_passes: int = 8) -> dict[str, DataFrame]:
