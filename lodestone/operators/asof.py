@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .durable import table
+from .ranges import fits
 
 
 def nearest(left: DataFrame, right: DataFrame, on: str, value: str, by: list[str] = (), order: str | None = None, out: str = "nearest") -> DataFrame:
@@ -14,13 +15,22 @@ def nearest(left: DataFrame, right: DataFrame, on: str, value: str, by: list[str
     Of two equally near rows the upper one counts; beyond the ends the end row; of rows with equal keys and ``on`` the last by
     ``order`` (default: the largest value).  Rows without any lookup row, or with a null ``on``, get NULL; null keys equal each other.
 
-    No pair of rows is ever formed.  Both sides are dealt by ranges of (by, on), so that a hot key spreads over many tasks; each
-    range is walked once upwards and once downwards, and the lookup rows at its ends are carried over from the ranges around it.
+    No pair of rows is ever formed: each key is walked once upwards and once downwards.  Where a count shows a key with too many rows
+    for a task, both sides are dealt by ranges of (by, on) and the lookup rows at the ends of a range are carried over to those
+    around it.
     """
     by = list(by)
     lookup = right.groupBy(*by, on).agg((F.max_by(value, order) if order else F.max(value)).alias("_v")).where(F.col(on).isNotNull())
     lookup = lookup.select(*by, on, F.struct(F.col(on).alias("x"), F.col("_v").alias("v")).alias("_hit"))
     both = left.withColumn("_left", F.lit(True)).unionByName(lookup, allowMissingColumns=True)
+    walk = lambda part: (F.last("_hit", True).over(Window.partitionBy(*part).orderBy(o)) for o in (F.col(on).asc(), F.col(on).desc()))
+    a, z = F.col("_a"), F.col("_z")
+    lower = z.isNull() | (F.col(on) - a["x"] < z["x"] - F.col(on))
+    chosen = F.when(F.col(on).isNotNull(), F.when(lower, a["v"]).otherwise(z["v"])).alias(out)
+    own = [F.col(f"`{c}`") for c in left.columns]
+    if fits(both, by):
+        up, down = walk(by or [F.lit(0)])
+        return both.withColumn("_a", up).withColumn("_z", down).where("_left").select(*own, chosen)
     dealt = table(both.repartitionByRange(*by, on).withColumn("_p", F.spark_partition_id()), "dealt")
     # a row per range and key
     ends = dealt.groupBy("_p", *by).agg(F.min_by("_hit", "_hit.x").alias("_first"), F.max_by("_hit", "_hit.x").alias("_last"))
@@ -33,11 +43,9 @@ def nearest(left: DataFrame, right: DataFrame, on: str, value: str, by: list[str
     match = F.col("_p") == F.col("_q")
     for c in by:
         match = match & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    w = Window.partitionBy("_p", *by)
-    j = dealt.withColumn("_a", F.last("_hit", True).over(w.orderBy(F.col(on).asc()))).withColumn("_z", F.last("_hit", True).over(w.orderBy(F.col(on).desc()))).where("_left").join(ends, match)
-    a, z = F.coalesce("_a", "_below"), F.coalesce("_z", "_above")
-    lower = z.isNull() | (F.col(on) - a["x"] < z["x"] - F.col(on))
-    return j.select(*[F.col(f"`{c}`") for c in left.columns], F.when(F.col(on).isNotNull(), F.when(lower, a["v"]).otherwise(z["v"])).alias(out))
+    up, down = walk(["_p", *by])
+    j = dealt.withColumn("_a", up).withColumn("_z", down).where("_left").join(ends, match)
+    return j.withColumn("_a", F.coalesce("_a", "_below")).withColumn("_z", F.coalesce("_z", "_above")).select(*own, chosen)
 
 
 def _moments(rows: DataFrame, x: str, y: str, dx: float, part: list[str]) -> DataFrame:

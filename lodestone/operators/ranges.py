@@ -1,7 +1,7 @@
 """Positions and neighbours in the order of a part, without a window over a whole part.
 
 Rows are dealt by ranges of (part, order), so that a large part spreads over many tasks.  What a range has to know of the ranges before
-it is one row per range and part.
+it is one row per range and part.  Where a count shows that no part has more than TASK_ROWS rows, a part is one task's window.
 """
 
 from __future__ import annotations
@@ -12,6 +12,15 @@ from pyspark.sql import functions as F
 from .durable import table
 
 
+#: Rows of a part that one task may sort.
+TASK_ROWS = 2_000_000
+
+
+def fits(df: DataFrame, part: list[str]) -> bool:
+    """Has no part more than TASK_ROWS rows?  One number comes to the driver."""
+    return (df.groupBy(*part).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0) <= TASK_ROWS
+
+
 def _with_ends(dealt: DataFrame, part: list[str], ends: DataFrame) -> DataFrame:
     """``dealt`` with the columns of ``ends`` (_p, part…, …) for its range and part; null parts equal each other."""
     ends = ends.withColumnsRenamed({c: f"_e_{c}" for c in ("_p", *part)})
@@ -27,6 +36,10 @@ def _earlier(part: list[str]):
 
 def numbered(df: DataFrame, part: list[str], order: list[str | Column], name: str) -> DataFrame:
     """``df`` with ``name``: the position from 0 of each row of a part in ``order``; rows that tie keep one fixed order."""
+    df = table(df, "rows")
+    if fits(df, part):
+        w = Window.partitionBy(*(part or [F.lit(0)])).orderBy(*order)
+        return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
     dealt = df.repartitionByRange(*part, *order).sortWithinPartitions(*part, *order)
     dealt = table(dealt.withColumn("_p", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "numbered")
     ends = dealt.groupBy("_p", *part).agg(F.count("*").alias("_n"), F.min("_at").alias("_from"))
@@ -36,6 +49,10 @@ def numbered(df: DataFrame, part: list[str], order: list[str | Column], name: st
 
 def with_previous(df: DataFrame, part: list[str], order: str, value: str, name: str = "_prev", top: Column | None = None) -> DataFrame:
     """``df`` with ``name``: ``value`` of the row before, and, if ``top`` is given, ``_top``: its largest value in all rows before."""
+    if fits(df, part):
+        w = Window.partitionBy(*(part or [F.lit(0)])).orderBy(order)
+        out = df.withColumn(name, F.lag(value).over(w))
+        return out if top is None else out.withColumn("_top", F.max(top).over(w.rowsBetween(Window.unboundedPreceding, -1)))
     dealt = table(df.repartitionByRange(*part, order).withColumn("_p", F.spark_partition_id()), "dealt")
     wanted = [F.max_by(F.struct(F.col(value).alias("v")), order).alias("_last")] + ([F.max(top).alias("_most")] if top is not None else [])
     ends = dealt.groupBy("_p", *part).agg(*wanted)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
-from lodestone.operators import asof, hist, intervals, lineage, relval, resources
+from lodestone.operators import asof, checks, hist, intervals, lineage, ranges, relval, resources
 
 
 def test_axes_empty_and_nan(spark):
@@ -84,11 +85,13 @@ def test_deep_chain_has_levels(spark):
     assert {r["name"]: r["level"] for r in lineage.levels(n, e).collect()} == {k: k for k in range(24)}
 
 
-def test_nearest_of_one_hot_key(spark):
-    """One key's rows over many ranges, against the rule on a sorted list."""
+@pytest.mark.parametrize("task_rows", [0, 1 << 40])
+def test_nearest_of_one_hot_key(spark, monkeypatch, task_rows):
+    """One key's rows in one task or over many ranges, against the rule on a sorted list."""
     import bisect
     import random
 
+    monkeypatch.setattr(ranges, "TASK_ROWS", task_rows)
     rng = random.Random(1)
     table = sorted({rng.randint(0, 4000) for _ in range(300)})
     queries = [rng.randint(-100, 4100) for _ in range(700)]
@@ -102,6 +105,25 @@ def test_nearest_of_one_hot_key(spark):
         assert got[k] == (down if up is None or (down is not None and q - down < up - q) else up)
 
 
+@pytest.mark.parametrize("task_rows", [0, 1 << 40])
+def test_numbers_and_neighbours_by_ranges(spark, monkeypatch, task_rows):
+    monkeypatch.setattr(ranges, "TASK_ROWS", task_rows)
+    import random
+
+    rng = random.Random(2)
+    values = [rng.choice((None, -1, rng.randint(0, 50))) for _ in range(400)]
+    d = spark.createDataFrame([(k % 3 if k % 5 else None, k, v) for k, v in enumerate(values)], "p int, k int, v int").repartition(5)
+    got = {(r["p"], r["k"]): (r["n"], r["_prev"], r["_top"]) for r in ranges.with_previous(ranges.numbered(d, ["p"], ["k"], "n"), ["p"], "k", "v", top=F.when(F.col("v") >= 0, F.col("v"))).collect()}
+    for p in (None, 0, 1, 2):
+        own = [k for k in range(400) if (k % 3 if k % 5 else None) == p]
+        for n, k in enumerate(own):
+            before = [values[i] for i in own[:n]]
+            assert got[p, k] == (n, before[-1] if before else None, max((v for v in before if v is not None and v >= 0), default=None))
+    m = checks.monotonic(d.where("p = 1"), "k", "v", ["p"]).first()
+    one = [values[k] for k in range(400) if k % 5 and k % 3 == 1]
+    assert m["violations"] == sum(a is not None and b is not None and b <= a for a, b in zip(one, one[1:], strict=False)) and m["rows"] == len(one)
+
+
 def test_sliding_at_stored_points(spark):
     """Of equal x the last counts, and a query gets the statistics of its nearest point."""
     d = spark.createDataFrame([(0, 1.0, 1), (1, 9.0, 2), (1, 3.0, 3), (2, 5.0, 4), (50, 7.0, 5), (None, 1.0, 6)], "x int, y double, n int")
