@@ -17,10 +17,12 @@ _own: dict[str, str] = {}
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables: ``spark.checkpoint.dir`` of the session, or one of our own where that is unset."""
+    """The folder for intermediate tables: ``spark.checkpoint.dir`` of the session; on one machine, where that is unset, our own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if app not in _own:
             _own[app] = tempfile.mkdtemp(prefix="spark-")
             atexit.register(shutil.rmtree, _own[app], True)

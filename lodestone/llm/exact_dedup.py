@@ -39,7 +39,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the copies: the kept row of each group, all columns unchanged.
 
-    Rows that repeat both the kept id and its text are one document; one of them is returned.
+    Rows that repeat both the kept id and its text are one document; one of them is returned, whichever comes first where they
+    differ in letter case or other columns.  Null texts and empty ones are copies of each other; a null id stays only where all
+    of a group are null; an empty table gives an empty result.
     """
     key = F.concat_ws(":", "text_sha256", F.col("doc_id").cast("string")).alias("k")
     kept = exact_dedup(docs, id_col, text_col).where("kept").select(key)

@@ -92,7 +92,11 @@ def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: a row per document and epoch; at a cut the text ends after its last word taken."""
+    """The mix itself, with the columns of ``docs``: a row per document and epoch; at a cut the text ends after its last word taken.
+
+    Null and empty texts have no words to take and are left out; a null source is a source of its own; rows of a null id and
+    repeated rows are taken like others; an empty table gives an empty result.
+    """
     rows = table(docs.select(F.struct("*").alias("whole"), F.monotonically_increasing_id().alias("row")), "whole")
     taken = mix(rows.select("row", f"whole.`{id_col}`", f"whole.`{text_col}`", f"whole.`{source_col}`"), id_col, text_col, source_col, "row", **how)
     # a document's words taken: whole epochs, then a part

@@ -236,26 +236,29 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """``docs`` with each span of its text replaced by its kind in angle brackets."""
+    """``docs`` with each stretch of spans in its text replaced by the kinds in it, in angle brackets; other columns are unchanged.
+
+    Spans that overlap are one stretch, so that no part of any of them stays.  A null text stays null, null and repeated ids are
+    treated like others, an empty table gives an empty result.
+    """
     rows = table(docs.select(F.struct("*").alias("whole"), F.monotonically_increasing_id().alias("at")), "whole")
     found = find_pii(rows.select("at", F.col("whole").getField(text_col).alias("t")), "at", "t", threshold).select(F.col("doc_id").alias("at"), "spans")
-    joined = rows.join(found, "at")
-    # applied from the last to the first; of overlapping spans the later start wins
-    ordered = F.reverse(F.split("spans", ","))
-    text = F.aggregate(
-        ordered, F.struct(F.col("whole").getField(text_col).alias("t"), F.lit(1 << 31).cast("long").alias("left")),
-        lambda acc, s: F.when(
-            F.split(s, ":")[2].cast("long") <= acc["left"],
-            F.struct(
-                F.concat(
-                    F.substring(acc["t"], F.lit(1), F.split(s, ":")[1].cast("int")), F.lit("<"), F.split(s, ":")[0], F.lit(">"),
-                    F.substring(acc["t"], F.split(s, ":")[2].cast("int") + 1, F.lit((1 << 31) - 1)),
-                ).alias("t"), F.split(s, ":")[1].cast("long").alias("left"),
-            ),
-        ).otherwise(acc), lambda acc: acc["t"],
-    )
-    done = F.when(F.coalesce("spans", F.lit("")) == "", F.col("whole").getField(text_col)).otherwise(text)
-    return joined.select(F.col("whole").withField(text_col, done).alias("whole")).select("whole.*")
+    given = F.col("whole").getField(text_col).cast("string")
+    part = lambda t, start, end: F.substring(t, (start + 1).cast("int"), (end - start).cast("int"))
+    field = lambda s, k: F.split(s, ":")[k]
+
+    def add(acc, s):
+        start, end, kind = field(s, 1).cast("long"), field(s, 2).cast("long"), field(s, 0)
+        inside = start < acc["upto"]
+        name = F.when(inside & acc["last"].contains(kind), F.lit("")).otherwise(F.concat(F.lit("<"), kind, F.lit(">")))
+        text = F.concat(acc["out"], F.when(inside, F.lit("")).otherwise(part(acc["text"], acc["upto"], start)), name)
+        last = F.when(inside, F.concat(acc["last"], kind)).otherwise(kind)
+        return F.struct(acc["text"].alias("text"), text.alias("out"), F.greatest(end, acc["upto"]).alias("upto"), last.alias("last"))
+
+    first = F.struct(given.alias("text"), F.lit("").alias("out"), F.lit(0).cast("long").alias("upto"), F.lit("").alias("last"))
+    done = F.aggregate(F.split("spans", ","), first, add, lambda acc: F.concat(acc["out"], part(acc["text"], acc["upto"], F.char_length(acc["text"]))))
+    text = F.when(F.coalesce("spans", F.lit("")) == "", F.col("whole").getField(text_col)).otherwise(done)
+    return rows.join(found, "at").select(F.col("whole").withField(text_col, text).alias("whole")).select("whole.*")
 
 
 def op5_pii(spark, sf_dir: str) -> DataFrame:

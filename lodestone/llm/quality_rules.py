@@ -82,7 +82,7 @@ def profile_at(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def quality_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-    min_words: int = 50, max_repeat: float = 0.5, min_docs: int = 20, max_share: float = 0.05, min_left: float = 0.5,
+    min_words: int = 50, max_repeat: float = 0.5, min_docs: int = 5, max_share: float = 0.05, min_left: float = 0.5,
     with_lines: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs`` with the base counts, ``base_failed``, ``n_common_words`` and ``kept``.
@@ -121,13 +121,17 @@ def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
     """``docs`` without the rejected documents, and the texts of the others without their lines over the limit; other columns are
-    unchanged.  The verdict depends on host and text alone."""
+    unchanged.
+
+    The verdict depends on host and text alone, so that repeated rows are kept or rejected together, whatever their ids.  A null or
+    empty text has too few words and is rejected; a null host is a host of its own; an empty table gives an empty result.
+    """
     judged = quality_rules(docs.select(F.xxhash64(F.col(text_col), F.col(host_col)).alias("k"), F.col(text_col).alias("t"), F.col(host_col).alias("h")), "k", "t", "h", with_lines=True, **limits)
     # Rows of one k are judged alike.  As a string the line numbers are aggregated and joined like any plain value.
     lost = F.concat_ws(",", F.col("gone").cast("array<string>"))
-    good = judged.where("kept").groupBy(F.col("doc_id").alias("_k")).agg(F.max(lost).alias("_gone"))
-    whole = docs.select(F.struct("*").alias("whole"), F.xxhash64(F.col(text_col), F.col(host_col)).alias("_id"))
-    joined = whole.join(good, F.col("_id") == F.col("_k")).withColumn("_gone", F.when(F.col("_gone") != "", F.split("_gone", ",").cast("array<int>")))
+    good = judged.where("kept").groupBy(F.col("doc_id").alias("_k"), F.col("host").alias("_h")).agg(F.max(lost).alias("_gone"))
+    whole = docs.select(F.struct("*").alias("whole"), F.xxhash64(F.col(text_col), F.col(host_col)).alias("_id"), F.col(host_col).cast("string").alias("_host"))
+    joined = whole.join(good, (F.col("_id") == F.col("_k")) & F.col("_host").eqNullSafe(F.col("_h"))).withColumn("_gone", F.when(F.col("_gone") != "", F.split("_gone", ",").cast("array<int>")))
     left = F.array_join(F.filter(F.split(F.col("whole").getField(text_col), "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
     text = F.when(F.col("_gone").isNull(), F.col("whole").getField(text_col)).otherwise(left)
     return joined.select(F.col("whole").withField(text_col, text).alias("whole")).select("whole.*")
@@ -155,7 +159,7 @@ with d as (
   select host, count(distinct copy) as texts from d group by host
 ), common as (
   select host, norm from (select host, norm, count(distinct copy) as docs from lines group by host, norm) join hosts using (host)
-  where docs >= 20 and docs > 0.05 * texts
+  where docs >= 5 and docs > 0.05 * texts
 ), lost as (
   select row, sum(len(lw)) as n from lines join common using (host, norm) group by row
 ), m as (

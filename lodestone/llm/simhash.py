@@ -141,7 +141,11 @@ def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group of near copies, that with the smallest id; all columns unchanged."""
+    """``docs`` with one document of each group of near copies, that with the smallest id; all columns unchanged.
+
+    A null id is larger than any other; of repeated rows one stays; null, empty and blank texts are one group; an empty table gives
+    an empty result.
+    """
     rows = table(docs.select(F.struct("*").alias("whole"), F.monotonically_increasing_id().alias("at")), "whole")
     found = simhash(rows.select("at", F.col("whole").getField(id_col).alias("d"), F.col("whole").getField(text_col).alias("t")), "at", "t")
     ids = rows.select("at", F.col("whole").getField(id_col).alias("d")).join(found.select(F.col("doc_id").alias("at"), F.col("component_id").alias("c")), "at")

@@ -387,6 +387,32 @@ def test_kept_texts_lose_common_lines(spark):
     assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == sorted(want.items())
 
 
+def test_depletion_alone_rejects(spark):
+    """Lines that a host's documents share are counted and taken out; a text that is mostly such lines goes."""
+    own = lambda i, n: " ".join(f"w{i}x{k}" for k in range(n))
+    shared = "\n".join(f"a{k} b{k} c{k} d{k} e{k} f{k}" for k in range(12))
+    rows = [(i, f"{shared}\n{own(i, 90)}", "a") for i in range(8)] + [(50, f"{own(50, 20)}\n{shared}", "a"), (51, f"{own(51, 20)}\n{shared}", "b")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(d).collect()}
+    assert {k for k, r in got.items() if not r["kept"]} == {50} and not got[50]["base_failed"] and got[50]["n_common_words"] == 72 and got[51]["n_common_words"] == 0
+    assert {r["doc_id"]: r["text"] for r in quality_rules.keep_good(d).collect()} == {i: own(i, 90) for i in range(8)} | {51: rows[9][1]}
+
+
+def test_redact_merges_overlapping_spans(spark):
+    text = "pay 4111 1111 1111 1111 or call +1 (743) 555-3824, mail 10.0.0.1@ab.cd now"
+    d = spark.createDataFrame([(1, text), (2, None), (None, "plain"), (4, "x 1.2.3.4")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.redact(d).collect()}
+    assert got[2] is None and got[None] == "plain" and got[4] == "x <ip>"
+    assert got[1] == "pay <card> or call <phone>, mail <email><ip> now"
+
+
+def test_hot_copies_take_the_broadcast_route(spark):
+    rows = [(i, "Hot" if i % 2 else "hOT", "a") for i in range(9)] + [(20 + i, "other", "b") for i in range(3)] + [(30, "one", "c"), (31, None, "c"), (32, "", "c")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    usual, hot = ({tuple(r) for r in exact_dedup.exact_dedup(d, heavy_rows=n).collect()} for n in (1000, 2))
+    assert usual == hot and {(r[0], r[1], r[2]) for r in hot if r[3]} == {(8, 8, 9), (22, 22, 3), (30, 30, 1), (32, 32, 2)}
+
+
 def test_mixing_cuts_text(spark):
     d = spark.createDataFrame([(i, "a  b\nc d", "s" if i else "t") for i in range(12)], "doc_id long, text string, source string")
     plan = {r["doc_id"]: r["taken"] for r in mixing.mix(d).collect()}
