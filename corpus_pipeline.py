@@ -12,22 +12,27 @@ from lodestone.llm.common import documents, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rule 6: rejected documents go, lines over the limit leave the kept texts.  Null texts go; an empty table stays empty."""
     return quality_rules.keep_good(docs)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts (A-Z lower-cased) the row with the largest id stays; repeats of that row are one."""
     return exact_dedup.keep_one(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of linked fingerprints the document with the smallest id stays; a null id is the largest."""
     return simhash.keep_one(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of the sources: rows repeated or cut to each source's target.  Texts without words and sources without any go."""
     return mixing.mixed_documents(docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all texts with their places; a null or empty text is one piece of one id."""
     return packing.pack(docs, packing.word_bpe()).select(*packing.COLUMNS)
 
 
