@@ -160,11 +160,14 @@ def judged_lines(docs: DataFrame, id_col: str, text_col: str, t_num: int, t_den:
 
     # prefix join of the other sets with all earlier ones
     size = F.col("n") - F.ceil(F.col("n") * t_num / t_den).cast("int") + 1
-    upto = F.when(F.col("done").isNull(), F.col("id")).otherwise(-1)
-    dealt = some.join(settled.withColumn("done", F.lit(True)), "id", "left").select("id", upto.alias("upto"), "n", "bits", "upper", F.explode(keys_of(F.col("prefix"), size)).alias("k"))
-    dealt = dealt.select("k.key", "k.i", "id", "upto", "n", "bits", "upper")
+    # one column says which set it is and whether it is settled, so that both sides of the join are one and the same shuffle
+    code = F.when(F.col("done").isNull(), F.col("id")).otherwise(-1 - F.col("id"))
+    dealt = some.join(settled.withColumn("done", F.lit(True)), "id", "left").select(F.coalesce(code, F.lit(0)).alias("code"), "n", "bits", "upper", F.explode(keys_of(F.col("prefix"), size)).alias("k"))
+    dealt = dealt.select("k.key", "k.i", "code", "n", "bits", "upper")
     position = 1 + F.least(F.col("xn") - F.col("xi") - 1, F.col("yn") - F.col("yi") - 1)
-    near = as_side(dealt, "x", "key").join(as_side(dealt, "y", "key"), "key").where((F.col("yid") < F.col("xupto")) & fits(position)).select("xid", "yid").distinct()
+    earlier = F.when(F.col("ycode") < 0, -1 - F.col("ycode")).otherwise(F.col("ycode"))
+    near = as_side(dealt, "x", "key").join(as_side(dealt, "y", "key"), "key").where((earlier < F.col("xcode")) & fits(position))
+    near = near.select(F.col("xcode").alias("xid"), earlier.alias("yid")).distinct()
     found = later(table(near, "candidates"), "found")
 
     # lines of a set that isn't the first with its place, and all of a set with a similar earlier one
