@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import checks, links
+from ..sources import tables as sources
 from .tables import read
 
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -44,6 +45,21 @@ def remap_links(spark, d):
     return links.remap(lines(spark, d).select("df_id", "row_id", "order_row"), "order_row", m)
 
 
+def table_scan(spark, d):
+    """Two tables of a folder, of each the columns that are asked for."""
+    t = sources.scan(spark, d, ["customer.parquet", "supplier.parquet"], {"customer.parquet": ["c_custkey", "c_nationkey"], "supplier.parquet": ["s_suppkey", "s_nationkey"]})
+    both = t["customer.parquet"].toDF("k", "n").withColumn("table", F.lit("customer")).unionByName(t["supplier.parquet"].toDF("k", "n").withColumn("table", F.lit("supplier")))
+    return both.groupBy("table", F.col("n").alias("nation")).agg(F.count("*").alias("rows"), F.sum("k").alias("keys"))
+
+
+def self_link(spark, d):
+    """Orders that point to earlier rows of their own table, remapped by the table's own map."""
+    o = orders(spark, d)
+    back = F.col("row_id") - F.col("o_custkey") % 3 - 1
+    o = o.select("df_id", "row_id", "o_orderdate", F.when(back >= 0, back).otherwise(-1).alias("before"))
+    return links.remap(o, "before", links.dedup_map(o, "o_orderdate")).select("df_id", "row_id", "before")
+
+
 def remap_arrays(spark, d):
     """Per part key the rows of its orders, as an array and as a slice."""
     m = links.dedup_map(orders(spark, d), "o_orderdate")
@@ -213,6 +229,10 @@ def metadata_consistency(spark, d):
 SQL = {
     "key_dedup_map": f"with {BASE} select df_id::int as df_id, old, new, survives from om",
     "remap_links": f"with {BASE} select l.df_id::int as df_id, l.row_id, coalesce(new, -1) as order_row from l left join om on om.df_id = l.df_id and old = order_row",
+    "table_scan": """select 'customer' as "table", c_nationkey as nation, count(*) as rows, sum(c_custkey)::bigint as keys from customer group by all
+        union all select 'supplier', s_nationkey, count(*), sum(s_suppkey)::bigint from supplier group by all""",
+    "self_link": f"""with {BASE}, b as (select df_id, row_id, case when row_id - o_custkey % 3 - 1 >= 0 then row_id - o_custkey % 3 - 1 else -1 end as before from o)
+        select b.df_id::int as df_id, row_id, coalesce(new, -1) as before from b left join om on om.df_id = b.df_id and old = before""",
     "remap_arrays": f"""with {BASE}, g as (
         select l.df_id, l_partkey as row_id, list(coalesce(new, -1) order by order_row) as rows, min(order_row) as a, max(order_row) as b
         from l left join om on om.df_id = l.df_id and old = order_row group by all)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import hist, relval
+from ..operators import durable, hist, relval
+from ..sources import sinks
 from .tables import read, rounded
 
 COLS = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -120,6 +123,32 @@ def relval_verdict(spark, d):
     return rounded(relval.ordered(r.select("object", "metric", "test", "value", "mean", "n_sigmas", "passed", "verdict")), value=6)
 
 
+def result_rows(spark, d):
+    """The verdicts written as annotated result objects and read back."""
+    m = _metrics(spark, d)
+    r = relval.interpret(relval.test(m, relval.default_limits(m))).select("object", "metric", "verdict")
+    path = f"{durable.folder(spark)}/results-{uuid.uuid4().hex}"
+    sinks.write_results(r, path, {"release": "next"})
+    return sinks.read_results(spark, path, "object string, metric string, verdict string, release string")
+
+
+def relval_registered(spark, d):
+    """A metric of one's own beside a built-in one."""
+    hist.register_metric("all_entries", lambda p, t, key: t.select(*key, (F.col("sum_a") + F.col("sum_b")).alias("value")), 1000.0, False)
+    try:
+        m = hist.compare(_hist(spark, d, "A"), _hist(spark, d, "N"), ["all_entries", "test_num_entries"])
+    finally:
+        hist.unregister_metric("all_entries")
+    return rounded(m.select("object", "metric", "value", "threshold", "lower_is_better"), value=6)
+
+
+def relval_callbacks(spark, d):
+    """Verdicts by a function of one's own, and the rows that a condition picks."""
+    m = _metrics(spark, d)
+    own = relval.interpret(relval.test(m, relval.default_limits(m)), function=lambda r: F.when(r["passed"], F.lit("SAME")).otherwise(F.lit("DIFFERENT")))
+    return relval.query(own, lambda r: r["metric"] != "test_chi2").select("object", "metric", "verdict")
+
+
 def relval_noncritical(spark, d):
     m = _metrics(spark, d)
     r = relval.interpret(relval.test(m, relval.default_limits(m, {"test_num_entries": 0.001})), ["test_chi2"])
@@ -225,6 +254,10 @@ SQL = {
     "hist_ks": f"with {PAIR} select object, round(distance, 6) as distance, round(value, 6) as value from ks",
     "hist_flat_names": "select 'top_DF_' || o_orderpriority || '_pt_eta' as name, count(*) as n from orders group by 1",
     "relval_verdict": f"""with {PAIR} select object, metric, 'threshold_default' as test, round(value, 6) as value, threshold::double as mean, null::double as n_sigmas, passed, verdict from verd""",
+    "result_rows": f"with {PAIR} select object, metric, verdict, 'next' as release from verd",
+    "relval_registered": f"""with {PAIR} select object, metric, round(value, 6) as value, threshold::double as threshold, lower_is_better from met where metric = 'test_num_entries'
+        union all select object, 'all_entries', (sa + sb)::double, 1000.0::double, false from sums""",
+    "relval_callbacks": f"with {PAIR} select object, metric, case when passed then 'SAME' else 'DIFFERENT' end as verdict from verd where metric <> 'test_chi2'",
     "relval_noncritical": f"""with {PAIR}, t as (select *, case when metric = 'test_num_entries' then 0.001 else threshold end as mean from met),
         p as (select object, metric, mean::double as mean, case when lower_is_better then value <= mean else value >= mean end as passed from t)
         select *, case when passed then 'GOOD' when metric = 'test_chi2' then 'BAD' else 'WARNING' end as verdict from p""",
