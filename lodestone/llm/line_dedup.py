@@ -25,7 +25,7 @@ COUNTER_BITS = 14
 FREQUENT = 64
 #: Sets of more words have signatures of 128 bits.
 LARGE = 64
-#: Sets that all others with the same band are compared with, at most.
+#: A band of more sets than this is crowded; all its sets are compared with this many of them first.
 PIVOTS = 16
 ODD_SPACE = "\t\v\f\r"
 NO_ID = (1 << 63) - 1
@@ -54,13 +54,17 @@ def word_order(docs: DataFrame) -> list[int]:
     return [place[c] for c in range(size)]
 
 
-def token_set(line: Column, order: list[int]) -> Column:
-    """The distinct words of a line as 64-bit numbers, rarest first: the top bits of a word's hash give way to its counter's place."""
+def word_set(line: Column) -> Column:
+    """The hashes of the distinct words of a line."""
+    return F.array_distinct(F.array_remove(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
+
+
+def by_rarity(words: Column, order: list[int]) -> Column:
+    """The words as 64-bit numbers, rarest first: the top bits of a word's hash give way to its counter's place."""
     low, half = 64 - COUNTER_BITS, 1 << (COUNTER_BITS - 1)
     signed = lambda c: c - 2 * half if c >= half else c
     mask = F.from_json(F.lit(json.dumps([signed((p ^ c) & (2 * half - 1)) << low for c, p in enumerate(order)])), "array<long>")
-    token = lambda w: F.xxhash64(w).bitwiseXOR(F.coalesce(F.get(mask, counter(F.xxhash64(w))), F.lit(0).cast("long")))
-    return F.sort_array(F.array_remove(F.array_distinct(F.transform(F.split(line, " "), token)), token(F.lit(""))))
+    return F.sort_array(F.transform(words, lambda h: h.bitwiseXOR(F.coalesce(F.get(mask, counter(h)), F.lit(0).cast("long")))))
 
 
 def signature(tokens: Column, upper: bool = False) -> Column:
@@ -102,23 +106,23 @@ def judged_lines(docs: DataFrame, id_col: str, text_col: str, t_num: int, t_den:
     # one row per line with a word (the first of a text always): its set's hash, signature and size, its prefix by rarity in 31 bits a
     # word, and three words chosen by hash
     lines = given.withColumn("row", F.monotonically_increasing_id()).select("row", "doc", "mark", F.posexplode(F.split(plain(F.col("text")), "\n")).alias("line_no", "line"))
-    lines = lines.where((F.col("line_no") == 0) | (F.trim("line") != "")).select("row", "doc", "mark", "line_no", token_set(F.col("line"), order).alias("tokens"))
+    lines = lines.where((F.col("line_no") == 0) | (F.trim("line") != "")).select("row", "doc", "mark", "line_no", word_set(F.col("line")).alias("words"))
+    lines = lines.withColumn("tokens", by_rarity(F.col("words"), order))
     n, often = F.size("tokens"), ((1 << (COUNTER_BITS - 1)) - FREQUENT) << (64 - COUNTER_BITS)
     short = lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
     prefix = F.transform(F.slice("tokens", 1, n - F.ceil(n * t_num / t_den).cast("int") + 2), lambda t: F.when(t < often, short(t)).otherwise(-1 - short(t)))
-    hashes = F.transform("tokens", lambda t: F.shiftleft(t, COUNTER_BITS))
     lines = lines.select(
         "row", "doc", "mark", "line_no", n.alias("n"), F.xxhash64("tokens").alias("s"), signature(F.col("tokens")).alias("bits"),
-        F.when(n > LARGE, signature(F.col("tokens"), True)).otherwise(0).alias("upper"), prefix.alias("prefix"), hashes.alias("hashes"),
+        F.when(n > LARGE, signature(F.col("tokens"), True)).otherwise(0).alias("upper"), prefix.alias("prefix"), F.array_min("words").alias("least"), F.array_max("words").alias("most"),
     )
-    bands = [F.array_min("hashes"), F.array_max("hashes"), F.array_min("prefix")]
-    lines = table(lines.select("*", *[F.xxhash64(F.lit(k), b).alias(f"band{k}") for k, b in enumerate(bands)]).drop("hashes"), "lines")
+    lines = lines.withColumn("common", F.array_min("prefix"))
+    bands = [("least", "most"), ("least", "common"), ("most", "common")]
+    lines = table(lines.select("*", *[F.xxhash64(F.lit(k), *b).alias(f"band{k}") for k, b in enumerate(bands)]).drop("least", "most", "common"), "lines")
 
     # one row per distinct set, which hash, signature and size tell apart; the ids follow the sets' first places
     one, band = ["s", "bits", "n"], [f"band{k}" for k in range(len(bands))]
-    sets = lines.where("n > 0").groupBy(*one).agg(
-        F.min(F.struct("doc", "line_no", "mark")).alias("first"), F.min("prefix").alias("prefix"), *[F.min(c).alias(c) for c in ("upper", *band)], F.count("*").alias("c")
-    )
+    sets = lines.where("n > 0").groupBy(*one).agg(F.min(F.struct("doc", "line_no", "mark", "prefix", "upper", *band)).alias("f"), F.count("*").alias("c"))
+    sets = sets.select(*one, F.struct("f.doc", "f.line_no", "f.mark").alias("first"), "f.prefix", "f.upper", *[f"f.{b}" for b in band], "c")
     sets = table(sets.repartitionByRange("first").sortWithinPartitions("first").withColumn("id", F.monotonically_increasing_id()), "sets")
     # a set of fewer words than this has no other set similar enough
     some = sets.where(F.col("n") >= -(-t_num // (t_den - t_num)))
@@ -141,7 +145,8 @@ def judged_lines(docs: DataFrame, id_col: str, text_col: str, t_num: int, t_den:
         Words are read again from the first place of each set."""
         wanted = near.select(F.col("xid").alias("id")).union(near.select("yid")).distinct()
         spots = sets.join(wanted, "id", "left_semi").select("id", F.col("first.doc").alias("d"), F.col("first.mark").alias("m"), F.col("first.line_no").alias("l"))
-        spots = spots.groupBy("d", "m").agg(F.collect_list(F.struct("id", "d", "l")).alias("spots"))  # at most one per line of a document
+        # at most one entry per line of a document; written, so that its size is known before the texts are joined
+        spots = table(spots.groupBy("d", "m").agg(F.collect_list(F.struct("id", "d", "l")).alias("spots")), f"{name}_spots")
         texts = given.join(spots, (F.col("doc") == F.col("d")) & (F.col("mark") == F.col("m"))).select(F.split(plain(F.col("text")), "\n").alias("all"), F.explode("spots").alias("spot"))
         full = texts.select("spot.*", F.array_remove(F.array_distinct(F.split(F.element_at("all", F.col("spot.l") + 1), " ")), "").alias("w"))
         full = table(full, f"{name}_words")  # repeated rows of a document give a pair twice, which does no harm
@@ -149,10 +154,12 @@ def judged_lines(docs: DataFrame, id_col: str, text_col: str, t_num: int, t_den:
         common = F.size(F.array_intersect("xw", "yw"))
         return table(both.where(common * t_den >= (F.size("xw") + F.size("yw") - common) * t_num).select(F.col("xid").alias("id")).distinct(), name)
 
-    # Sets of many near copies meet first at a few pivots: of the sets with one band, the earliest of each of PIVOTS classes of ids.
-    # A set similar to an earlier pivot is settled, so that the join below doesn't write out the pairs of such groups.
+    # Sets of many near copies meet first at a few pivots: of the sets with one crowded band, the earliest of each of PIVOTS classes of
+    # ids.  A set similar to an earlier pivot is settled, so that the join below doesn't write out the pairs of such groups.
     banded = some.select("id", "n", "bits", "upper", F.explode(F.array(*band)).alias("band"))
-    pivots = banded.groupBy("band").agg(F.count("*").alias("c"), *[F.min(F.when(F.col("id") % PIVOTS == k, F.col("id"))).alias(f"p{k}") for k in range(PIVOTS)]).where("c > 1")
+    crowded = table(banded.groupBy("band").agg(F.count("*").alias("c")).where(F.col("c") > PIVOTS).select("band"), "crowded")
+    banded = table(banded.join(crowded, "band"), "banded")
+    pivots = banded.groupBy("band").agg(*[F.min(F.when(F.col("id") % PIVOTS == k, F.col("id"))).alias(f"p{k}") for k in range(PIVOTS)])
     pivots = pivots.select("band", F.explode(F.array(*[f"p{k}" for k in range(PIVOTS)])).alias("id")).where("id is not null")
     pivots = as_side(pivots.join(some.select("id", "n", "bits", "upper"), "id"), "y", "band")
     tried = as_side(banded, "x", "band").join(pivots, "band").where((F.col("yid") < F.col("xid")) & fits()).select("xid", "yid").distinct()
@@ -162,8 +169,17 @@ def judged_lines(docs: DataFrame, id_col: str, text_col: str, t_num: int, t_den:
     size = F.col("n") - F.ceil(F.col("n") * t_num / t_den).cast("int") + 1
     # one column says which set it is and whether it is settled, so that both sides of the join are one and the same shuffle
     code = F.when(F.col("done").isNull(), F.col("id")).otherwise(-1 - F.col("id"))
-    dealt = some.join(settled.withColumn("done", F.lit(True)), "id", "left").select(F.coalesce(code, F.lit(0)).alias("code"), "n", "bits", "upper", F.explode(keys_of(F.col("prefix"), size)).alias("k"))
-    dealt = dealt.select("k.key", "k.i", "code", "n", "bits", "upper")
+    magnitude = lambda n: F.length(F.bin(n))
+    dealt = some.join(settled.withColumn("done", F.lit(True)), "id", "left").select(
+        F.coalesce(code, F.lit(0)).alias("code"), "n", "bits", "upper", magnitude("n").alias("magnitude"),
+        (magnitude(F.floor(F.col("n") * t_den / t_num)) > magnitude("n")).alias("guest"), F.explode(keys_of(F.col("prefix"), size)).alias("k"),
+    )
+    dealt = dealt.select("code", "n", "bits", "upper", "k.key", "k.i", "magnitude", "guest")
+    # Sets meet only with those of their magnitude, the smaller of a pair as a guest in the next one; its first shared word stands
+    # among fewer words than its own prefix has, as the other set has no fewer words.
+    guest = F.col("guest") & (F.col("i") <= F.col("n") - F.ceil(F.col("n") * (2 * t_num) / (t_num + t_den)))
+    at = F.explode(F.when(guest, F.array("magnitude", F.col("magnitude") + 1)).otherwise(F.array("magnitude"))).alias("at")
+    dealt = dealt.select("key", "i", "code", "n", "bits", "upper", at).select(F.hash("key", "at").alias("key"), "i", "code", "n", "bits", "upper")
     position = 1 + F.least(F.col("xn") - F.col("xi") - 1, F.col("yn") - F.col("yi") - 1)
     earlier = F.when(F.col("ycode") < 0, -1 - F.col("ycode")).otherwise(F.col("ycode"))
     near = as_side(dealt, "x", "key").join(as_side(dealt, "y", "key"), "key").where((earlier < F.col("xcode")) & fits(position))
@@ -172,6 +188,7 @@ def judged_lines(docs: DataFrame, id_col: str, text_col: str, t_num: int, t_den:
 
     # lines of a set that isn't the first with its place, and all of a set with a similar earlier one
     late = sets.join(settled.union(found).withColumn("late", F.lit(True)), "id", "left").where("c > 1 or late").select(*one, F.struct("first.doc", "first.line_no").alias("first"), "late")
+    late = table(late, "late")
     gone = lines.join(late, one).where(F.col("late") | (F.col("first") < F.struct("doc", "line_no"))).select("doc", "mark", "line_no")
     gone = gone.groupBy("doc", "mark").agg(F.array_sort(F.collect_set("line_no")).alias("gone")).withColumnsRenamed({"doc": "d", "mark": "m"})
     rows = lines.groupBy("row").agg(F.min("doc").alias("doc"), F.min("mark").alias("mark"), F.count_if(F.col("n") > 0).alias("n_lines"))
