@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import cover_dedup, exact_dedup, line_dedup, mixing, packing, pii, quality_rules, ranked_search, sharding, simhash, suffix_dedup
+from . import conversation_repair, cover_dedup, exact_dedup, line_dedup, mixing, mtree, packing, pii, quality_rules, ranked_search, sharding, simhash, suffix_dedup
 
 
 def queries() -> dict:
@@ -19,7 +19,9 @@ def queries() -> dict:
         "op8_mixing": mixing.op8_mixing,
         "op9_simhash": simhash.op9_simhash,
         "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+        "op11_mtree_search": mtree.op11_mtree_search,
         "op12_ranked_search": ranked_search.op12_ranked_search,
+        "op13_conversation_repair": conversation_repair.op13_conversation_repair,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -32,5 +34,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_quality_rules": quality_rules.OP6_SQL,
         "op7_sharding": sharding.OP7_SQL,
         "op8_mixing": mixing.OP8_SQL,
+        "op11_mtree_search": mtree.OP11_SQL,
         "op12_ranked_search": ranked_search.OP12_SQL,
+        "op13_conversation_repair": conversation_repair.OP13_SQL,
     }
