@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("regression", "linked", "ordered", "usage", "particles", "graphs", "catalogs", "texts", "streamed")
+MODULES = ("regression", "linked", "ordered", "usage", "particles", "graphs", "catalogs", "texts", "streamed", "monitored")
 
 
 def _gather(what: str) -> dict:

@@ -2,30 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators.durable import folder
 from ..streaming import streams as S
 from .tables import read, rounded
 
 
 def _folder(spark) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return f"{folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def source(spark, d, files: int = 4):
     """Events as a stream of files in time order, with a last row far ahead that closes every window."""
-    folder = _folder(spark) + "/in"
+    at = _folder(spark) + "/in"
     e = read(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     end = e.agg(F.max("ts").alias("ts")).select(F.lit(-1).cast("long").alias("event_id"), (F.col("ts") + F.expr("interval 10 days")).alias("ts"), F.lit(0).cast("long").alias("user_id"), F.lit("end").alias("event_type"), F.lit(0.0).alias("value"), F.lit("").alias("props"))
     rows = e.select("event_id", "ts", "user_id", "event_type", "value", "props").repartitionByRange(files, "ts").sortWithinPartitions("ts")
-    rows.write.parquet(folder)
-    end.write.mode("append").parquet(folder)
+    rows.write.parquet(at)
+    end.write.mode("append").parquet(at)
     # oldest files first; the closing row's file was written last
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 100).parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 100).parquet(at)
 
 
 def _start(df, name):
@@ -90,15 +89,6 @@ def increasing_entries(spark, d):
     return S.increasing(_batch(spark, d), "object", "start", "entries").select("object", "start", "entries", "grew")
 
 
-def increasing_stream(spark, d):
-    """The stateful form over the cycles of a stream; the last row per object must agree with the batch form's order."""
-    folder = _folder(spark) + "/in"
-    b = _batch(spark, d).select(F.col("object"), F.col("start").cast("long").alias("start"), "entries")
-    b.coalesce(1).sortWithinPartitions("start").write.parquet(folder)
-    s = spark.readStream.schema(b.schema).parquet(folder)
-    return S.drain(S.increasing_stream(s, "object", "start", "entries"), _folder(spark))
-
-
 def _payload(e):
     return e.select(
         F.concat(F.lit("tag"), (F.col("user_id") % 3).cast("string")).alias("tag"), F.col("event_type").alias("task"), F.lit("value").alias("metric"), (F.col("event_id") % 4 + 1).alias("count"),
@@ -111,14 +101,6 @@ def merge_stream(spark, d):
     return rounded(S.drain_updates(s, _folder(spark), ["tag", "task", "metric"], "count"), mean=6, std=5)
 
 
-def incremental_stream(spark, d):
-    """Contents seen before are skipped: one row per distinct (type, user)."""
-    out, seen, state = _folder(spark), _folder(spark), _folder(spark)
-    s = source(spark, d).where("event_id >= 0").withColumn("content", F.concat_ws("/", "event_type", F.col("user_id").cast("string")))
-    S.incremental(s, seen, "content", lambda b: b.select("content").write.mode("append").parquet(out)).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(out)
-
-
 def _win(seconds: int) -> str:
     return f"(epoch_us(ts) // 1000000 // {seconds} * {seconds})"
 
@@ -136,9 +118,7 @@ SQL = {
         union all select start, 'all', max(s)::bigint from q where entries > 5 group by 1 having count(distinct object) filter (object in ('click', 'view', 'purchase')) = 3""",
     "worst_quality": f"with {BATCH} select start, ['GOOD', 'MEDIUM', 'BAD'][max(s) + 1] as quality from q group by 1",
     "increasing_entries": f"with {BATCH} select object, start, entries, coalesce(entries > lag(entries) over (partition by object order by start), true) as grew from b",
-    "increasing_stream": f"with {BATCH} select object, start, entries, coalesce(entries > lag(entries) over (partition by object order by start), true) as grew from b",
     "merge_stream": """with p as (select 'tag' || user_id % 3 as tag, event_type as task, 'value' as metric, event_id % 4 + 1 as c, value as m from events), g as (select tag, task, metric, sum(c)::bigint as count, min(m - 1) as min, max(m + 1) as max, sum(c * m) / sum(c) as mean from p group by all)
         select tag, task, metric, any_value(count) as count, any_value(min) as min, any_value(max) as max, round(any_value(mean), 6) as mean, round(sqrt(sum(c * (m - mean) ^ 2) / any_value(count)), 5) as std from p join g using (tag, task, metric) group by tag, task, metric""",
-    "incremental_stream": "select distinct event_type || '/' || user_id as content from events",
 }
 QUERIES = {name: globals()[name] for name in SQL}

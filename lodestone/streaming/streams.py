@@ -1,13 +1,10 @@
-"""Quality-control streams: cycles, merging, trends, checks, calibration slots and incremental harvest.
+"""Quality-control streams: cycles, merging, trends, checks and calibration slots; what needs own state is in ``monitors``.
 
 All functions take and return DataFrames and work on streaming and batch input alike, except where a mode is named.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,24 +78,6 @@ def increasing(cycled: DataFrame, key: str, order: str, entries: str) -> DataFra
     return cycled.withColumn("grew", F.coalesce(F.col(entries) > before, F.lit(True)))
 
 
-def increasing_stream(cycled: DataFrame, key: str, order: str, entries: str) -> DataFrame:
-    """Streaming form: the largest entries of the latest cycle so far are kept per key as state.
-
-    Columns (key string, order long, entries long).  Rows of one micro-batch are taken in order.
-    """
-    def run(k: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(batches)).sort_values(order)  # the cycles of one key in one micro-batch
-        grew = []
-        for n in rows[entries]:
-            grew.append(last is None or n > last)
-            last = int(n)
-        state.update((last,))
-        yield pd.DataFrame({key: rows[key], order: rows[order], entries: rows[entries], "grew": grew})
-
-    return cycled.select(key, order, entries).groupBy(key).applyInPandasWithState(run, f"{key} string, {order} long, {entries} long, grew boolean", "last long", "append", "NoTimeout")
-
-
 def slots(df: DataFrame, ts: str, frame_seconds: int, per_slot: int, max_delay: int, keys: list[str], aggs: list[Column]) -> DataFrame:
     """Calibration slots of ``per_slot`` frames; frames later than ``max_delay`` slots are dropped."""
     length = frame_seconds * per_slot
@@ -113,24 +92,6 @@ def merge_pushed(payloads: DataFrame) -> DataFrame:
     return g.withColumns({"mean": mean, "std": F.sqrt(F.greatest(F.lit(0.0), F.col("_q") / F.col("count") - mean * mean))}).drop("_s", "_q")
 
 
-def incremental(new: DataFrame, seen_path: str, key: str, handle: Callable[[DataFrame], None]):
-    """A ``foreachBatch`` function: rows whose key earlier batches had are skipped, the rest handled and remembered."""
-    def run(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.dropDuplicates([key])
-        try:
-            fresh = fresh.join(spark.read.schema(batch.select(key).schema).parquet(seen_path), key, "left_anti")
-        except Exception as missing:  # noqa: BLE001  the first batch
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-        fresh = fresh.persist()
-        handle(fresh)
-        fresh.select(key).write.mode("append").parquet(seen_path)
-        fresh.unpersist()
-
-    return new.writeStream.foreachBatch(run)
-
-
 def drain(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
     """Run a stream over everything there is and return its output as a table (append mode) under ``folder``."""
     q = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode(mode).trigger(availableNow=True).start()
