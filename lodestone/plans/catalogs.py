@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import catalog as K
 from ..operators import hist
 from ..operators import predicates as P
+from ..sources import footers
 from .regression import VALS, _axes, _values
 from .tables import read
 
@@ -77,6 +78,20 @@ def table_counts(spark, d):
     return K.table_counts({n: read(spark, d, n) for n in names}, "[a-z]*[nrm]|orders|events")
 
 
+FOOTED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
+
+def file_counts(spark, d):
+    """Rows per file, table and in all, from the files' footers."""
+    return footers.file_counts(footers.footers(spark, [f"{d}/{n}.parquet" for n in FOOTED]))
+
+
+def stored_profile(spark, d):
+    """Raw and stored bytes and their ratio for groups of columns, tables and all of them."""
+    groups = {"keys": ["l_orderkey", "l_partkey", "l_suppkey", "o_orderkey", "o_custkey"], "prices": ["l_extendedprice", "l_discount", "l_tax", "o_totalprice"], "flags": ["l_returnflag", "l_linestatus", "o_orderstatus"]}
+    return footers.stored_profile(footers.footers(spark, [f"{d}/{n}.parquet" for n in FOOTED]), groups)
+
+
 def profile_columns(spark, d):
     return K.size_profile(read(spark, d, "orders"))
 
@@ -173,6 +188,7 @@ SQL = {
     "insert_if_absent": "select o_custkey, o_orderstatus, case when any_value(o_custkey % 3) > 0 then count(*) else -1 end as n from orders group by o_custkey, o_orderstatus",
     "frame_structure": "select o_orderkey // 64 as frame, string_agg(o_custkey || ':' || o_orderkey, ',' order by o_custkey, o_orderkey) as collisions from orders group by 1",
     "table_counts": " union all ".join(f"select '{t}' as \"table\", count(*) as rows from {t}" for t in ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")),
+    "file_counts": "with t as (" + " union all ".join(f"select '{t}' as t, count(*) as n from {t}" for t in FOOTED) + ") select t || '.parquet' as file, t as \"table\", n as rows from t union all select null, t, n from t union all select null, null, sum(n)::bigint from t",
     "profile_columns": """select unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) as column,
         unnest([count(o_orderkey) * 8, count(o_custkey) * 8, sum(strlen(o_orderstatus)), count(o_totalprice) * 8, count(o_orderdate) * 8, sum(strlen(o_orderpriority))])::bigint as bytes,
         unnest([count(o_orderkey), count(o_custkey), count(o_orderstatus), count(o_totalprice), count(o_orderdate), count(o_orderpriority)]) as values from orders""",
@@ -197,4 +213,4 @@ SQL = {
     "compact_plan": """with x as (select o_custkey, o_orderkey, floor(o_totalprice)::bigint as size, row_number() over (partition by o_custkey order by o_orderkey) as n, count(*) over (partition by o_custkey) as t from orders)
         select o_custkey, o_orderkey, size, n - case when n = t and t >= 2 and size * 100 < 400000 * 20 then 1 else 0 end as "group" from x""",
 }
-QUERIES = {name: globals()[name] for name in SQL}
+QUERIES = {name: globals()[name] for name in SQL} | {"stored_profile": stored_profile}  # stored bytes are no matter of SQL: tested against DuckDB's own view of the footers

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 from lodestone.operators import catalog
-from lodestone.sources import logs, sinks, tables
+from lodestone.sources import footers, logs, sinks, tables
 
 
 def test_metric_log(spark, tmp_path):
@@ -56,3 +56,40 @@ def test_scan_and_versions(spark, tmp_path):
     got = tables.scan(spark, str(tmp_path), ["t"], {"t": ["df_id", "x"]})["t"]
     assert got.columns == ["df_id", "x"] and catalog.thinned(got, "df_id").count() == 2
     assert tables.versioned(["P_002", "P_001", "PX"], "P") == "P_001" and tables.versioned(["Q"], "P") is None
+
+
+def test_footers_are_those_that_duckdb_reads(spark, tmp_path):
+    """Files of several row groups, nested columns, nulls, an empty file, and a folder of files."""
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    t = pa.table({"a": list(range(1000)), "b": [None if i % 3 else f"text {i % 7}" for i in range(1000)], "c": [{"x": i, "y": [1.5] * (i % 3)} for i in range(1000)]})
+    pq.write_table(t, tmp_path / "one.parquet", row_group_size=300, compression="zstd")
+    (tmp_path / "many.parquet").mkdir()
+    for k in range(3):
+        pq.write_table(t.slice(k * 100, 90), tmp_path / "many.parquet" / f"part-{k}.parquet")
+    pq.write_table(t.slice(0, 0), tmp_path / "none.parquet", store_schema=False)
+    (tmp_path / "note.txt").write_text("no table")
+    for whole in (None, True):
+        got = footers.footers(spark, str(tmp_path), whole)
+        mine = sorted((r["file"].split("/")[-1], r["row_group"], r["path"], r["rows"], r["values"], r["raw_bytes"], r["stored_bytes"]) for r in got.where("column is not null").collect())
+        theirs = duckdb.sql(f"select file_name, row_group_id, path_in_schema, row_group_num_rows, num_values, total_uncompressed_size, total_compressed_size from parquet_metadata('{tmp_path}/**/*.parquet')").fetchall()
+        assert mine == sorted((f.split("/")[-1], g, p.replace(", ", "."), *r) for f, g, p, *r in theirs) and len(mine) > 20
+    profile = {(r["table"], r["group"]): (r["raw_bytes"], r["stored_bytes"], r["ratio"]) for r in footers.stored_profile(got, {"text": ["b"], "both": ["a", "b"]}).collect()}
+    raw, stored = (sum(r[k] for r in mine if r[0] == "one.parquet" and r[2] in "ab") for k in (5, 6))
+    assert profile["one", "both"] == (raw, stored, raw / stored) and profile["one", "text"][0] < raw
+    assert profile[None, None][:2] == tuple(sum(r[k] for r in mine) for k in (5, 6))
+    assert profile["many", None][:2] == tuple(sum(r[k] for r in mine if r[0].startswith("part")) for k in (5, 6))
+    counts = {(r["file"], r["table"]): r["rows"] for r in footers.file_counts(got).collect()}
+    assert counts == {("one.parquet", "one"): 1000, **{(f"many.parquet/part-{k}.parquet", "many"): 90 for k in range(3)}, ("none.parquet", "none"): 0, (None, "one"): 1000, (None, "many"): 270, (None, "none"): 0, (None, None): 1270}
+
+
+def test_stored_profile_of_the_tables(spark, duck):
+    from conftest import DATA
+
+    from lodestone import plans
+
+    got = {(r["table"], r["group"]): (r["raw_bytes"], r["stored_bytes"]) for r in plans.queries()["stored_profile"](spark, DATA).collect()}
+    want = duck.execute(f"select sum(total_uncompressed_size)::bigint, sum(total_compressed_size)::bigint from parquet_metadata('{DATA}/lineitem.parquet') where path_in_schema in ('l_orderkey', 'l_partkey', 'l_suppkey')").fetchone()
+    assert got["lineitem", "keys"] == want and got["orders", "flags"][0] > 0 and got[None, None] == tuple(sum(v[i] for (t, g), v in got.items() if t and not g) for i in (0, 1))
