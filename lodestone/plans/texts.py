@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..operators.durable import folder
 from ..sources import logs as G
 from ..sources import sinks
 from .tables import read
@@ -20,7 +23,7 @@ def metric_log(spark, d):
 
 
 def time_log(spark, d):
-    o = read(spark, d, "orders").where("o_orderkey % 5 < 4").select("o_orderkey", F.explode(F.array(
+    o = read(spark, d, "orders").select("o_orderkey", F.explode(F.array(
         F.when(F.col("o_custkey") % 9 > 0, CC("walltime ", F.when(F.col("o_custkey") % 4 == 0, "0.00").otherwise(S("o_totalprice")))), CC("#usertime ", "$o_custkey"), CC("CPU ", "$o_custkey", "%"), CC("maxmem ", "$o_orderkey"), F.lit("junk"))).alias("value"))
     return G.parse_time_log(o, "o_orderkey").withColumns({c: F.round(c, 6) for c in ("cpu", "maxmem_mb")})
 
@@ -38,6 +41,32 @@ def trace_log(spark, d):
     return G.parse_trace(y)
 
 
+def _files(spark, lines, part: str, order: str) -> str:
+    """One text file per part, its lines in order."""
+    at = f"{folder(spark)}/logs-{uuid.uuid4().hex}"
+    lines.repartition(part).sortWithinPartitions(part, order).select(part, "value").write.partitionBy(part).text(at)
+    return at
+
+
+BLOCK = 1 << 16
+
+
+def numbered_log(spark, d):
+    """Log files of several blocks each: the number of every line in its file."""
+    o = read(spark, d, "orders").select((F.col("o_custkey") % 3).alias("part"), "o_orderkey", CC("line of ", "$o_orderkey", "\tby ", "$o_custkey").alias("value"))
+    x = G.numbered_lines(spark, _files(spark, o, "part", "o_orderkey"), BLOCK)
+    return x.select(F.regexp_extract("file", "part=([0-9]+)", 1).cast("long").alias("part"), "line_no", "value")
+
+
+def metric_files(spark, d):
+    """Metric logs in files of several blocks, one per user group; meta rows and rows by iteration, with their line numbers."""
+    e = read(spark, d, "events").withColumn("at", F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss,SSS"))
+    line = F.when(F.col("event_id") % 50 == 7, CC("$at", " INFO {'cpu_limit': ", "$user_id", "}")).when(F.col("event_id") % 50 == 9, "broken {").otherwise(CC("$at", " INFO {'iter': ", "$event_id", ", 'name': '", "$event_type", "', 'pss': ", "$value", "}"))
+    x = e.select((F.col("user_id") % 2).alias("part"), "event_id", line.alias("value"))
+    rows = G.parse_metric_log(G.numbered_lines(spark, _files(spark, x, "part", "event_id"), BLOCK))
+    return rows.select(F.regexp_extract("file", "part=([0-9]+)", 1).cast("long").alias("part"), "line_no", "iter", "name", "pss", "cpu_limit", "is_meta")
+
+
 def access_log(spark, d):
     line = F.when(F.col("l_linenumber") == 5, "noise").otherwise(CC('"/w/', "$l_partkey", '",', F.when(F.col("l_returnflag") == "R", "write").otherwise("read"), ",", "$l_suppkey", ";", "$l_linenumber"))
     return G.parse_access_log(read(spark, d, "lineitem").select(line.alias("value")))
@@ -119,9 +148,12 @@ def window_manifest(spark, d):
 SQL = {
     "metric_log": """select event_id, case when event_id % 50 <> 7 then event_id::double end as iter, case when event_id % 50 <> 7 then event_type end as name, null::double as cpu, case when event_id % 50 <> 7 then value end as pss,
         case when event_id % 50 <> 7 then user_id::int end as timeframe, case when event_id % 50 = 7 then user_id::double end as cpu_limit, case when event_id % 50 = 7 then 5 end as ns, event_id % 50 = 7 as is_meta from events where event_id % 50 not in (9, 11)""",
-    "time_log": "select o_orderkey, case when o_custkey % 4 = 0 then o_custkey::double else o_totalprice end as walltime, round(o_custkey / 100, 6) as cpu, round(o_orderkey / 1024, 6) as maxmem_mb from orders where o_orderkey % 5 < 4 and o_custkey % 9 > 0",
+    "time_log": "select o_orderkey, case when o_custkey % 4 = 0 then o_custkey::double else o_totalprice end as walltime, round(o_custkey / 100, 6) as cpu, round(o_orderkey / 1024, 6) as maxmem_mb from orders where o_custkey % 9 > 0",
     "trace_log": """select distinct o_custkey::varchar as file, case when o_orderkey % 7 = 1 then '/a/new' || o_orderkey % 5 else '/a/f' || o_orderkey % 17 end as path,
         case when o_orderkey % 7 = 1 or o_orderkey % 3 = 2 then 'write' else 'read' end as kind from orders where o_orderkey % 7 = 1 or o_orderkey % 3 > 0""",
+    "numbered_log": "select o_custkey % 3 as part, row_number() over (partition by o_custkey % 3 order by o_orderkey) - 1 as line_no, 'line of ' || o_orderkey || chr(9) || 'by ' || o_custkey as value from orders",
+    "metric_files": """with l as (select *, user_id % 2 as part, row_number() over (partition by user_id % 2 order by event_id) - 1 as line_no, event_id % 50 = 7 as m from events)
+        select part, line_no, case when not m then event_id::double end as iter, case when not m then event_type end as name, case when not m then value end as pss, case when m then user_id::double end as cpu_limit, m as is_meta from l where event_id % 50 <> 9""",
     "access_log": "select '/w/' || l_partkey as file, case when l_returnflag = 'R' then 'write' else 'read' end as mode, l_suppkey || ';' || l_linenumber as pids from lineitem where l_linenumber <> 5",
     "action_log": "select distinct o_orderkey::varchar as pid, case when o_orderkey % 2 = 0 then 'task' else 'task_' end || o_custkey as task from orders where o_custkey % 2 = 0",
     "interval_list": "select o_custkey as run, o_orderkey as lo, o_orderkey + 5 as hi, 'bad, very bad' as message from orders where o_orderkey % 10 > 1",

@@ -7,13 +7,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.durable import table
+
 METRIC_SCHEMA = "iter double, name string, timeframe int, cpu double, uss double, pss double, nice double, time double, disc double, cpu_limit double, mem_limit double, ns int, j int"
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, value): whole files, split in the executors, so that line numbers are exact."""
-    text = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    return text.select("file", F.posexplode(F.split("value", "\n")).alias("line_no", "value"))
+def numbered_lines(spark: SparkSession, path: str, block_bytes: int | None = None) -> DataFrame:
+    """(file, line_no, value): line numbers from 0 per file, exact however large the files.
+
+    Files are read in blocks (of ``block_bytes``, default Spark's own), each by one task that meets its lines in order.  The lines are
+    written out once; counts per block, summed up over the blocks before, turn positions in a block into positions in a file.  Lines
+    end with a line feed only; the last line may lack it.
+    """
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), "value"
+    )
+    try:
+        if block_bytes:
+            spark.conf.set(size, str(block_bytes))
+        lines = table(lines, "lines")
+    finally:
+        spark.conf.set(size, before)
+    blocks = lines.groupBy("file", "_block").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    w = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # a row per block
+    blocks = blocks.select("file", "_block", (F.coalesce(F.sum("_n").over(w), F.lit(0)) - F.col("_first")).alias("_move"))
+    return lines.join(blocks, ["file", "_block"]).select("file", (F.col("_id") + F.col("_move")).alias("line_no"), "value")
 
 
 def group(pattern: str, k: int = 1, column: str = "value") -> Column:

@@ -93,3 +93,20 @@ def test_stored_profile_of_the_tables(spark, duck):
     got = {(r["table"], r["group"]): (r["raw_bytes"], r["stored_bytes"]) for r in plans.queries()["stored_profile"](spark, DATA).collect()}
     want = duck.execute(f"select sum(total_uncompressed_size)::bigint, sum(total_compressed_size)::bigint from parquet_metadata('{DATA}/lineitem.parquet') where path_in_schema in ('l_orderkey', 'l_partkey', 'l_suppkey')").fetchone()
     assert got["lineitem", "keys"] == want and got["orders", "flags"][0] > 0 and got[None, None] == tuple(sum(v[i] for (t, g), v in got.items() if t and not g) for i in (0, 1))
+
+
+def test_line_numbers_over_many_blocks(spark, tmp_path):
+    """Blocks that cut lines anywhere, empty lines, a long line over several blocks, no last line feed, an empty file."""
+    import random
+
+    rng = random.Random(2)
+    want = {}
+    for k in range(4):
+        lines = ["x" * rng.choice([0, 1, 5, 40, 90]) + f" {k}:{i}" for i in range(400)] + ["", "y" * 3000, "", "end\r"]
+        (tmp_path / f"log{k}.txt").write_bytes("\n".join(lines).encode() + (b"\n" if k % 2 else b""))
+        want |= {(f"log{k}.txt", i): v for i, v in enumerate(lines)}
+    (tmp_path / "log9.txt").write_text("")
+    for size in (700, None):
+        got = logs.numbered_lines(spark, str(tmp_path), size)
+        assert {(r["file"].split("/")[-1], r["line_no"]): r["value"] for r in got.collect()} == want
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "134217728b"
