@@ -9,12 +9,14 @@ from .durable import table
 from .ranges import fits
 
 
-def nearest(left: DataFrame, right: DataFrame, on: str, value: str, by: list[str] = (), order: str | None = None, out: str = "nearest") -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, on: str, value: str, by: list[str] = (), order: str | None = None, out: str = "nearest", side: str = "nearest") -> DataFrame:
     """``left`` with ``out``: ``value`` of the row of ``right`` with equal ``by`` and the nearest ``on``.
 
     Of two equally near rows the upper one counts; beyond the ends the end row; of rows with equal keys and ``on`` the last by
     ``order`` (default: the largest value).  Rows without any lookup row, or with a null ``on``, get NULL; null keys equal each other.
 
+    With ``side`` "below" only lookup rows at or below ``on`` count, NULL where there is none.
+
     No pair of rows is ever formed: each key is walked once upwards and once downwards.  Where a count shows a key with too many rows
     for a task, both sides are dealt by ranges of (by, on) and the lookup rows at the ends of a range are carried over to those
     around it.
@@ -25,7 +27,7 @@ def nearest(left: DataFrame, right: DataFrame, on: str, value: str, by: list[str
     both = left.withColumn("_left", F.lit(True)).unionByName(lookup, allowMissingColumns=True)
     walk = lambda part: (F.last("_hit", True).over(Window.partitionBy(*part).orderBy(o)) for o in (F.col(on).asc(), F.col(on).desc()))
     a, z = F.col("_a"), F.col("_z")
-    lower = z.isNull() | (F.col(on) - a["x"] < z["x"] - F.col(on))
+    lower = F.lit(True) if side == "below" else z.isNull() | (F.col(on) - a["x"] < z["x"] - F.col(on))
     chosen = F.when(F.col(on).isNotNull(), F.when(lower, a["v"]).otherwise(z["v"])).alias(out)
     own = [F.col(f"`{c}`") for c in left.columns]
     if fits(both, by):

@@ -5,32 +5,87 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .asof import nearest
+from .durable import table
+from .ranges import fits, with_previous
 
-def buckets(lo: str, hi: str, width) -> Column:
-    return F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.col(hi) / width)))
+#: Lengths of stretches are powers of 2 to this power.
+STEP = 3
 
 
-def overlap(left: DataFrame, right: DataFrame, width: int, by: list[str] = (), margin: str | int = 0, inclusive: bool = False) -> DataFrame:
+def _level(lo: Column, hi: Column) -> Column:
+    """Exponent of the stretches an interval is kept in: at least its length, and a multiple of STEP."""
+    return (F.ceil(F.length(F.bin(hi - lo)) / STEP) * STEP).cast("int")
+
+
+def _cells(lo: str, hi: str, level: Column) -> Column:
+    """The stretches of 2^level that an interval of at most that length touches: one or two."""
+    at = lambda c: F.call_function("shiftright", F.col(c).cast("long"), level)
+    return F.array_distinct(F.array(at(lo), at(hi)))
+
+
+def _levels(df: DataFrame, lo: str, hi: str) -> list[int]:
+    """Which levels occur; 64 / STEP numbers at most."""
+    return sorted(r[0] for r in df.select(_level(F.col(lo), F.col(hi))).distinct().collect())
+
+
+def _kept(df: DataFrame, lo: str, hi: str) -> DataFrame:
+    return df.withColumn("_l", _level(F.col(lo), F.col(hi))).withColumn("_k", F.explode(_cells(lo, hi, F.col("_l"))))
+
+
+def _probing(df: DataFrame, lo: str, hi: str, levels: list[int], equal: bool) -> DataFrame:
+    """The stretches of the coarser ``levels`` (and, if ``equal``, of its own) that an interval touches."""
+    own = _level(F.col(lo), F.col(hi))
+    able = F.array_compact(F.array(*[F.when(own <= n if equal else own < n, n) for n in levels])) if levels else F.array().cast("array<int>")
+    return df.withColumn("_l", F.explode(able)).withColumn("_k", F.explode(_cells(lo, hi, F.col("_l"))))
+
+
+def overlap(left: DataFrame, right: DataFrame, by: list[str] = (), margin: str | int = 0, inclusive: bool = False) -> DataFrame:
     """Pairs whose overlap is larger than ``margin`` (a number or a column of ``right``), or any overlap if ``inclusive``.
 
-    ``left`` has lo, hi; ``right`` has ws, we.  Both are cut into stretches of ``width`` and joined on stretch and ``by``; a pair is
-    made once, in the first stretch they share.
+    ``left`` has lo, hi; ``right`` has ws, we.  An interval is kept in the one or two stretches of its own length (rounded up to a
+    power of 2^STEP) that it touches, and looked up in those of every coarser length that occurs on the other side, so that its rows
+    don't grow with its length.  A pair meets in the stretch of the longer interval where the overlap begins.  Intervals that end
+    before they begin overlap nothing.
     """
     m = F.col(margin) if isinstance(margin, str) else F.lit(margin)
-    a, b = left.withColumn("_k", buckets("lo", "hi", width)), right.withColumn("_k", buckets("ws", "we", width))
-    j = a.join(b, [*by, "_k"])
-    first = F.col("_k") == F.floor(F.greatest("lo", "ws") / width)
+    left, right = left.where("hi >= lo"), right.where("we >= ws")
+    pairs = _probing(left, "lo", "hi", _levels(right, "ws", "we"), True).join(_kept(right, "ws", "we"), [*by, "_l", "_k"])
+    turned = _kept(left, "lo", "hi").join(_probing(right, "ws", "we", _levels(left, "lo", "hi"), False), [*by, "_l", "_k"])
+    j = pairs.unionByName(turned)
+    first = F.col("_k") == F.call_function("shiftright", F.greatest("lo", "ws").cast("long"), F.col("_l"))
     touch = (F.col("hi") >= F.col("ws")) & (F.col("lo") <= F.col("we"))
     enough = F.lit(True) if inclusive else F.least("hi", "we") - F.greatest("lo", "ws") > m
-    return j.where(first & touch & enough).drop("_k")
+    return j.where(first & touch & enough).drop("_l", "_k")
+
+
+def merged(intervals: DataFrame, by: list[str] = ()) -> DataFrame:
+    """(by…, lo, hi): the union of the closed intervals of each ``by`` as disjoint ones; intervals that end before they begin are none."""
+    by = list(by)
+    rows = intervals.where("hi >= lo").select(*by, "lo", "hi").withColumn("_end", F.col("hi"))
+    fit = fits(rows, by)
+    new = with_previous(rows, by, "lo", "_end", "_before", F.col("_end"), fit).where(F.col("_top").isNull() | (F.col("lo") > F.col("_top")))
+    # all that begins before the next island ends within this one
+    new = new.select(*by, "lo", "_top", (-F.col("lo")).alias("_down"))
+    new = with_previous(new, by, "_down", "_top", "_until", fit=fit).select(*by, "lo", "_until")
+    last = rows.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(F.max("hi").alias("_last"))
+    match = F.lit(True)
+    for c in by:
+        match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return new.join(last, match).select(*by, "lo", F.coalesce("_until", "_last").alias("hi"))
 
 
-def exclude_points(points: DataFrame, periods: DataFrame, time: str, by: str, width: int) -> DataFrame:
-    """Points outside all closed periods of their run."""
-    p = periods.select(by, "lo", "hi", buckets("lo", "hi", width).alias("_k"))
-    x = points.withColumn("_k", F.floor(F.col(time) / width))
-    hit = (x[by] == p[by]) & (x["_k"] == p["_k"]) & (x[time] >= p["lo"]) & (x[time] <= p["hi"])
-    return x.join(p, hit, "left_anti").drop("_k")
+def _within(points: DataFrame, intervals: DataFrame, time: str, by: list[str]) -> DataFrame:
+    """``points`` with ``_in``: does some closed interval of the same ``by`` hold them?  One walk over points and merged intervals."""
+    known = intervals.where(F.lit(True) if not by else F.coalesce(*[F.when(F.col(c).isNull(), False) for c in by], F.lit(True)))
+    islands = merged(known, by).select(*by, F.col("lo").alias(time), "hi")
+    out = nearest(points, islands, time, "hi", by, out="_hi", side="below")
+    return out.withColumn("_in", F.coalesce(F.col(time) <= F.col("_hi"), F.lit(False))).drop("_hi")
+
+
+def exclude_points(points: DataFrame, periods: DataFrame, time: str, by: str) -> DataFrame:
+    """Points outside all closed periods of their run; points of a null run or time stay."""
+    return _within(points, periods, time, [by]).where(~F.col("_in")).drop("_in")
 
 
 def to_orbits(periods: DataFrame, limit: int, start: str, per_ms: float) -> DataFrame:
@@ -50,20 +105,22 @@ def range_lookup(df: DataFrame, ranges: list[tuple[float, float, int]] | int, ra
     return df.withColumn(out, F.lit(missing) if found is None else found.otherwise(missing))
 
 
-def run_lookup(df: DataFrame, settings: DataFrame, run: str, width: int) -> DataFrame:
-    """Settings by run range (lo, hi, setting; closed); of several the one with the highest lo."""
-    j = df.withColumn("_k", F.floor(F.col(run) / width)).join(settings.withColumn("_k", buckets("lo", "hi", width)), "_k", "left")
-    hit = (F.col(run) >= F.col("lo")) & (F.col(run) <= F.col("hi"))
-    return j.groupBy(*df.columns).agg(F.max_by("setting", F.when(hit, F.col("lo"))).alias("setting"))
+def run_lookup(df: DataFrame, settings: DataFrame, run: str) -> DataFrame:
+    """Settings by run range (lo, hi, setting; closed): of several the one with the highest lo, of those the largest setting.
+
+    Every row of ``df`` comes back once, repeated ones each; NULL where no range holds its run.
+    """
+    rows = table(df.select(F.struct("*").alias("_whole"), F.col(run).cast("long").alias("_x")).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    kept = settings.where("hi >= lo").select("lo", "hi", "setting")
+    asked = rows.where("_x is not null").select("_row", F.col("_x").alias("ws"), F.col("_x").alias("we"))
+    hit = overlap(kept, asked, inclusive=True).groupBy("_row").agg(F.max(F.struct("lo", "setting"))["setting"].alias("setting"))
+    return rows.join(hit, "_row", "left").select("_whole.*", "setting")
 
 
 def skim(data: DataFrame, frames: DataFrame, time: str, backward: int = 55, forward: int = 55) -> DataFrame:
     """Data within [lo - backward, hi + forward] of some selected frame, each row once."""
-    width = backward + forward + 1
-    f = frames.select((F.col("lo") - backward).alias("_lo"), (F.col("hi") + forward).alias("_hi"))
-    f = f.select("_lo", "_hi", buckets("_lo", "_hi", width).alias("_k"))
-    x = data.withColumn("_k", F.floor(F.col(time) / width))
-    return x.join(f, (x["_k"] == f["_k"]) & (x[time] >= f["_lo"]) & (x[time] <= f["_hi"]), "left_semi").drop("_k")
+    wide = frames.select((F.col("lo") - backward).alias("lo"), (F.col("hi") + forward).alias("hi"))
+    return _within(data, wide, time, []).where("_in").drop("_in")
 
 
 def plan_windows(labels: DataFrame, step: int, margin: int, by: str = "run") -> DataFrame:

@@ -47,9 +47,12 @@ def numbered(df: DataFrame, part: list[str], order: list[str | Column], name: st
     return _with_ends(dealt, part, ends).withColumn(name, F.col("_at") + F.col("_move")).select(*[F.col(f"`{c}`") for c in df.columns if c != name], name)
 
 
-def with_previous(df: DataFrame, part: list[str], order: str, value: str, name: str = "_prev", top: Column | None = None) -> DataFrame:
-    """``df`` with ``name``: ``value`` of the row before, and, if ``top`` is given, ``_top``: its largest value in all rows before."""
-    if fits(df, part):
+def with_previous(df: DataFrame, part: list[str], order: str, value: str, name: str = "_prev", top: Column | None = None, fit: bool | None = None) -> DataFrame:
+    """``df`` with ``name``: ``value`` of the row before, and, if ``top`` is given, ``_top``: its largest value in all rows before.
+
+    ``fit``: what ``fits`` says, where that is known.
+    """
+    if fits(df, part) if fit is None else fit:
         w = Window.partitionBy(*(part or [F.lit(0)])).orderBy(order)
         out = df.withColumn(name, F.lag(value).over(w))
         return out if top is None else out.withColumn("_top", F.max(top).over(w.rowsBetween(Window.unboundedPreceding, -1)))

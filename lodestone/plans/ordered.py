@@ -77,13 +77,13 @@ def window_plan(spark, d):
 
 def overlap_assign(spark, d):
     w = intervals.plan_windows(_labels(spark, d), STEP, MARGIN)
-    return intervals.overlap(_labels(spark, d), w, STEP, ["run"], "margin").select("run", "user_id", "half", "window")
+    return intervals.overlap(_labels(spark, d), w, ["run"], "margin").select("run", "user_id", "half", "window")
 
 
 def overlap_grazed(spark, d):
     """Labels per window that touch it, and those whose overlap is within its margin."""
     w = intervals.plan_windows(_labels(spark, d), STEP, MARGIN)
-    j = intervals.overlap(_labels(spark, d), w, STEP, ["run"], inclusive=True)
+    j = intervals.overlap(_labels(spark, d), w, ["run"], inclusive=True)
     grazed = F.least("hi", "we") - F.greatest("lo", "ws") <= F.col("margin")
     return j.groupBy("run", "window").agg(F.count("*").alias("touching"), F.count_if(grazed).alias("grazed"))
 
@@ -91,7 +91,7 @@ def overlap_grazed(spark, d):
 def exclude_intervals(spark, d):
     lb = _labels(spark, d).where("half % 5 = 0").select("run", "lo", "hi")
     e = events(spark, d).select("event_id", (F.col("user_id") % 10).alias("run"), "sec")
-    return intervals.exclude_points(e, lb, "sec", "run", 43200)
+    return intervals.exclude_points(e, lb, "sec", "run")
 
 
 BANDS = [(0.0, 100000.0, 32), (100000.0, 200000.0, 16), (150000.0, 400000.0, 8)]
@@ -104,7 +104,14 @@ def range_lookup(spark, d):
 
 def run_lookup(spark, d):
     s = read(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("lo"), (F.col("c_custkey") + 59).alias("hi"), F.col("c_mktsegment").alias("setting"))
-    return intervals.run_lookup(read(spark, d, "orders").select("o_orderkey", "o_custkey"), s, "o_custkey", 64)
+    return intervals.run_lookup(read(spark, d, "orders").select("o_orderkey", "o_custkey"), s, "o_custkey")
+
+
+def run_lookup_repeated(spark, d):
+    """As ``run_lookup`` on rows most of which are repeated, with ranges of very different lengths."""
+    c = F.col("c_custkey")
+    s = read(spark, d, "customer").where("c_custkey % 3 > 0").select(c.alias("lo"), (c + F.when(c % 10 == 1, 1_000_000_000).otherwise(c % 7)).alias("hi"), F.concat(F.lit("s"), c.cast("string")).alias("setting"))
+    return intervals.run_lookup(read(spark, d, "lineitem").select("l_returnflag", "l_suppkey"), s, "l_suppkey")
 
 
 def skim(spark, d):
@@ -150,6 +157,8 @@ SQL = {
     "exclude_intervals": f"""with {LB} select event_id, user_id % 10 as run, sec from ev where not exists (select 1 from lb where half % 5 = 0 and lb.run = ev.user_id % 10 and ev.sec between lb.lo and lb.hi)""",
     "range_lookup": "select o_orderkey, (case when o_totalprice >= 0 and o_totalprice < 100000 then 32 when o_totalprice < 200000 then 16 when o_totalprice < 400000 then 8 else -1 end)::int as orbits, 128 as fixed from orders",
     "run_lookup": "select o_orderkey, o_custkey, arg_max(c_mktsegment, c_custkey) as setting from orders left join customer on c_mktsegment = 'BUILDING' and o_custkey between c_custkey and c_custkey + 59 group by all",
+    "run_lookup_repeated": """with l as (select row_number() over () as r, l_returnflag, l_suppkey from lineitem), s as (select c_custkey as lo, c_custkey + case when c_custkey % 10 = 1 then 1000000000 else c_custkey % 7 end as hi from customer where c_custkey % 3 > 0),
+        k as (select l_suppkey, max(lo) as lo from (select distinct l_suppkey from l) join s on l_suppkey between lo and hi group by 1) select l_returnflag, l_suppkey, 's' || lo as setting from l left join k using (l_suppkey)""",
     "skim": f"with {EV} select distinct a.event_id, a.sec from ev a join ev f on f.event_type = 'signup' and a.sec between f.sec - 55 and f.sec + f.user_id % 20 + 55",
     "interval_units": f"""with {LB}, p as (select run, user_id, half, case when run < 5 then lo else lo + 5000000 end as lo, hi + 5000000 as hi from lb)
         select run, user_id, half, case when lo > 3000000 then floor((lo - 1000) * 11.245::double)::bigint else lo end as lo, floor((hi - 1000) * 11.245::double)::bigint as hi from p""",
