@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _own: dict[str, str] = {}
 
@@ -16,7 +18,10 @@ def folder(spark: SparkSession) -> str:
     if not base:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _own.setdefault(sc.applicationId, "file://" + tempfile.mkdtemp(prefix="spark-"))
+        if sc.applicationId not in _own:
+            _own[sc.applicationId] = tempfile.mkdtemp(prefix="spark-")
+            atexit.register(shutil.rmtree, _own[sc.applicationId], True)
+        base = "file://" + _own[sc.applicationId]
     return f"{base.rstrip('/')}/{sc.applicationId}"
 
 
@@ -27,9 +32,8 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(folder(df.sparkSession))
-    return df.checkpoint()
+def counted(df: DataFrame, name: str, **what: Column) -> tuple[DataFrame, dict]:
+    """As ``table``, with aggregates of the rows observed while they are written."""
+    seen = Observation()
+    out = table(df.observe(seen, *[c.alias(n) for n, c in what.items()]), name)
+    return out, seen.get

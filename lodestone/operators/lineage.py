@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .durable import checkpointed
+from .durable import counted, table
 
 
 def attribute(access: DataFrame, actions: DataFrame) -> DataFrame:
@@ -81,24 +82,45 @@ def check_stages(names: DataFrame, needs: DataFrame) -> DataFrame:
     return undefined.unionByName(twice)
 
 
-def _step(df: DataFrame, k: int, every: int = 4) -> DataFrame:
-    """Keep a round's result; every few rounds by a reliable checkpoint, which also cuts the growing lineage."""
-    return checkpointed(df) if k % every == every - 1 else df.cache()
+def _climb(up: DataFrame) -> tuple[DataFrame, int]:
+    """``up(node, up, far)``, one row per node, with ``up`` replaced by the first node above that has no row (or NULL) and ``far`` summed.
+
+    Each round doubles the steps taken, so a chain of n nodes takes log2(n) rounds.  Nodes in a ring, and those whose way up ends in one,
+    are left out.  Also returns the number of nodes.
+    """
+    for turn in count():
+        above = up.select(F.col("node").alias("_n"), F.col("up").alias("_u"), F.col("far").alias("_f"))
+        moved = F.col("_n").isNotNull()
+        step = up.join(above, F.col("up") == F.col("_n"), "left").select(
+            "node", F.when(moved, F.col("_u")).otherwise(F.col("up")).alias("up"), (F.col("far") + F.coalesce("_f", F.lit(0))).alias("far"), moved.alias("moved")
+        )
+        up, seen = counted(step, "up", n=F.count(F.lit(1)), moved=F.count_if("moved"))
+        if not seen["moved"] or 1 << turn > seen["n"]:
+            return up.where("not moved").drop("moved"), seen["n"]
 
 
 def closure(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """All nodes reached from ``seeds(node)`` along ``edges(src, dst)``, the seeds included.
 
-    One join per round on the newest nodes only; the loop ends when a round adds none, however deep the graph.
+    A node with one edge into it is reached with its predecessor, so chains and trees are first drawn together to the node above
+    them (``_climb``); rounds then follow what is left, one join of the newest nodes each, until a round adds none.  Nothing stays
+    cached.
     """
-    edges = edges.select("src", "dst").persist()
-    seen = front = seeds.select("node").distinct()
-    for k in count():
-        front = edges.join(front, edges["src"] == front["node"]).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti")
-        front = _step(front, k)
-        if front.isEmpty():
-            return seen
-        seen = _step(seen.unionByName(front), k)
+    edges = table(edges.select("src", "dst").where("src is not null and dst is not null").distinct(), "edges")
+    seeds = table(seeds.select("node").where("node is not null").distinct(), "seeds")
+    single = edges.groupBy("dst").agg(F.count("*").alias("n"), F.min("src").alias("up")).where("n = 1")
+    drawn, _ = _climb(single.select(F.col("dst").alias("node"), "up", F.lit(1).alias("far")).join(seeds, "node", "left_anti"))
+    drawn = drawn.where("up is not null").select("node", "up")
+    rest = edges.join(single.select("dst").join(seeds.withColumnRenamed("node", "dst"), "dst", "left_anti"), "dst", "left_anti")
+    to = drawn.select(F.col("node").alias("src"), "up")
+    rest = table(rest.join(to, "src", "left").select(F.coalesce("up", "src").alias("src"), "dst").where("src <> dst").distinct(), "rest")
+    front = seen = seeds
+    while True:
+        front = rest.join(front, rest["src"] == front["node"]).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti")
+        front, found = counted(front, "front", n=F.count(F.lit(1)))
+        if not found["n"]:
+            return seen.unionByName(drawn.join(seen.withColumnRenamed("node", "up"), "up", "left_semi").select("node"))
+        seen = seen.unionByName(front)
 
 
 def satisfiable(names: DataFrame, needs: DataFrame) -> DataFrame:
@@ -108,44 +130,60 @@ def satisfiable(names: DataFrame, needs: DataFrame) -> DataFrame:
     return names.select("name").distinct().join(closure(reverse, bad).withColumnRenamed("node", "name"), "name", "left_anti")
 
 
-def levels(names: DataFrame, needs: DataFrame) -> DataFrame:
-    """Topological level of each task, 0 without needs; NULL for tasks in or behind a cycle.
+def _lengths(edges: DataFrame) -> DataFrame:
+    """(node, length): the longest sum of ``weight`` over ``edges(src, dst, weight)`` from the root, the NULL ``src``, to each node.
 
-    Each round settles the tasks whose open needs were all settled in earlier rounds: one join of the newest tasks with the edges.
-    The rounds end when none is settled any more, however deep the graph.
+    A node with one edge into it is as far as the node above it and that edge, so all such nodes are drawn to the first node above
+    that has several, edges that then join the same two nodes become their longest one, and so on.  Nodes all whose predecessors are
+    drawn to the root have one edge left, so every round settles at least what a round by levels would, and chains, trees and
+    parallel ways of any depth in one.  Nodes in or behind a cycle, or behind a node that the root doesn't reach, are left out.
     """
-    edges = needs.select("name", "need").distinct().persist()
-    wait = names.select("name").distinct().join(edges.groupBy("name").agg(F.count("*").alias("open")), "name", "left").fillna(0, ["open"])
-    front = wait.where("open = 0").select("name", F.lit(0).alias("level"))
-    wait, done = wait.where("open > 0"), front
-    for k in count(1):
-        met = edges.join(front.select(F.col("name").alias("need")), "need").groupBy("name").agg(F.count("*").alias("_met"))
-        wait = _step(wait.join(met, "name", "left").select("name", (F.col("open") - F.coalesce("_met", F.lit(0))).alias("open")), k, 2)
-        front = wait.where("open = 0").select("name", F.lit(k).alias("level"))
-        if front.isEmpty():
+    edges = table(edges.groupBy("src", "dst").agg(F.max("weight").alias("weight")), "edges")
+    open_, done = None, []
+    while True:
+        single = edges.groupBy("dst").agg(F.count("*").alias("n"), F.min("src").alias("up"), F.max("weight").alias("far")).where("n = 1")
+        single = single.select(F.col("dst").alias("node"), "up", "far")
+        drawn, n = _climb(single)
+        if not n:
             break
-        done, wait = done.unionByName(front), wait.where("open > 0")
-    return done.unionByName(wait.select("name", F.lit(None).cast("int").alias("level")))
+        above = drawn.select(F.col("node").alias("_n"), F.col("up").alias("_u"), F.col("far").alias("_f"))
+        if open_ is not None:  # drawn before, to a node that is drawn now
+            moved = open_.join(above, F.col("up") == F.col("_n"), "left")
+            moved = moved.select("node", F.when(F.col("_n").isNotNull(), F.col("_u")).otherwise(F.col("up")).alias("up"), (F.col("far") + F.coalesce("_f", F.lit(0))).alias("far"))
+            drawn = table(drawn.unionByName(moved), "drawn")
+        done.append(drawn.where("up is null").select("node", F.col("far").alias("length")))
+        open_ = drawn.where("up is not null")
+        rest = edges.join(single.select(F.col("node").alias("dst")), "dst", "left_anti").join(above, F.col("src") == F.col("_n"), "left")
+        rest = rest.select(F.when(F.col("_n").isNotNull(), F.col("_u")).otherwise(F.col("src")).alias("src"), "dst", (F.col("weight") + F.coalesce("_f", F.lit(0))).alias("weight"))
+        edges = table(rest.groupBy("src", "dst").agg(F.max("weight").alias("weight")), "edges")
+    out = edges.select(F.col("dst").alias("node"), F.col("weight").alias("length")).where("false")
+    return reduce(DataFrame.unionByName, done, out)
+
+
+def levels(names: DataFrame, needs: DataFrame) -> DataFrame:
+    """Topological level of each task, 0 without needs; NULL for tasks in or behind a cycle or an undefined need."""
+    names = names.select("name").distinct()
+    edges = needs.select(F.col("need").alias("src"), F.col("name").alias("dst"), F.lit(1).alias("weight")).where("src is not null").join(names.withColumnRenamed("name", "dst"), "dst", "left_semi").select("src", "dst", "weight")
+    first = names.withColumnRenamed("name", "dst").join(edges, "dst", "left_anti")
+    found = _lengths(edges.unionByName(first.select(F.lit(None).cast(edges.schema["src"].dataType).alias("src"), "dst", F.lit(0).alias("weight"))))
+    return names.join(found.select(F.col("node").alias("name"), F.col("length").alias("level")), "name", "left")
 
 
 def longest_path(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(name, length): a node's weight (0 or more) and the longest sum of weights below it, for an acyclic graph.
 
-    A round hands on only the lengths that the round before made longer.  A node of an acyclic graph grows in no more rounds than
-    there are nodes; a round beyond that shows a cycle and raises an error.
+    Edges to or from other names than those of ``nodes`` don't count.  A cycle raises an error.
     """
-    edges = edges.select("src", "dst").persist()
-    best = nodes.select("name", "weight", F.col("weight").alias("length"), F.lit(True).alias("grown"))
-    most = nodes.count()
-    for k in range(most + 1):
-        front = best.where("grown").select(F.col("name").alias("dst"), "length")
-        below = edges.join(front, "dst").groupBy(F.col("src").alias("name")).agg(F.max("length").alias("_l"))
-        more = F.col("weight") + F.col("_l")
-        grown = F.coalesce(more > F.col("length"), F.lit(False))
-        best = _step(best.join(below, "name", "left").select("name", "weight", F.when(grown, more).otherwise(F.col("length")).alias("length"), grown.alias("grown")), k)
-        if best.where("grown").isEmpty():
-            return best.select("name", "length")
-    raise ValueError("the graph has a cycle")
+    nodes = table(nodes.select("name", F.col("weight").cast("long").alias("weight")).groupBy("name").agg(F.max("weight").alias("weight")), "nodes")
+    known = nodes.select("name")
+    below = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")).distinct()
+    below = below.join(known.withColumnRenamed("name", "src"), "src", "left_semi").join(nodes.withColumnRenamed("name", "dst"), "dst").select("src", "dst", "weight")
+    below = table(below, "below")
+    leaves = nodes.withColumnRenamed("name", "dst").join(below, "dst", "left_anti").select(F.lit(None).cast(below.schema["src"].dataType).alias("src"), "dst", "weight")
+    found = table(nodes.select("name").join(_lengths(below.unionByName(leaves)).withColumnRenamed("node", "name"), "name", "left"), "lengths")
+    if not found.where("length is null").isEmpty():
+        raise ValueError("the graph has a cycle")
+    return found
 
 
 def replicate(stages: DataFrame, frames: int) -> DataFrame:
