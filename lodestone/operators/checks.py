@@ -11,9 +11,9 @@ from .links import PART
 from .ranges import with_previous
 
 
-def monotonic(df: DataFrame, by: str, value: str, part: list[str], strict: bool = True) -> DataFrame:
+def monotonic(df: DataFrame, by: str, value: str, part: list[str], strict: bool = True, fit: bool | None = None) -> DataFrame:
     """Per part: rows, violations against the row before, first violation's position, largest backward jump."""
-    df, prev = with_previous(df.select(*part, by, value), part, by, value), F.col("_prev")
+    df, prev = with_previous(df.select(*part, by, value), part, by, value, fit=fit), F.col("_prev")
     bad = (F.col(value) <= prev) if strict else (F.col(value) < prev)
     v = df.withColumn("_bad", F.coalesce(bad, F.lit(False))).withColumn("_jump", prev - F.col(value))
     return v.groupBy(*part).agg(
@@ -21,17 +21,17 @@ def monotonic(df: DataFrame, by: str, value: str, part: list[str], strict: bool
     )
 
 
-def violation_samples(df: DataFrame, by: str, value: str, part: list[str], n: int = 5) -> DataFrame:
+def violation_samples(df: DataFrame, by: str, value: str, part: list[str], n: int = 5, fit: bool | None = None) -> DataFrame:
     """The first n violations of each part with the value before."""
-    bad = with_previous(df.select(*part, by, value), part, by, value, "previous").where(F.col(value) < F.col("previous"))
+    bad = with_previous(df.select(*part, by, value), part, by, value, "previous", fit=fit).where(F.col(value) < F.col("previous"))
     nth = F.row_number().over(Window.partitionBy(*part).orderBy(by))
-    return bad.withColumn("_n", nth).where(F.col("_n") <= n).select(*part, by, value, "previous")
+    return bad.withColumn("_n", nth).where(F.col("_n") <= n).select(*part, by, value, "previous", fit=fit)
 
 
-def monotonic_running(df: DataFrame, by: str, value: str, part: list[str]) -> DataFrame:
+def monotonic_running(df: DataFrame, by: str, value: str, part: list[str], fit: bool | None = None) -> DataFrame:
     """As ``monotonic``, against the largest valid value so far; negative values are ignored."""
     valid = F.when(F.col(value) >= 0, F.col(value))
-    df, top = with_previous(df.select(*part, by, value), part, by, value, top=valid), F.col("_top")
+    df, top = with_previous(df.select(*part, by, value), part, by, value, top=valid, fit=fit), F.col("_top")
     bad = (F.col(value) >= 0) & (F.col(value) < top)
     v = df.withColumn("_bad", F.coalesce(bad, F.lit(False))).withColumn("_back", top - F.col(value))
     return v.groupBy(*part).agg(
@@ -67,8 +67,8 @@ def paste_parity(child: DataFrame, parent: DataFrame, part: str = PART) -> DataF
 
 def mother_daughter(df: DataFrame, event: str, mother: str = "mother", first: str = "first_daughter", last: str = "last_daughter", part: str = PART) -> DataFrame:
     """Per part: slices that are half set, reversed or out of range, mothers out of range, and links into another event."""
-    n = F.count("*").over(Window.partitionBy(part))
-    rows = df.select(part, "row_id", event, mother, first, last, n.alias("_n"))
+    n = df.groupBy(part).agg(F.count("*").alias("_n"))  # a row per part
+    rows = df.select(part, "row_id", event, mother, first, last).join(n, part)
     lone = (F.col(first) < 0) != (F.col(last) < 0)
     bad_slice = lone | ((F.col(first) >= 0) & ((F.col(first) > F.col(last)) | (F.col(last) >= F.col("_n"))))
     at = df.select(part, F.col("row_id").alias(mother), F.col(event).alias("_mother_event"))

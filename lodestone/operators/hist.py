@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .durable import table
+
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "boolean")
 EPSILON = 1e-5
 
@@ -162,11 +164,12 @@ def compare(a: DataFrame, b: DataFrame, names: list[str] | None = None, key: lis
     """One row per object and metric: object, metric, value, comparable, threshold, lower_is_better, note.
 
     Objects in only one set are left out (see ``presence``).  A value that isn't a number makes the row not comparable.  The bin
-    pairs, which all metrics share, are kept, so that the data behind the histograms are read once; they are as many as there are bins.
+    pairs and the totals, which all metrics share, are written out once, so that the data behind the histograms are read once; they
+    are as many as there are bins and objects.
     """
     key = list(key)
-    pairs = pair(a, b, key).persist()
-    t = comparable(totals(pairs, key)).where(F.col("axes_differ").isNotNull())
+    pairs = table(pair(a, b, key), "pairs")
+    t = table(comparable(totals(pairs, key)).where(F.col("axes_differ").isNotNull()), "totals")
     out = None
     for name in names or list(_metrics):
         function, threshold, lower = _metrics[name]

@@ -10,23 +10,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranges import numbered, with_previous
+from .durable import table as kept
+from .ranges import fits, numbered, with_previous
 
 PART = "df_id"
 
 
-def attach_row_id(df: DataFrame, order: list[str], part: str = PART) -> DataFrame:
-    return numbered(df, [part], order, "row_id")
+def attach_row_id(df: DataFrame, order: list[str], part: str = PART, fit: bool | None = None) -> DataFrame:
+    """``df`` with ``row_id``; ``order`` should tell rows apart (see ``numbered``).  ``fit``, here and below: True where it is known that
+    a part of these tables is no more than a task can sort (``ranges.small``), which saves counting."""
+    return numbered(df, [part], order, "row_id", fit)
 
 
 def identity_map(df: DataFrame, part: str = PART) -> DataFrame:
     return df.select(part, F.col("row_id").alias("old"), F.col("row_id").alias("new"))
 
 
-def dedup_map(df: DataFrame, key: str, part: str = PART) -> DataFrame:
-    """Rows sorted by key, equal keys collapsed on the first: every old row leads to the survivor's new row."""
-    keys = numbered(df.groupBy(part, key).agg(F.min("row_id").alias("_first")), [part], [key], "new").withColumnsRenamed({part: "_part", key: "_key"})
-    j = df.select(part, key, "row_id").join(keys, (F.col(part) == F.col("_part")) & F.col(key).eqNullSafe(F.col("_key")))
+def dedup_map(df: DataFrame, key: str, part: str = PART, fit: bool | None = None) -> DataFrame:
+    """Rows sorted by key, equal keys collapsed on the first: every old row leads to the survivor's new row.
+
+    Where parts fit, one sort of (part, key, row) gives it all; else the distinct keys are numbered by ranges and joined.
+    """
+    rows = df.select(part, key, "row_id")
+    if fits(rows, [part]) if fit is None else fit:
+        w = Window.partitionBy(part).orderBy(key, "row_id")
+        first = (F.row_number().over(w) == 1) | ~F.col(key).eqNullSafe(F.lag(key).over(w))
+        j = rows.withColumn("survives", first).withColumn("new", F.sum(F.col("survives").cast("long")).over(w) - 1)
+        return j.select(part, F.col("row_id").alias("old"), "new", "survives")
+    keys = numbered(df.groupBy(part, key).agg(F.min("row_id").alias("_first")), [part], [key], "new", False).withColumnsRenamed({part: "_part", key: "_key"})
+    j = rows.join(keys, (F.col(part) == F.col("_part")) & F.col(key).eqNullSafe(F.col("_key")))
     return j.select(part, F.col("row_id").alias("old"), "new", (F.col("row_id") == F.col("_first")).alias("survives"))
 
 
@@ -36,29 +48,29 @@ def linked(df: DataFrame, link: str, target_map: DataFrame, part: str = PART) ->
     return df.join(m, [part, link], "left").withColumn("_to", F.coalesce("_to", F.lit(-1)).cast("long"))
 
 
-def reorder_map(df: DataFrame, link: str, target_map: DataFrame, part: str = PART) -> DataFrame:
+def reorder_map(df: DataFrame, link: str, target_map: DataFrame, part: str = PART, fit: bool | None = None) -> DataFrame:
     """Stable order by the remapped link, rows without a link last."""
     j = linked(df, link, target_map, part).select(part, "row_id", (F.col("_to") < 0).alias("_none"), "_to")
-    return numbered(j, [part], ["_none", "_to", "row_id"], "new").select(part, F.col("row_id").alias("old"), "new")
+    return numbered(j, [part], ["_none", "_to", "row_id"], "new", fit).select(part, F.col("row_id").alias("old"), "new")
 
 
-def keyed_dedup_map(df: DataFrame, link: str, target_map: DataFrame, keys: list[str], part: str = PART) -> DataFrame:
+def keyed_dedup_map(df: DataFrame, link: str, target_map: DataFrame, keys: list[str], part: str = PART, fit: bool | None = None) -> DataFrame:
     """As ``reorder_map``; of rows with equal new link and keys the first survives and the others lead to it.  Rows without a link stay."""
     j = linked(df, link, target_map, part)
     alone = F.when(F.col("_to") < 0, F.col("row_id"))
     first = F.min("row_id").over(Window.partitionBy(part, "_to", alone, *keys))
     kept = j.withColumn("_first", first).select(part, "row_id", (F.col("_to") < 0).alias("_none"), "_to", "_first")
-    survivors = numbered(kept.where("row_id = _first").drop("row_id"), [part], ["_none", "_to", "_first"], "new").select(part, "_first", "new")
+    survivors = numbered(kept.where("row_id = _first").drop("row_id"), [part], ["_none", "_to", "_first"], "new", fit).select(part, "_first", "new")
     return kept.join(survivors, [part, "_first"]).select(part, F.col("row_id").alias("old"), "new", (F.col("row_id") == F.col("_first")).alias("survives"))
 
 
-def drop_orphans(df: DataFrame, link: str, target_map: DataFrame, part: str = PART) -> DataFrame:
+def drop_orphans(df: DataFrame, link: str, target_map: DataFrame, part: str = PART, fit: bool | None = None) -> DataFrame:
     """Rows whose parent row itself was dropped or collapsed go with it; the rest are ordered by the remapped link."""
     alive = target_map if "survives" in target_map.columns else target_map.withColumn("survives", F.col("new").isNotNull())
     m = alive.select(part, F.col("old").alias(link), F.when(F.col("survives"), F.col("new")).alias("_to"))
     j = df.join(m, [part, link], "left").withColumn("_gone", (F.col(link) >= 0) & F.col("_to").isNull()).withColumn("_to", F.coalesce("_to", F.lit(-1)).cast("long"))
     j = j.select(part, "row_id", F.coalesce("_gone", F.lit(False)).alias("_gone"), (F.col("_to") < 0).alias("_none"), "_to")
-    n = numbered(j, [part, "_gone"], ["_none", "_to", "row_id"], "new")
+    n = numbered(j, [part, "_gone"], ["_none", "_to", "row_id"], "new", fit)
     return n.select(part, F.col("row_id").alias("old"), F.when(~F.col("_gone"), F.col("new")).alias("new"))
 
 
@@ -100,18 +112,19 @@ def renumber(df: DataFrame, own_map: DataFrame, part: str = PART) -> DataFrame:
     return df.join(m, [part, "row_id"]).withColumn("row_id", F.col("_new").cast("long")).drop("_new").select(*df.columns)
 
 
-def grouped_by(df: DataFrame, link: str, part: str = PART) -> bool:
+def grouped_by(df: DataFrame, link: str, part: str = PART, fit: bool | None = None) -> bool:
     """Is the table, in every part, sorted by this link with missing links last?  One aggregation, one boolean."""
     bad = (F.col(link) >= 0) & ((F.col("_prev") < 0) | (F.col("_prev") > F.col(link)))
-    return with_previous(df.select(part, "row_id", link), [part], "row_id", link).where(bad).isEmpty()
+    return with_previous(df.select(part, "row_id", link), [part], "row_id", link, fit=fit).where(bad).isEmpty()
 
 
-def plan_maps(tables: dict[str, DataFrame], registry: dict[str, dict], part: str = PART, max_passes: int = 8) -> dict[str, DataFrame]:
+def plan_maps(tables: dict[str, DataFrame], registry: dict[str, dict], part: str = PART, max_passes: int = 8, fit: bool | None = None) -> dict[str, DataFrame]:
     """A map per table of the registry.
 
     Entries: ``key`` (a key table), ``paste`` (row N belongs to row N of that table), ``sort`` (link to order by), ``dedup`` (columns
     that with the sorted link identify a row), ``follow_drops`` (rows go with their parent), ``links`` {column: (target, kind)}.  Other
-    tables that are grouped by a link on input are ordered by it again, in passes up to a fixed point or ``max_passes``.
+    tables that are grouped by a link on input are ordered by it again, in passes up to a fixed point or ``max_passes``.  Each map is
+    written out once, as several links go by it: three or four columns a row.
     """
     maps: dict[str, DataFrame] = {}
     waiting = [t for t in registry if t in tables]
@@ -123,15 +136,15 @@ def plan_maps(tables: dict[str, DataFrame], registry: dict[str, dict], part: str
             if needs in waiting and needs != name:
                 continue
             if "key" in r:
-                maps[name] = dedup_map(df, r["key"], part)
+                maps[name] = kept(dedup_map(df, r["key"], part, fit), "map")
             elif "paste" in r:
                 maps[name] = follow_parent(df, maps[r["paste"]], part)
             elif sort and r.get("follow_drops"):
-                maps[name] = drop_orphans(df, sort, maps[needs], part)
+                maps[name] = kept(drop_orphans(df, sort, maps[needs], part, fit), "map")
             elif sort and r.get("dedup"):
-                maps[name] = keyed_dedup_map(df, sort, maps[needs], r["dedup"], part)
+                maps[name] = kept(keyed_dedup_map(df, sort, maps[needs], r["dedup"], part, fit), "map")
             elif sort:
-                maps[name] = reorder_map(df, sort, maps[needs], part)
+                maps[name] = kept(reorder_map(df, sort, maps[needs], part, fit), "map")
             else:
                 maps[name] = identity_map(df, part)
             waiting.remove(name)
@@ -142,7 +155,7 @@ def plan_maps(tables: dict[str, DataFrame], registry: dict[str, dict], part: str
     for name, r in registry.items():
         if name in tables and not {"key", "paste", "sort"} & r.keys():
             scalar = [c for c, (t, k) in r.get("links", {}).items() if k == "scalar" and t != name and t in tables]
-            if found := next((c for c in scalar if grouped_by(tables[name], c, part)), None):
+            if found := next((c for c in scalar if grouped_by(tables[name], c, part, fit)), None):
                 free[name] = found
     done: dict[str, int] = {}
     for turn in range(max_passes):
@@ -152,7 +165,7 @@ def plan_maps(tables: dict[str, DataFrame], registry: dict[str, dict], part: str
             break
         for name in now:
             link = free[name]
-            maps[name] = reorder_map(tables[name], link, maps[registry[name]["links"][link][0]], part)
+            maps[name] = kept(reorder_map(tables[name], link, maps[registry[name]["links"][link][0]], part, fit), "map")
             done[name] = turn
     for name, r in registry.items():
         if name in tables and "paste" in r:
@@ -160,9 +173,9 @@ def plan_maps(tables: dict[str, DataFrame], registry: dict[str, dict], part: str
     return maps
 
 
-def rewrite(tables: dict[str, DataFrame], registry: dict[str, dict], part: str = PART, maps: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+def rewrite(tables: dict[str, DataFrame], registry: dict[str, dict], part: str = PART, maps: dict[str, DataFrame] | None = None, fit: bool | None = None) -> dict[str, DataFrame]:
     """All tables sorted, deduplicated and with every link remapped; tables outside the registry pass unchanged."""
-    maps = maps or plan_maps(tables, registry, part)
+    maps = maps or plan_maps(tables, registry, part, fit=fit)
     out = {}
     for name, df in tables.items():
         if name in registry:

@@ -21,6 +21,14 @@ def fits(df: DataFrame, part: list[str]) -> bool:
     return (df.groupBy(*part).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0) <= TASK_ROWS
 
 
+def small(*tables: DataFrame) -> bool | None:
+    """True where the tables together have so few rows that no part of them can be too large; None where parts have to be counted.
+
+    For plain tables the files' own row counts answer, without a scan.
+    """
+    return sum(t.count() for t in tables) <= TASK_ROWS or None
+
+
 def _with_ends(dealt: DataFrame, part: list[str], ends: DataFrame) -> DataFrame:
     """``dealt`` with the columns of ``ends`` (_p, part…, …) for its range and part; null parts equal each other."""
     ends = ends.withColumnsRenamed({c: f"_e_{c}" for c in ("_p", *part)})
@@ -34,10 +42,13 @@ def _earlier(part: list[str]):
     return Window.partitionBy(*(part or [F.lit(0)])).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def numbered(df: DataFrame, part: list[str], order: list[str | Column], name: str) -> DataFrame:
-    """``df`` with ``name``: the position from 0 of each row of a part in ``order``; rows that tie keep one fixed order."""
-    df = table(df, "rows")
-    if fits(df, part):
+def numbered(df: DataFrame, part: list[str], order: list[str | Column], name: str, fit: bool | None = None) -> DataFrame:
+    """``df`` with ``name``: the position from 0 of each row of a part in ``order``.
+
+    Rows that tie in ``order`` may change places when the result is computed anew: order by enough columns, or keep the result in a
+    table.  ``fit``: what ``fits`` says, where that is known.
+    """
+    if fits(df, part) if fit is None else fit:
         w = Window.partitionBy(*(part or [F.lit(0)])).orderBy(*order)
         return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
     dealt = df.repartitionByRange(*part, *order).sortWithinPartitions(*part, *order)

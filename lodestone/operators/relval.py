@@ -20,16 +20,18 @@ def dedup(metrics: DataFrame, order: str) -> DataFrame:
     return metrics.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def default_limits(metrics: DataFrame, overrides: dict[str, float] | None = None) -> DataFrame:
-    """The metric's own threshold as an upper or lower bound, by its direction."""
+def with_default_limits(metrics: DataFrame, overrides: dict[str, float] | None = None) -> DataFrame:
+    """Each metric row with its own threshold as an upper or lower bound, by its direction: adds test, mean, low, high."""
     bound = F.col("threshold")
     for name, value in (overrides or {}).items():
         bound = F.when(F.col("metric") == name, F.lit(value)).otherwise(bound)
-    zero = F.lit(0.0)
-    return metrics.select(
-        "object", "metric", F.lit("threshold_default").alias("test"), bound.alias("mean"),
-        F.when(~F.col("lower_is_better"), zero).alias("low"), F.when(F.col("lower_is_better"), zero).alias("high"),
-    ).distinct()
+    zero, lower = F.lit(0.0), F.col("lower_is_better")
+    return metrics.withColumns({"test": F.lit("threshold_default"), "mean": bound, "low": F.when(~lower, zero), "high": F.when(lower, zero)})
+
+
+def default_limits(metrics: DataFrame, overrides: dict[str, float] | None = None) -> DataFrame:
+    """The default limits as rows of their own, one per object and metric, to be united with other limits."""
+    return with_default_limits(metrics, overrides).select("object", "metric", "test", "mean", "low", "high").distinct()
 
 
 def user_limits(metrics: DataFrame, combine: str = "mean", margin: float = 0.0) -> DataFrame:
@@ -66,9 +68,12 @@ def within(value: Column, lo: Column, hi: Column) -> Column:
     return F.when(lo.isNull() & hi.isNull(), F.lit(None).cast("boolean")).otherwise(F.coalesce(value >= lo, F.lit(True)) & F.coalesce(value <= hi, F.lit(True)))
 
 
-def test(metrics: DataFrame, limits: DataFrame, function: Callable[[Column, Column, Column], Column] = within) -> DataFrame:
-    """Each metric against all limits of its object and name: adds test, mean, passed, n_sigmas."""
-    j = metrics.join(limits, ["object", "metric"])
+def test(metrics: DataFrame, limits: DataFrame | dict[str, float] | None = None, function: Callable[[Column, Column, Column], Column] = within) -> DataFrame:
+    """Each metric against all limits of its object and name: adds test, mean, passed, n_sigmas.
+
+    Without limits, or with overrides {metric: threshold} alone, a row is tested against its own default limits, which takes no join.
+    """
+    j = metrics.join(limits, ["object", "metric"]) if isinstance(limits, DataFrame) else with_default_limits(metrics, limits)
     known = F.col("value").isNotNull() & F.col("mean").isNotNull()
     passed = F.when(known, function(F.col("value"), F.col("mean") - F.col("low"), F.col("mean") + F.col("high")))
     side = F.when(F.col("value") > F.col("mean"), F.col("high")).otherwise(F.col("low"))

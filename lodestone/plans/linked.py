@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import functions as F
 
-from ..operators import checks, links
+from ..operators import checks, durable, links, ranges
 from ..sources import tables as sources
 from .tables import read
 
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
+@lru_cache(16)
+def _small(spark, d):
+    return ranges.small(read(spark, d, "orders"), read(spark, d, "lineitem"))
+
+
+def fit(spark, d):
+    """Are the tables, by their files' row counts, so small that no part needs counting?"""
+    return _small(spark, d)
+
+
 def orders(spark, d):
     o = read(spark, d, "orders").withColumn("df_id", (F.col("o_custkey") % 8).cast("int"))
-    return links.attach_row_id(o, ["o_orderkey"])
+    return links.attach_row_id(o, ["o_orderkey"], fit=fit(spark, d))
 
 
 def lines(spark, d):
@@ -21,7 +33,7 @@ def lines(spark, d):
     o = orders(spark, d).select("df_id", F.col("row_id").alias("_row"), F.col("o_orderkey").alias("l_orderkey"))
     j = read(spark, d, "lineitem").join(o, "l_orderkey")
     j = j.withColumn("order_row", F.when(F.col("l_partkey") % 7 == 0, -1).otherwise(F.col("_row")).cast("long")).drop("_row")
-    return links.attach_row_id(j, LINE_ORDER)
+    return links.attach_row_id(j, LINE_ORDER, fit=fit(spark, d))
 
 
 BASE = """
@@ -37,11 +49,11 @@ o as (
 
 
 def key_dedup_map(spark, d):
-    return links.dedup_map(orders(spark, d), "o_orderdate")
+    return links.dedup_map(orders(spark, d), "o_orderdate", fit=fit(spark, d))
 
 
 def remap_links(spark, d):
-    m = links.dedup_map(orders(spark, d), "o_orderdate")
+    m = links.dedup_map(orders(spark, d), "o_orderdate", fit=fit(spark, d))
     return links.remap(lines(spark, d).select("df_id", "row_id", "order_row"), "order_row", m)
 
 
@@ -57,12 +69,12 @@ def self_link(spark, d):
     o = orders(spark, d)
     back = F.col("row_id") - F.col("o_custkey") % 3 - 1
     o = o.select("df_id", "row_id", "o_orderdate", F.when(back >= 0, back).otherwise(-1).alias("before"))
-    return links.remap(o, "before", links.dedup_map(o, "o_orderdate")).select("df_id", "row_id", "before")
+    return links.remap(o, "before", links.dedup_map(o, "o_orderdate", fit=fit(spark, d))).select("df_id", "row_id", "before")
 
 
 def remap_arrays(spark, d):
     """Per part key the rows of its orders, as an array and as a slice."""
-    m = links.dedup_map(orders(spark, d), "o_orderdate")
+    m = links.dedup_map(orders(spark, d), "o_orderdate", fit=fit(spark, d))
     g = lines(spark, d).groupBy("df_id", F.col("l_partkey").alias("row_id")).agg(
         F.array_sort(F.collect_list("order_row")).alias("rows"), F.struct(F.min("order_row").alias("first"), F.max("order_row").alias("last")).alias("span")
     )
@@ -73,21 +85,21 @@ def remap_arrays(spark, d):
 def event_dedup(spark, d):
     """Orders point to their date's rank as a first table; equal (date, priority) rows collapse."""
     o = orders(spark, d).withColumn("key_row", F.when(F.col("o_custkey") % 11 == 0, -1).otherwise(F.col("row_id")))
-    return links.keyed_dedup_map(o, "key_row", links.dedup_map(o, "o_orderdate"), ["o_orderpriority"])
+    return links.keyed_dedup_map(o, "key_row", links.dedup_map(o, "o_orderdate", fit=fit(spark, d)), ["o_orderpriority"], fit=fit(spark, d))
 
 
 def dependent_drop(spark, d):
-    m = links.dedup_map(orders(spark, d), "o_orderdate")
-    return links.drop_orphans(lines(spark, d), "order_row", m)
+    m = links.dedup_map(orders(spark, d), "o_orderdate", fit=fit(spark, d))
+    return links.drop_orphans(lines(spark, d), "order_row", m, fit=fit(spark, d))
 
 
 def regroup_nulls_last(spark, d):
-    m = links.dedup_map(orders(spark, d), "o_orderdate")
-    return links.reorder_map(lines(spark, d), "order_row", m)
+    m = links.dedup_map(orders(spark, d), "o_orderdate", fit=fit(spark, d))
+    return links.reorder_map(lines(spark, d), "order_row", m, fit=fit(spark, d))
 
 
 def follow_parent(spark, d):
-    m = links.dedup_map(orders(spark, d), "o_orderdate")
+    m = links.dedup_map(orders(spark, d), "o_orderdate", fit=fit(spark, d))
     child = orders(spark, d).select("df_id", "row_id", "o_totalprice").where("df_id <> 3 or row_id > 0")
     return links.follow_parent(child, m)
 
@@ -106,9 +118,9 @@ REGISTRY = {
 
 
 def _tables(spark, d):
-    ln = lines(spark, d)
+    ln = durable.table(lines(spark, d).select("df_id", "row_id", "order_row", "l_quantity", "l_tax", "l_discount"), "lines")  # three tables are made of it
     return {
-        "orders": orders(spark, d).select("df_id", "row_id", "o_orderdate"),
+        "orders": durable.table(orders(spark, d).select("df_id", "row_id", "o_orderdate"), "orders"),
         "lines": ln.select("df_id", "row_id", "order_row", "l_quantity"),
         "extra": ln.select("df_id", "row_id", "l_tax"),
         "tags": ln.where("row_id % 3 = 0").select("df_id", (F.col("row_id") / 3).cast("long").alias("row_id"), F.col("row_id").alias("line_row"), F.col("l_discount").alias("tag")),
@@ -117,20 +129,20 @@ def _tables(spark, d):
 
 def rewrite_tables(spark, d):
     """The whole rewrite: row counts, sums and links of the tables after it."""
-    out = links.rewrite(_tables(spark, d), REGISTRY)
+    out = links.rewrite(_tables(spark, d), REGISTRY, fit=fit(spark, d))
     a = out["lines"].join(out["extra"], ["df_id", "row_id"]).join(out["orders"].select("df_id", F.col("row_id").alias("order_row"), "o_orderdate"), ["df_id", "order_row"], "left")
     t = out["tags"].select("df_id", F.col("line_row").alias("row_id"), "tag", F.col("row_id").alias("tag_row"))
     return a.join(t, ["df_id", "row_id"], "left").select("df_id", "row_id", "order_row", "l_quantity", "l_tax", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "tag", "tag_row")
 
 
 def resort_fixpoint(spark, d):
-    m = links.plan_maps(_tables(spark, d), REGISTRY)["tags"]
+    m = links.plan_maps(_tables(spark, d), REGISTRY, fit=fit(spark, d))["tags"]
     return m.select("df_id", "old", "new")
 
 
 def link_preservation(spark, d):
     before = _tables(spark, d)
-    return checks.link_preservation(before, links.rewrite(before, REGISTRY), REGISTRY)
+    return checks.link_preservation(before, links.rewrite(before, REGISTRY, fit=fit(spark, d)), REGISTRY)
 
 
 def merge_folders(spark, d):
@@ -154,16 +166,16 @@ def _days(df):
 
 
 def monotonic_adjacent(spark, d):
-    return checks.monotonic(_days(read(spark, d, "orders")), "o_orderkey", "day", ["o_orderpriority"])
+    return checks.monotonic(_days(read(spark, d, "orders")), "o_orderkey", "day", ["o_orderpriority"], fit=fit(spark, d))
 
 
 def monotonic_runmax(spark, d):
     o = _days(read(spark, d, "orders")).withColumn("day", F.when(F.col("o_custkey") % 13 == 0, -1).otherwise(F.col("day")))
-    return checks.monotonic_running(o, "o_orderkey", "day", ["o_orderpriority"])
+    return checks.monotonic_running(o, "o_orderkey", "day", ["o_orderpriority"], fit=fit(spark, d))
 
 
 def violation_samples(spark, d):
-    return checks.violation_samples(_days(read(spark, d, "orders")), "o_orderkey", "day", ["o_orderpriority"])
+    return checks.violation_samples(_days(read(spark, d, "orders")), "o_orderkey", "day", ["o_orderpriority"], fit=fit(spark, d))
 
 
 def contiguity(spark, d):

@@ -119,14 +119,14 @@ def hist_flat_names(spark, d):
 
 def relval_verdict(spark, d):
     m = _metrics(spark, d)
-    r = relval.interpret(relval.test(m, relval.default_limits(m)))
+    r = relval.interpret(relval.test(m))
     return rounded(relval.ordered(r.select("object", "metric", "test", "value", "mean", "n_sigmas", "passed", "verdict")), value=6)
 
 
 def result_rows(spark, d):
     """The verdicts written as annotated result objects and read back."""
     m = _metrics(spark, d)
-    r = relval.interpret(relval.test(m, relval.default_limits(m))).select("object", "metric", "verdict")
+    r = relval.interpret(relval.test(m)).select("object", "metric", "verdict")
     path = f"{durable.folder(spark)}/results-{uuid.uuid4().hex}"
     sinks.write_results(r, path, {"release": "next"})
     return sinks.read_results(spark, path, "object string, metric string, verdict string, release string")
@@ -145,24 +145,24 @@ def relval_registered(spark, d):
 def relval_callbacks(spark, d):
     """Verdicts by a function of one's own, and the rows that a condition picks."""
     m = _metrics(spark, d)
-    own = relval.interpret(relval.test(m, relval.default_limits(m)), function=lambda r: F.when(r["passed"], F.lit("SAME")).otherwise(F.lit("DIFFERENT")))
+    own = relval.interpret(relval.test(m), function=lambda r: F.when(r["passed"], F.lit("SAME")).otherwise(F.lit("DIFFERENT")))
     return relval.query(own, lambda r: r["metric"] != "test_chi2").select("object", "metric", "verdict")
 
 
 def relval_noncritical(spark, d):
     m = _metrics(spark, d)
-    r = relval.interpret(relval.test(m, relval.default_limits(m, {"test_num_entries": 0.001})), ["test_chi2"])
+    r = relval.interpret(relval.test(m, {"test_num_entries": 0.001}), ["test_chi2"])
     return r.select("object", "metric", "mean", "passed", "verdict")
 
 
 def relval_summary(spark, d):
     m = _metrics(spark, d)
-    return rounded(relval.summary(relval.interpret(relval.test(m, relval.default_limits(m)))), percent=4)
+    return rounded(relval.summary(relval.interpret(relval.test(m))), percent=4)
 
 
 def relval_matrix(spark, d):
     m = _metrics(spark, d)
-    r = relval.interpret(relval.test(m, relval.default_limits(m)))
+    r = relval.interpret(relval.test(m))
     return relval.matrix(r, "threshold_default", ["test_chi2", "test_kolmogorov", "test_num_entries"])
 
 
@@ -217,7 +217,7 @@ def _year_results(spark, d, year: int) -> DataFrame:
     m = _order_metrics(spark, d).where(F.year("month") == year)
     m = m.groupBy("object", "metric").agg(F.avg("value").alias("value")).withColumn("object", F.concat_ws("/", "object", F.floor(F.col("value") * 40 % 4).cast("string")))
     m = m.select("*", F.lit(True).alias("comparable"), F.lit(1.5).alias("threshold"), F.lit(True).alias("lower_is_better"), F.lit(None).cast("string").alias("note"))
-    return relval.interpret(relval.test(m, relval.default_limits(m)))
+    return relval.interpret(relval.test(m))
 
 
 def relval_diff(spark, d):
