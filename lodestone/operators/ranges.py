@@ -79,3 +79,21 @@ def with_previous(df: DataFrame, part: list[str], order: str, value: str, name:
     if top is not None:
         out = out.withColumn("_top", F.greatest("_so_far", "_above"))
     return out.drop("_p", "_own", "_carried", "_so_far", "_above")
+
+
+def running(df: DataFrame, part: list[str], order: list[str | Column], sums: dict[str, Column], fit: bool | None = None) -> DataFrame:
+    """``df`` with running sums, each row's own value included, over the rows of its part in ``order``.
+
+    Values are never NULL.  ``fit``: what ``fits`` says, where that is known.
+    """
+    if fits(df, part) if fit is None else fit:
+        w = Window.partitionBy(*(part or [F.lit(0)])).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
+    dealt = df.withColumns({f"_v_{n}": c for n, c in sums.items()}).repartitionByRange(*part, *order).sortWithinPartitions(*part, *order)
+    dealt = table(dealt.withColumn("_p", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "dealt")
+    ends = dealt.groupBy("_p", *part).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
+    ends = ends.select("_p", *part, *[F.coalesce(F.sum(f"_t_{n}").over(_earlier(part)), F.lit(0)).alias(f"_b_{n}") for n in sums])
+    inner = Window.partitionBy("_p", *part).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = dealt.withColumns({n: F.sum(f"_v_{n}").over(inner) for n in sums})
+    out = _with_ends(own, part, ends).withColumns({n: F.col(n) + F.col(f"_b_{n}") for n in sums})
+    return out.drop("_p", "_at", *[f"_{k}_{n}" for k in "vb" for n in sums])

@@ -51,6 +51,12 @@ def sliding_median(spark, d):
     return asof.sliding(e, "sec", "value", 3600, ["event_type"], ("median",), "event_id").drop("sec", "value")
 
 
+def sliding_median_wide(spark, d):
+    """Medians over ten days around each event: spans of far more points than are gathered."""
+    e = events(spark, d).select("event_id", "event_type", "sec", "value")
+    return asof.sliding(e, "sec", "value", 432000, ["event_type"], ("median",), "event_id").drop("sec", "value")
+
+
 STEP, MARGIN = 86400, 3600
 
 
@@ -151,6 +157,9 @@ SQL = {
     "sliding_median": f"""with {EV}, p as (select event_type, sec, arg_max(value, event_id) as v from ev group by all),
         x as (select event_type, sec, list_sort(list(v) over (partition by event_type order by sec range between 3600 preceding and 3600 following)) as l from p)
         select event_id, event_type, l[len(l) // 2 + 1] as median from ev join x using (event_type, sec)""",
+    "sliding_median_wide": f"""with {EV}, p as (select event_type, sec, arg_max(value, event_id) as v from ev group by all),
+        x as (select event_type, sec, list_sort(list(v) over (partition by event_type order by sec range between 432000 preceding and 432000 following)) as l from p)
+        select event_id, event_type, l[len(l) // 2 + 1] as median from ev join x using (event_type, sec)""",
     "window_plan": f"with {PW} select * from pw",
     "overlap_assign": f"""with {PW} select run, user_id, half, "window" from lb join pw using (run) where hi >= ws and lo <= we and least(hi, we) - greatest(lo, ws) > margin""",
     "overlap_grazed": f"""with {PW} select run, "window", count(*) as touching, count(*) filter (least(hi, we) - greatest(lo, ws) <= margin) as grazed from lb join pw using (run) where hi >= ws and lo <= we group by all""",
