@@ -183,16 +183,23 @@ def _joined(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") ->
     return a.join(b, match, how).drop(*[f"_k_{k}" for k in keys])
 
 
-_lookups: dict[str, tuple[DataFrame, str, str, list[str]]] = {}
+_lookups: dict[tuple[str, str], tuple[DataFrame, str, str, list[str]]] = {}
+
+
+def _named(df: DataFrame, name: str) -> tuple[str, str]:
+    return df.sparkSession.sparkContext.applicationId, name
 
 
 def register_lookup(name: str, table: DataFrame, on: str, value: str, by: list[str] = ()) -> None:
-    """Name a lookup table for later use by ``lookup``."""
-    _lookups[name] = (table, on, value, list(by))
+    """Name a lookup table for later use by ``lookup`` in the same application."""
+    _lookups[_named(table, name)] = (table, on, value, list(by))
 
 
-def lookup(df: DataFrame, name: str, alias: str) -> DataFrame:
-    table, on, value, by = _lookups[name]
-    return nearest(df, table, on, value, by, out=alias)
+def unregister_lookup(df: DataFrame, name: str) -> None:
+    """Forget a name in the application of ``df``."""
+    _lookups.pop(_named(df, name), None)
 
 
+def lookup(df: DataFrame, name: str, alias: str) -> DataFrame:
+    table, on, value, by = _lookups[_named(df, name)]
+    return nearest(df, table, on, value, by, out=alias)

@@ -29,7 +29,10 @@ def asof_1d(spark, d):
 def asof_nd(spark, d):
     a, b = _two(spark, d)
     asof.register_lookup("by_user", b, "sec", "other", ["user_id"])
-    return asof.lookup(a, "by_user", "nearest")
+    try:
+        return asof.lookup(a, "by_user", "nearest")
+    finally:
+        asof.unregister_lookup(b, "by_user")
 
 
 def _asof_sql(on: str) -> str:
