@@ -215,7 +215,7 @@ def relval_dedup(spark, d):
 
 def _year_results(spark, d, year: int) -> DataFrame:
     m = _order_metrics(spark, d).where(F.year("month") == year)
-    m = m.groupBy("object", "metric").agg(F.avg("value").alias("value")).withColumn("object", F.concat_ws("/", "object", F.floor(F.col("value") * 40 % 4).cast("string")))
+    m = m.groupBy("object", "metric").agg(F.avg("value").alias("value")).withColumn("object", F.concat_ws("/", "object", F.floor(F.round(F.col("value") * 40, 6) % 4).cast("string")))
     m = m.select("*", F.lit(True).alias("comparable"), F.lit(1.5).alias("threshold"), F.lit(True).alias("lower_is_better"), F.lit(None).cast("string").alias("note"))
     return relval.interpret(relval.test(m))
 
@@ -238,7 +238,7 @@ def pattern_filter(spark, d):
 
 
 YEAR = ORDER_METRICS + """, yr as (
-  select object || '/' || floor((avg(value) * 40) % 4)::int as object, metric, avg(value) as value, year(month) as y from metrics where year(month) in (1996, 1997) group by metrics.object, metric, year(month)
+  select object || '/' || floor(round(avg(value) * 40, 6) % 4)::int as object, metric, avg(value) as value, year(month) as y from metrics where year(month) in (1996, 1997) group by metrics.object, metric, year(month)
 ), yres as (
   select distinct y, object, metric, 'threshold_default' as test, case when value <= 1.5 then 'GOOD' else 'BAD' end as verdict from yr
 )"""
