@@ -30,23 +30,31 @@ FANOUT, LEAF = 16, 128
 #: Rounding of distances, as a share of the longest vector.
 SLACK = 1e-6
 
-WHOLE = pa.schema([("row", pa.int64()), ("vec_id", pa.int64()), ("v", pa.binary()), ("norm", pa.int64())])
+WHOLE = pa.schema([("row", pa.int64()), ("vec_id", pa.int64()), ("asked", pa.bool_()), ("v", pa.binary()), ("norm", pa.int64()), ("size", pa.int64())])
+WHOLE_TYPE = "row long, vec_id long, asked boolean, v binary, norm long, size long"
+#: Bytes of a component, as a vector's first byte says: two where all fit, else eight.
+KINDS = {2: "<i2", 8: "<i8"}
+
+
+def encoded(whole: np.ndarray) -> bytes:
+    size = 2 if not len(whole) or int(np.abs(whole).max()) < 1 << 15 else 8
+    return bytes([size]) + whole.astype(KINDS[size]).tobytes()
 
 
 def whole_vectors(scale: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Components times ``scale``, rounded down, as 64-bit numbers without the zeros at the end; unusable vectors are left out."""
+    """Components times ``scale``, rounded down, as whole numbers without the zeros at the end; unusable vectors are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row, name, vector in zip(batch.column("row").to_pylist(), batch.column("vec_id").to_pylist(), batch.column("v"), strict=True):
+            for row, name, asked, vector in zip(*(batch.column(c).to_pylist() for c in ("row", "vec_id", "asked")), batch.column("v"), strict=True):
                 if not vector.is_valid or vector.values.null_count:
                     continue
                 with np.errstate(over="ignore"):
                     x = np.floor(scale * vector.values.to_numpy(zero_copy_only=False).astype(np.float64))
                     if np.isfinite(x).all() and float(x @ x) <= 2.0**62:
-                        whole = np.trim_zeros(x.astype("<i8"), "b")
-                        out.append((row, name, whole.tobytes(), int(whole @ whole)))
+                        whole = np.trim_zeros(x.astype(np.int64), "b")
+                        out.append((row, name, asked, encoded(whole), int(whole @ whole), len(whole)))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(WHOLE)], schema=WHOLE)
 
     return run
@@ -62,7 +70,7 @@ class Space:
     def whole(self, raw: list[bytes]) -> np.ndarray:
         out = np.zeros((len(raw), self.width), np.int64)
         for i, r in enumerate(raw):
-            x = np.frombuffer(r, "<i8")
+            x = np.frombuffer(r, KINDS[r[0]], offset=1)
             out[i, : len(x)] = x
         return out
 
@@ -256,12 +264,11 @@ def mtree_search(vectors: DataFrame, is_query: Column, k: int = 5, scale: int =
     spark = vectors.sparkSession
     asked = F.coalesce(is_query, F.lit(False))
     given = vectors.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"), asked.alias("asked"))
-    given = table(given, "given")
-    rows = table(given.select("row", "vec_id", "v").mapInArrow(whole_vectors(scale), "row long, vec_id long, v binary, norm long"), "rows")
-    longest, width, n = rows.agg(F.max("norm"), F.max(F.octet_length("v")), F.countDistinct("v")).first()
+    rows = table(given.mapInArrow(whole_vectors(scale), WHOLE_TYPE), "rows")
+    longest, width, n = rows.agg(F.max("norm"), F.max("size"), F.countDistinct("v")).first()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    space = Space(max(width // 8, 1), longest)
+    space = Space(max(width, 1), longest)
     # of equal vectors only the k + 1 smallest rows can be answers: cut before the shuffle already
     order = Window.partitionBy("v").orderBy(F.col("vec_id").asc_nulls_last(), "row")
     few = rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)
@@ -280,7 +287,7 @@ def mtree_search(vectors: DataFrame, is_query: Column, k: int = 5, scale: int =
     cover = {r["cell"]: r["cover"] for r in trees.groupBy("cell").agg(F.max("cover").alias("cover")).collect()}
     cover = [cover.get(i, -math.inf) for i in range(len(routes))]
     # queries by different vectors: the answers of k + 1 rows hold those of every row of the vector
-    own = rows.join(given.where("asked").select("row"), "row", "left_semi")
+    own = rows.where("asked")
     queries = dealt.join(own.select("v").distinct(), "v", "left_semi").select("query", "v", F.col("cell").alias("home_cell"), F.col("block").alias("home_block"))
     queries = table(queries, "queries")
     parts = math.ceil(queries.count() / QUERIES) or 1
