@@ -82,11 +82,11 @@ def check_stages(names: DataFrame, needs: DataFrame) -> DataFrame:
     return undefined.unionByName(twice)
 
 
-def _climb(up: DataFrame) -> tuple[DataFrame, int]:
+def _climb(up: DataFrame) -> tuple[DataFrame, dict]:
     """``up(node, up, far)``, one row per node, with ``up`` replaced by the first node above that has no row (or NULL) and ``far`` summed.
 
     Each round doubles the steps taken, so a chain of n nodes takes log2(n) rounds.  Nodes in a ring, and those whose way up ends in one,
-    are left out.  Also returns the number of nodes.
+    are left out.  Also returns how many nodes there were (n) and how many of them don't end at NULL (open).
     """
     for turn in count():
         above = up.select(F.col("node").alias("_n"), F.col("up").alias("_u"), F.col("far").alias("_f"))
@@ -94,9 +94,9 @@ def _climb(up: DataFrame) -> tuple[DataFrame, int]:
         step = up.join(above, F.col("up") == F.col("_n"), "left").select(
             "node", F.when(moved, F.col("_u")).otherwise(F.col("up")).alias("up"), (F.col("far") + F.coalesce("_f", F.lit(0))).alias("far"), moved.alias("moved")
         )
-        up, seen = counted(step, "up", n=F.count(F.lit(1)), moved=F.count_if("moved"))
+        up, seen = counted(step, "up", n=F.count(F.lit(1)), moved=F.count_if("moved"), open=F.count("up"))
         if not seen["moved"] or 1 << turn > seen["n"]:
-            return up.where("not moved").drop("moved"), seen["n"]
+            return up.where("not moved").drop("moved"), seen
 
 
 def closure(edges: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -143,16 +143,16 @@ def _lengths(edges: DataFrame) -> DataFrame:
     while True:
         single = edges.groupBy("dst").agg(F.count("*").alias("n"), F.min("src").alias("up"), F.max("weight").alias("far")).where("n = 1")
         single = single.select(F.col("dst").alias("node"), "up", "far")
-        drawn, n = _climb(single)
-        if not n:
+        drawn, seen = _climb(single)
+        if not seen["n"]:
             break
         above = drawn.select(F.col("node").alias("_n"), F.col("up").alias("_u"), F.col("far").alias("_f"))
         if open_ is not None:  # drawn before, to a node that is drawn now
             moved = open_.join(above, F.col("up") == F.col("_n"), "left")
             moved = moved.select("node", F.when(F.col("_n").isNotNull(), F.col("_u")).otherwise(F.col("up")).alias("up"), (F.col("far") + F.coalesce("_f", F.lit(0))).alias("far"))
-            drawn = table(drawn.unionByName(moved), "drawn")
+            drawn, seen = counted(drawn.unionByName(moved), "drawn", open=F.count("up"))
         done.append(drawn.where("up is null").select("node", F.col("far").alias("length")))
-        open_ = drawn.where("up is not null")
+        open_ = drawn.where("up is not null") if seen["open"] else None
         rest = edges.join(single.select(F.col("node").alias("dst")), "dst", "left_anti").join(above, F.col("src") == F.col("_n"), "left")
         rest = rest.select(F.when(F.col("_n").isNotNull(), F.col("_u")).otherwise(F.col("src")).alias("src"), "dst", (F.col("weight") + F.coalesce("_f", F.lit(0))).alias("weight"))
         edges = table(rest.groupBy("src", "dst").agg(F.max("weight").alias("weight")), "edges")
