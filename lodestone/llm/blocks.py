@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text worked on at once; a longer text is a block of its own.
+#: Bytes of text worked on at once; a longer text is a block of its own, which ``pieces`` cuts.
 BLOCK = 2 << 20
 SEEDS = (7, 11)
 LAST = (1 << 63) - 1
@@ -34,6 +34,18 @@ def blocks(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[l
         yield ids, texts, *more
 
 
+def pieces(batches: Iterator[pa.RecordBatch], overlap: int, *columns: str) -> Iterator[tuple]:
+    """As ``blocks``, with the texts' tags and the place in its text at which each begins: a text of over BLOCK bytes comes as several
+    blocks, cut at multiples of BLOCK, each with ``overlap`` bytes of the next."""
+    for ids, texts, *more in blocks(batches, *columns):
+        tag = tags(texts)
+        if len(texts) > 1 or len(texts[0]) <= BLOCK:
+            yield ids, texts, tag, np.zeros(len(texts), np.int64), *more
+            continue
+        for base in range(0, len(texts[0]), BLOCK):
+            yield ids, [texts[0][base : base + BLOCK + overlap]], tag, np.array([base], np.int64), *more
+
+
 def tags(texts: list[bytes]) -> np.ndarray:
     """31 bits that tell apart different texts under one id."""
     return np.array([zlib.crc32(t) & 0x7FFFFFFF for t in texts], np.int64)

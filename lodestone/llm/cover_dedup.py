@@ -44,8 +44,8 @@ def grams(words: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
-def hits(key: np.ndarray, owner: np.ndarray, docs: np.ndarray, at: np.ndarray, across: bool) -> pa.RecordBatch:
-    """Rows (k, doc, at) to be compared by k.
+def hits(key: np.ndarray, owner: np.ndarray, docs: np.ndarray, at: np.ndarray, across: bool, with_own: bool = False) -> pa.RecordBatch:
+    """Rows (k, doc, at) to be compared by k, and the key of the rows that aren't (own, else null) if ``with_own``.
 
     What the block itself shows to be repeated (over documents, if ``across``) goes straight to its document with the lowest bit of
     ``at`` set, and stands for comparison once: a hot key leaves each block as one row.
@@ -64,7 +64,8 @@ def hits(key: np.ndarray, owner: np.ndarray, docs: np.ndarray, at: np.ndarray, a
     # in the order of the texts, so that a document's rows stay together and compress well
     lone, sure = np.flatnonzero(lone), np.flatnonzero(sure)
     columns = [np.concatenate([signed(key)[lone], by_doc(doc[sure])]), np.concatenate([doc[lone], doc[sure]]), np.concatenate([at[lone], at[sure] | 1])]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=HIT)
+    out = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=HIT)
+    return out.append_column("own", pa.concat_arrays([pa.nulls(len(lone), pa.int64()), pa.array(signed(key)[sure])])) if with_own else out
 
 
 def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

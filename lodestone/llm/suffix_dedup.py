@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import SEEDS, blocks, by_doc, piece_hash, runs, signed, tags
+from .blocks import SEEDS, blocks, by_doc, piece_hash, pieces, runs, signed, tags
 from .common import documents, table
 from .cover_dedup import hits, with_found
 
@@ -48,7 +48,7 @@ def segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     if len(data) < LENGTH:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
     whole = piece_hash(data, PIECE, SEEDS[0])
-    # The place breaks ties towards the left; a block has fewer than 2^28 bytes unless a single text is longer.
+    # The place breaks ties towards the left; a block has fewer than 2^28 bytes.
     least = sliding_min(whole & ~_PLACE | np.arange(len(whole), dtype=np.uint64) & _PLACE, SPREAD)
     owner = np.repeat(np.arange(len(texts)), np.maximum(0, size - LENGTH + 1))
     start = np.arange(len(owner)) - np.concatenate([[0], np.cumsum(np.maximum(0, size - LENGTH + 1))])[owner] + offset[owner]
@@ -60,15 +60,13 @@ def segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
         new[1:] |= owner[1:] != owner[:-1]
         first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(chosen)))
-    anchor = (start[first] & ~np.int64(_PLACE)) | chosen[first]
-    anchor = np.where(anchor < start[first], anchor + int(_PLACE) + 1, anchor)
-    return owner[first], start[first] - offset[owner[first]], count, whole[anchor]
+    return owner[first], start[first] - offset[owner[first]], count, whole[chosen[first]]
 
 
 def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, texts in blocks(batches):
+    for ids, texts, tag, base in pieces(batches, LENGTH - 1):
         owner, start, _, key = segments(texts)
-        out = hits(key, owner, np.array(ids, np.int64), tags(texts)[owner] << 32 | start << 1, False)
+        out = hits(key, owner, np.array(ids, np.int64), tag[owner] << 32 | (start + base[owner]) << 1, False, True)
         # how often the block has the anchor, beside the row that stands for comparison
         k, at = out.column("k").to_numpy(), out.column("at").to_numpy()
         n, lone = np.zeros(len(k), np.int32), at & 1 == 0
@@ -81,7 +79,7 @@ CONTEXT = pa.schema([("k", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()),
 CONTEXT_SQL = "k long, doc long, at long, n int, text binary"
 
 
-def single_strings(texts: list[bytes], docs: np.ndarray, tag: np.ndarray, owner: np.ndarray, start: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+def single_strings(texts: list[bytes], docs: np.ndarray, tag: np.ndarray, base: np.ndarray, owner: np.ndarray, start: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The strings of stretches, each under its own hash (n -1).  Equal strings of the block are sent once, for the earliest place;
     the others are removed whatever else there is (text null)."""
     data = np.frombuffer(b"".join(texts), np.uint8)
@@ -99,7 +97,7 @@ def single_strings(texts: list[bytes], docs: np.ndarray, tag: np.ndarray, owner:
     gone = np.zeros(len(pos), bool)
     for c in np.array_split(copy, len(copy) // 50_000 + 1):
         gone[c] = (view[pos[c]] == view[pos[least[c]]]).all(axis=1)
-    at = tag[who] << 32 | begin << 1
+    at = tag[who] << 32 | (begin + base[who]) << 1
     sent = np.flatnonzero(~gone)
     for c in np.array_split(sent, len(sent) // 50_000 + 1):
         text = pa.Array.from_buffers(pa.binary(LENGTH), len(c), [None, pa.py_buffer(np.ascontiguousarray(view[pos[c]]))]).cast(pa.binary())
@@ -112,28 +110,29 @@ def single_strings(texts: list[bytes], docs: np.ndarray, tag: np.ndarray, owner:
         yield pa.RecordBatch.from_arrays(columns, schema=CONTEXT)
 
 
-def contexts(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The text under the strings of each repeated anchor; the strings of ``hot`` anchors one by one.  Equal texts of a block are sent once, for the earliest place; the strings
-    of the others are removed whatever else there is (text null)."""
-    for ids, texts, found in blocks(batches, "found"):
-        docs, tag = np.array(ids, np.int64), tags(texts)
+def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text under the strings of each repeated anchor; the strings of anchors whose place has its lowest bit set one by one.  Equal
+    texts of a block are sent once, for the earliest place; the strings of the others are removed whatever else there is (text null)."""
+    for ids, texts, tag, base, found in pieces(batches, LENGTH - 1, "found"):
+        docs = np.array(ids, np.int64)
         owner, start, count, key = segments(texts)
         begin = np.searchsorted(owner, np.arange(len(ids) + 1))
-        good = np.zeros(len(owner), bool)
+        good, hot = np.zeros(len(owner), bool), np.zeros(len(owner), bool)
         for n, own in enumerate(found):
             at = np.asarray(own or [], np.int64)
-            at = (at[at >> 32 == tag[n]] & 0xFFFFFFFF) >> 1
-            good[begin[n] : begin[n + 1]] = np.isin(start[begin[n] : begin[n + 1]], at)
-        own = np.flatnonzero(good)
-        if len(hot) and (each := np.isin(signed(key)[own], hot)).any():
-            yield from single_strings(texts, docs, tag, owner[own[each]], start[own[each]], count[own[each]])
-            own = own[~each]
+            at = at[at >> 32 == tag[n]]
+            place, stretch = ((at & 0xFFFFFFFF) >> 1) - base[n], slice(begin[n], begin[n + 1])
+            good[stretch] = np.isin(start[stretch], place)
+            hot[stretch] = np.isin(start[stretch], place[at & 1 == 1])
+        if hot.any():
+            yield from single_strings(texts, docs, tag, base, owner[hot], start[hot], count[hot])
+        own = np.flatnonzero(good & ~hot)
         own = own[np.lexsort((start[own], tag[owner[own]], docs[owner[own]]))]
         seen: dict[tuple, tuple[int, int]] = {}
         out = []
         for o, s, c, k in zip(owner[own].tolist(), start[own].tolist(), count[own].tolist(), signed(key)[own].tolist(), strict=True):
             text = texts[o][s : s + c + LENGTH - 1]
-            doc, at = ids[o], int(tag[o]) << 32 | s << 1
+            doc, at = ids[o], int(tag[o]) << 32 | (s + int(base[o])) << 1
             first = seen.setdefault((k, text), (doc, at))
             if first == (doc, at):
                 out.append((k, doc, at, c, text))
@@ -339,16 +338,15 @@ def remove(with_text: bool):
             for doc, text, own, tag in zip(ids, texts, found, tags(texts).tolist(), strict=True):
                 at = np.array([(x["at"], x["n"]) for x in own or []], np.int64).reshape(-1, 2)
                 at = at[at[:, 0] >> 32 == tag]
-                cover = np.zeros(len(text) + 2, np.int64)
+                spans, kept = 0, text
                 if len(at):
                     start = (at[:, 0] & 0xFFFFFFFF) >> 1
-                    np.add.at(cover, start + 1, 1)
-                    np.add.at(cover, start + at[:, 1] + LENGTH, -1)
-                    gone = np.cumsum(cover)[:-1] > 0  # one place to the right, so that a first byte shows as an edge
-                    spans = int(np.count_nonzero(gone[1:] & ~gone[:-1]))
-                    kept = np.frombuffer(text, np.uint8)[~gone[1:]].tobytes()
-                else:
-                    spans, kept = 0, text
+                    order = np.argsort(start)
+                    start, end = start[order], np.maximum.accumulate((start + at[:, 1] + LENGTH - 1)[order])
+                    head = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
+                    end = end[np.append(head[1:], len(end)) - 1]
+                    spans = len(head)
+                    kept = b"".join(text[a:b] for a, b in zip([0, *end.tolist()], [*start[head].tolist(), len(text)], strict=True))
                 out.append((doc, len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
             columns = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), RESULT, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, schema=RESULT)
@@ -365,15 +363,17 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty table gives an empty result; other columns are ignored.
     """
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = given.mapInArrow(anchors, "k long, doc long, at long, n int")
+    rows = given.mapInArrow(anchors, "k long, doc long, at long, own long, n int")
     # A block sends each of its anchors once, so that the rows of a hot anchor are as many as the blocks.
-    own = Window.partitionBy("k")
-    counted = rows.withColumn("often", F.count("*").over(own) > 1).withColumn("hot", F.when((F.col("n") > 0) & (F.sum("n").over(own) > HOT), F.col("k")))
-    flagged = counted.where((F.col("at").bitwiseAND(F.lit(1)) == 1) | F.col("often") | F.col("hot").isNotNull())
-    flagged = table(flagged.select("doc", "at", "hot"), "anchors")
-    # Fewer than one in HOT anchors of the corpus.
-    hot = np.array(sorted(r.hot for r in flagged.where("hot is not null").select("hot").distinct().collect()), np.int64)
-    spots = with_found(given, flagged.select("doc", "at"), "inner").mapInArrow(lambda batches: contexts(batches, hot), CONTEXT_SQL)
+    all_rows, sure = Window.partitionBy("k"), F.col("at").bitwiseAND(F.lit(1)) == 1
+    counted = rows.withColumn("often", F.count("*").over(all_rows) > 1).withColumn("hot", ~sure & (F.sum("n").over(all_rows) > HOT))
+    flagged = counted.where(sure | F.col("often") | F.col("hot")).select("doc", "at", F.coalesce("own", "k").alias("key"), "hot")
+    flagged = table(flagged, "anchors")
+    # Fewer than one in HOT of all anchors; each place learns by a join whether its own is one.
+    hot = table(flagged.where("hot").select(F.col("key").alias("hot_key")).distinct(), "hot")
+    at = F.col("at").bitwiseAND(F.lit(-2)).bitwiseOR(F.col("hot_key").isNotNull().cast("long"))
+    places = flagged.join(hot, F.col("key") == F.col("hot_key"), "left").select("doc", at.alias("at"))
+    spots = with_found(given, places, "inner").mapInArrow(contexts, CONTEXT_SQL)
     sharded = spots.repartition("k").sortWithinPartitions("k", "doc", "at")
     removed = table(sharded.mapInArrow(compare, "doc long, at long, n long"), "removed")
     own = removed.groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("found"))

@@ -290,13 +290,46 @@ def test_hot_anchors_are_dealt_by_string(spark, monkeypatch):
     got = suffix_dedup.suffix_dedup(spark.createDataFrame(docs[:80], df.schema).repartition(3)).drop("kept").collect()
     assert sorted(map(tuple, got)) == brute_bytes([(d, t.encode()) for d, t in docs[:80]])
     texts = [t.encode() for _, t in docs[:80]]
-    owner, start, count, key = suffix_dedup.segments(texts)
-    found = [[int(x) for x in suffix_dedup.tags(texts)[n] << 32 | start[owner == n] << 1] for n in range(80)]
+    owner, start, _, _ = suffix_dedup.segments(texts)
+    found = [[int(x) for x in suffix_dedup.tags(texts)[n] << 32 | start[owner == n] << 1 | 1] for n in range(80)]
     batch = pa.RecordBatch.from_arrays([pa.array(range(80), pa.int64()), pa.array([t for _, t in docs[:80]]), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "text", "found"])
-    sent = Counter(r["k"] for b in suffix_dedup.contexts(iter([batch]), np.unique(suffix_dedup.signed(key))) for r in b.to_pylist() if r["text"] is not None)
+    sent = Counter(r["k"] for b in suffix_dedup.contexts(iter([batch])) for r in b.to_pylist() if r["text"] is not None)
     assert max(sent.values()) == 1
 
 
+def test_pieces_of_long_texts(monkeypatch):
+    """Cut texts have every start of a string once, under the anchor that the whole text gives it."""
+    rng = random.Random(6)
+    some = ["".join(rng.choice("ab c") for _ in range(n)) for n in (0, 99, 100, 400, 3_950, 1_000, 2_099)]
+
+    def keys(batches):
+        out = {}
+        for ids, texts, tag, base in suffix_dedup.pieces(batches, 99):
+            for o, s, c, k in zip(*map(np.ndarray.tolist, suffix_dedup.segments(texts)), strict=True):
+                for p in range(s + int(base[o]), s + int(base[o]) + c):
+                    assert out.setdefault((ids[o], int(tag[o]), p), k) == k
+                    assert p < len(some[ids[o]]) - 99
+        return out
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(some)), pa.int64()), pa.array(some)], names=["doc_id", "text"])
+    whole = keys(iter([batch]))
+    assert len(whole) == sum(max(0, len(t) - 99) for t in some)
+    monkeypatch.setattr("lodestone.llm.blocks.BLOCK", 1_000)
+    assert keys(iter([batch])) == whole
+
+
+def test_passage_over_the_cut_of_a_long_text(spark):
+    """A text of several blocks: a passage over the cut is found in a later text and within the text, and nothing else."""
+    letters = np.frombuffer(b"abcdefghijklmnop", np.uint8)
+    long = letters[np.random.default_rng(9).integers(0, 16, 4_600_000)].tobytes().decode()
+    cut = 2 << 20
+    passage = long[cut - 300 : cut + 300]
+    docs = [(1, long + "#" + passage), (2, "!" + passage + "!"), (3, "# no copy #" * 5), (4, "#" + long[2 * cut - 60 : 2 * cut + 39]), (5, "?" + long[2 * cut - 60 : 2 * cut + 40])]
+    got = suffix_dedup.suffix_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in got} == {1: (4_600_601, 600, 1), 2: (602, 600, 1), 3: (55, 0, 0), 4: (100, 0, 0), 5: (101, 100, 1)}
+    assert {r["doc_id"]: r["kept_sha256"] for r in got}[1] == hashlib.sha256((long + "#").encode()).hexdigest()
+
+
 def test_strings_across_shards(monkeypatch):
     """One anchor's texts over many small shards: found by binary search among those carried on."""
     monkeypatch.setattr(suffix_dedup, "SHARD", 1000)
