@@ -235,20 +235,33 @@ class Shards:
     def __init__(self) -> None:
         self.rows: list[tuple[int, int, int, int, bytes]] = []
         self.size = 0
-        self.texts: dict[bytes, tuple[int, int]] = {}
+        self.texts: dict[bytes, tuple] = {}
         self.now: int | None = None
+        self.lone: tuple | None = None
         self.key: int | None = None
         self.known = np.zeros(0, f"S{LENGTH}")
 
     def add(self, row) -> list[tuple[int, int, int]]:
-        """Copies of an anchor's text stand in the array once; the later ones' strings all occur in the first."""
+        """Copies of an anchor's text stand in the array once; the later ones' strings all occur in the first.
+
+        The starts of a stretch have their anchor at different offsets, so that no string is twice in it: a text without another one
+        under its anchor has nothing to be compared with and stands in no array.
+        """
         if row[0] != self.now:
-            self.now, self.texts = row[0], {}
-        first = self.texts.setdefault(row[4], row[1:3])
-        if first != row[1:3]:
-            return [(*row[1:3], abs(row[3]))]
+            self.now, self.texts, self.lone = row[0], {}, None
+        first = self.texts.setdefault(row[4], row)
+        if first is not row:
+            return [] if first[1:3] == row[1:3] else [(*row[1:3], abs(row[3]))]
         if row[3] < 0:  # a single string under its own hash
             return []
+        if len(self.texts) == 1:
+            self.lone = row
+            return []
+        out = self.put(self.lone) if self.lone else []
+        self.lone = None
+        return out + self.put(row)
+
+    def put(self, row) -> list[tuple[int, int, int]]:
         out = self.flush() if self.rows and self.size + len(row[4]) > SHARD else []
         self.rows.append(row)
         self.size += len(row[4])
@@ -317,12 +330,12 @@ def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else ((), (), ()))], schema=REMOVED)
 
     for batch in batches:
+        copies = pc.is_null(batch.column("text"))
+        own = batch.filter(copies)
+        yield pa.RecordBatch.from_arrays([own.column(c).cast(pa.int64()) for c in REMOVED.names], schema=REMOVED)
         out = []
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if row[4] is None:
-                out.append((row[1], row[2], row[3]))
-            else:
-                out += shards.add(row)
+        for row in zip(*(c.to_pylist() for c in batch.filter(pc.invert(copies)).columns), strict=True):
+            out += shards.add(row)
         yield done(out)
     yield done(shards.flush())
 
