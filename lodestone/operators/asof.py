@@ -54,24 +54,29 @@ def _moments(rows: DataFrame, x: str, y: str, dx: float, part: list[str]) -> Dat
     """mean and std at each home row of ``rows`` from running sums of the stretch.
 
     Each home row also sends a mark to either end of its span; the marks read the sums there, so that a row costs the same
-    whatever the number of rows in its span.
+    whatever the number of rows in its span.  Where a count shows a stretch with too many points for a task, its running sums go
+    over ranges.
     """
-    keep = [*part, F.col(x).alias("_at")]
+    keep = [*part, F.col(x).alias("_home_x")]
     none = F.lit(None).cast("double")
     points = rows.select(*keep, F.col(x).alias("_x"), F.lit(1).alias("_kind"), F.col(y).cast("double").alias("_y"))
     home = rows.where("_home = _s")
     marks = [home.select(*keep, (F.col(x) + side).alias("_x"), F.lit(kind).alias("_kind"), none.alias("_y")) for side, kind in ((-dx, 0), (dx, 2))]
     every = points.unionByName(marks[0]).unionByName(marks[1])
     # sums around the stretch's mean, which keeps them small
-    d = F.col("_y") - F.avg("_y").over(Window.partitionBy(*part))
-    run = Window.partitionBy(*part).orderBy("_x", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = every.withColumn("_m", F.avg("_y").over(Window.partitionBy(*part))).withColumn("_d", d)
-    sums = sums.select(*part, "_at", "_kind", "_m", F.count("_d").over(run).alias("_n"), F.coalesce(F.sum("_d").over(run), F.lit(0.0)).alias("_s1"), F.coalesce(F.sum(F.col("_d") * F.col("_d")).over(run), F.lit(0.0)).alias("_s2"))
+    fit = fits(rows, part)
+    if fit:
+        every = every.withColumn("_m", F.avg("_y").over(Window.partitionBy(*part)))
+    else:
+        every = _joined(every, rows.groupBy(*part).agg(F.avg(y).alias("_m")), part)
+    d = F.coalesce(F.col("_y") - F.col("_m"), F.lit(0.0))
+    sums = {"_n": F.when(F.col("_kind") == 1, 1).otherwise(0), "_s1": d, "_s2": d * d}
+    sums = running(every, part, ["_x", "_kind"], sums, fit).select(*part, "_home_x", "_kind", "_m", "_n", "_s1", "_s2")
     span = lambda c: F.sum(F.when(F.col("_kind") == 2, F.col(c)).otherwise(-F.col(c)))
-    g = sums.where("_kind <> 1").groupBy(*part, "_at").agg(F.max("_m").alias("_m"), *[span(c).alias(c) for c in ("_n", "_s1", "_s2")])
+    g = sums.where("_kind <> 1").groupBy(*part, "_home_x").agg(F.max("_m").alias("_m"), *[span(c).alias(c) for c in ("_n", "_s1", "_s2")])
     mean = F.try_divide(F.col("_s1"), F.col("_n"))
     var = F.greatest(F.lit(0.0), F.col("_s2") - F.col("_s1") * mean) / F.when(F.col("_n") > 1, F.col("_n") - 1)
-    return g.select(*[c for c in part if c != "_s"], F.col("_at").alias(x), (F.col("_m") + mean).alias("mean"), F.sqrt(var).alias("std"))
+    return g.select(*[c for c in part if c != "_s"], F.col("_home_x").alias(x), (F.col("_m") + mean).alias("mean"), F.sqrt(var).alias("std"))
 
 
 def sliding(

@@ -1,14 +1,32 @@
-"""Sliding medians by both routes, and order statistics by digits, against brute force."""
+"""Sliding medians and moments by both routes, and order statistics by digits, against brute force."""
 
 from __future__ import annotations
 
 import random
+import statistics
 
 import pytest
 
 from lodestone.operators import asof, ranges
 
 
+@pytest.mark.parametrize("task_rows", [10**6, 30])
+def test_sliding_moments(spark, monkeypatch, task_rows):
+    """Stretches of one point and of far more than a task may hold, a null group, points far from zero, an empty table."""
+    monkeypatch.setattr(ranges, "TASK_ROWS", task_rows)
+    rng = random.Random(task_rows)
+    rows = [(g, x, 1e6 + rng.random()) for g, xs in (("a", range(160)), (None, range(-5, 300, 7)), ("b", [9])) for x in xs]
+    d = spark.createDataFrame(rows, "g string, x long, y double").repartition(3)
+    got = {(r["g"], r["x"]): (r["mean"], r["std"]) for r in asof.sliding(d, "x", "y", 10, ["g"]).collect()}
+    assert len(got) == len(rows)
+    for g, x, _ in rows:
+        around = [v for h, z, v in rows if h == g and abs(z - x) <= 10]
+        mean, std = got[g, x]
+        assert mean == pytest.approx(statistics.fmean(around), abs=1e-9)
+        assert std is None if len(around) == 1 else std == pytest.approx(statistics.stdev(around), abs=1e-9)
+    assert asof.sliding(d.limit(0), "x", "y", 10, ["g"]).count() == 0
+
+
 @pytest.mark.parametrize(("gathered", "task_rows"), [(256, 10**6), (3, 10**6), (3, 40)])
 def test_sliding_median(spark, monkeypatch, gathered, task_rows):
     """Groups of different sizes and a null one, equal values, repeated x (the largest value counts), gaps, single points."""
