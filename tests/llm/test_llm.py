@@ -53,6 +53,17 @@ def test_edge_cases(edge, empty, name):
         assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r[0]) for r in EDGE)
 
 
+@pytest.mark.parametrize(("name", "sql"), [("op2", exact_dedup.OP2_SQL), ("op6", quality_rules.OP6_SQL)])
+def test_edge_values(edge, name, sql):
+    """Null, empty, very long, repeated and odd rows give what the SQL gives."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.register("documents", edge.select("doc_id", "text", "lang", "source").toArrow())
+    want = con.execute(sql).df()
+    same(OPERATORS[name](edge).select(*want.columns).toPandas(), want)
+
+
 @pytest.mark.parametrize("name", STAGES)
 def test_stage_edge_cases(edge, empty, name):
     got = STAGES[name](edge)
