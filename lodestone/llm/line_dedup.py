@@ -24,7 +24,7 @@ COUNTER_BITS = 14
 #: Counters, the fullest ones, whose words count as frequent.
 FREQUENT = 64
 #: Sets of more words have signatures of 128 bits.
-LARGE = 64
+LARGE = 96
 #: A band of more sets than this is crowded; all its sets are compared with this many of them first.
 PIVOTS = 16
 ODD_SPACE = "\t\v\f\r"
@@ -48,7 +48,7 @@ def word_order(docs: DataFrame) -> list[int]:
 
     Only 2^COUNTER_BITS numbers come to the driver.
     """
-    words = docs.select(F.explode(F.split(plain(F.col("text")), "\n")).alias("line")).select(F.explode(F.split("line", " ")).alias("w")).where("w <> ''")
+    words = docs.select(F.explode(F.split(F.replace(plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w <> ''")
     found, size = dict(words.groupBy(counter(F.xxhash64("w")).alias("c")).agg(F.count("*").alias("n")).collect()), 1 << COUNTER_BITS
     place = {c: k - (size >> 1) for k, c in enumerate(sorted(range(size), key=lambda c: (found.get(c, 0), c)))}
     return [place[c] for c in range(size)]

@@ -415,6 +415,23 @@ def test_lines_of_hot_words(spark, monkeypatch, frequent):
     assert sorted(map(tuple, got.collect())) == brute_lines(docs)
 
 
+def test_lines_of_one_id_and_of_many_words(spark):
+    """All pairs by Jaccard: rows of one id and of null ids, and sets on both sides of the size from which signatures have 128 bits."""
+    rng, docs = random.Random(8), []
+    for k in range(60):
+        size = rng.choice((12, line_dedup.LARGE - 4, line_dedup.LARGE + 12))
+        words = [[f"t{rng.randint(0, 5)}x{i}" if rng.random() < 0.08 else f"t{i}" for i in range(size + rng.randint(-3, 3))] for _ in range(rng.randint(1, 4))]
+        docs.append((rng.choice((None, rng.randint(-9, 9), k)), f"{k} of its own\n" + "\n".join(map(" ".join, words))))
+    got = line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(5))
+    place = lambda d, i: ((1, 0) if d is None else (0, d), i)
+    every = [(place(d, i), frozenset(x.split())) for d, t in docs for i, x in enumerate(t.split("\n"))]
+    want = []
+    for d, t in docs:
+        gone = [i for i, x in enumerate(t.split("\n")) if any(p < place(d, i) and 5 * len(s & q) >= 4 * len(s | q) for s in [frozenset(x.split())] for p, q in every)]
+        want.append((str(d), t.count("\n") + 1, len(gone), ",".join(map(str, gone))))
+    assert sorted((str(r[0]), *r[1:]) for r in got.collect()) == sorted(want)
+
+
 def test_remove_and_redact(spark):
     text = "alpha beta gamma delta eps zeta eta theta iota kappa"
     d = spark.createDataFrame([(1, f"{text}\nother"), (2, f"keep\n{text} lambda\nmail a@b.c or +1 (743) 555-3824")], "doc_id long, text string")
