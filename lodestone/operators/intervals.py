@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .asof import nearest
-from .durable import table
 from .ranges import fits, with_previous
 
 #: Lengths of stretches are powers of 2 to this power.
@@ -105,16 +104,34 @@ def range_lookup(df: DataFrame, ranges: list[tuple[float, float, int]] | int, ra
     return df.withColumn(out, F.lit(missing) if found is None else found.otherwise(missing))
 
 
+def _stretches(df: DataFrame, lo: str, hi: str) -> DataFrame:
+    """``df`` with a row (_l, _k) for each of the fewest stretches k * 2^l … (k + 1) * 2^l - 1 that make up [lo, hi]: two a length at most."""
+    low, high, level = F.col(lo).cast("long"), F.col(hi).cast("long"), F.col("_l")
+    at = lambda c: F.call_function("shiftright", c, level)
+    rest = F.bitwise_not(F.call_function("shiftleft", F.lit(-1).cast("long"), level))
+    first = at(low) + F.when(low.bitwiseAND(rest) == 0, 0).otherwise(1)
+    last = at(high) - F.when(high.bitwiseAND(rest) == rest, 0).otherwise(1)
+    span = F.coalesce(F.length(F.bin(F.try_subtract(high, low))), F.lit(63))  # no number for a span of over 63 bits
+    cut = df.withColumn("_l", F.explode(F.sequence(F.lit(0), span))).withColumns({"_f": first, "_t": last}).where("_f <= _t")
+    ends = F.array_compact(F.array(F.when(F.col("_f").bitwiseAND(F.lit(1)) == 1, F.col("_f")), F.when(F.col("_t").bitwiseAND(F.lit(1)) == 0, F.col("_t"))))
+    return cut.withColumn("_k", F.explode(ends)).drop("_f", "_t")
+
+
 def run_lookup(df: DataFrame, settings: DataFrame, run: str) -> DataFrame:
     """Settings by run range (lo, hi, setting; closed): of several the one with the highest lo, of those the largest setting.
 
-    Every row of ``df`` comes back once, repeated ones each; NULL where no range holds its run.
+    Every row of ``df`` comes back once, repeated ones each; NULL where no range holds its run.  No pairs of runs and ranges are
+    made: each stretch that some range is made up of keeps its best setting, and each distinct run asks the stretches it lies in, one of
+    each length that occurs.
     """
-    rows = table(df.select(F.struct("*").alias("_whole"), F.col(run).cast("long").alias("_x")).withColumn("_row", F.monotonically_increasing_id()), "rows")
-    kept = settings.where("hi >= lo").select("lo", "hi", "setting")
-    asked = rows.where("_x is not null").select("_row", F.col("_x").alias("ws"), F.col("_x").alias("we"))
-    hit = overlap(kept, asked, inclusive=True).groupBy("_row").agg(F.max(F.struct("lo", "setting"))["setting"].alias("setting"))
-    return rows.join(hit, "_row", "left").select("_whole.*", "setting")
+    rows = df.select(F.struct("*").alias("_whole"), F.col(run).cast("long").alias("_x"))
+    kept = _stretches(settings.where("hi >= lo").select("lo", "hi", "setting"), "lo", "hi")
+    levels = sorted(r[0] for r in kept.select("_l").distinct().collect())  # 64 numbers at most
+    best = kept.groupBy("_l", "_k").agg(F.max(F.struct("lo", "setting")).alias("_best"))
+    asked = rows.select("_x").where("_x is not null").distinct().withColumn("_l", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
+    asked = asked.withColumn("_k", F.call_function("shiftright", "_x", "_l"))
+    hit = asked.join(best, ["_l", "_k"]).groupBy("_x").agg(F.max("_best")["setting"].alias("setting"))
+    return rows.join(hit, "_x", "left").select("_whole.*", "setting")
 
 
 def skim(data: DataFrame, frames: DataFrame, time: str, backward: int = 55, forward: int = 55) -> DataFrame:

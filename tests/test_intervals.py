@@ -67,3 +67,33 @@ def test_lookup_keeps_repeated_rows(spark):
     got = sorted(map(tuple, I.run_lookup(df, s, "run").collect()), key=str)
     assert got == sorted([("x", 5, "b"), ("x", 5, "b"), ("x", 5, "b"), ("y", 50, "all"), ("z", None, None)], key=str)
     assert I.run_lookup(df, s.where("false"), "run").where(F.col("setting").isNull()).count() == 5
+
+
+def test_lookup_against_every_range(spark):
+    rng = random.Random(11)
+    ends = [-(2**63), -(2**40), -9, -1, 0, 1, 6, 7, 8, 64, 1_000, 2**40, 2**63 - 1]
+    s = [(lo := rng.randrange(-300, 300), lo + rng.choice([-1, 0, 1, 2, 5, 7, 8, 63, 64, 500]), f"s{i % 7}") for i in range(90)]
+    s += [(x, y, f"e{x}") for x in ends for y in ends if rng.random() < 0.3] + [(-(2**63), 2**63 - 1, "all"), (5, 9, None)]
+    runs = [*ends, *range(-350, 900), None, 7, 7]
+    got = I.run_lookup(spark.createDataFrame([(r,) for r in runs], "run long"), spark.createDataFrame(s, "lo long, hi long, setting string"), "run").collect()
+    best = lambda r: max((x, v is not None, v or "") for x, y, v in s if x <= r <= y)
+    want = [(r, None if r is None or not best(r)[1] else best(r)[2]) for r in runs]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_lookup_makes_no_pairs(spark):
+    """4,000 repeated runs under 4,000 ranges that hold nearly half of them: no step has a row per run and range."""
+    df = spark.range(40_000).select((F.col("id") % 4_000).alias("run"))
+    s = spark.range(4_000).select(F.col("id").alias("lo"), (F.col("id") + 1_000_000_000).alias("hi"), F.col("id").cast("string").alias("setting"))
+    got = I.run_lookup(df, s, "run")
+    assert [tuple(r) for r in got.where("setting = run").groupBy().agg(F.count("*"), F.countDistinct("run")).collect()] == [(40_000, 4_000)]
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    store = spark._jsparkSession.sharedState().statusStore()
+    done = store.executionsList().last().executionId()
+    values, nodes, most = store.executionMetrics(done), store.planGraph(done).allNodes(), 0
+    for n in range(nodes.size()):
+        metrics = nodes.apply(n).metrics()
+        for m in (metrics.apply(i) for i in range(metrics.size())):
+            if m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                most = max(most, int(values.apply(m.accumulatorId()).replace(",", "")))
+    assert 40_000 <= most < 400_000
