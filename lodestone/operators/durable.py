@@ -25,11 +25,23 @@ def folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{sc.applicationId}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` and read it back: cuts the lineage and fixes what depends on the partitions of a row."""
-    path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` and read it back: cuts the lineage and fixes what depends on the partitions of a row.
+
+    The write's shuffle files are of no further use and are removed when it ends.
+    """
+    spark = df.sparkSession
+    path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def counted(df: DataFrame, name: str, **what: Column) -> tuple[DataFrame, dict]:

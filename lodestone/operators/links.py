@@ -51,7 +51,7 @@ def linked(df: DataFrame, link: str, target_map: DataFrame, part: str = PART) ->
 def reorder_map(df: DataFrame, link: str, target_map: DataFrame, part: str = PART, fit: bool | None = None) -> DataFrame:
     """Stable order by the remapped link, rows without a link last."""
     j = linked(df, link, target_map, part).select(part, "row_id", (F.col("_to") < 0).alias("_none"), "_to")
-    return numbered(j, [part], ["_none", "_to", "row_id"], "new", fit).select(part, F.col("row_id").alias("old"), "new")
+    return numbered(j, [part], ["_none", "_to", "row_id"], "new", fit, ["row_id"]).select(part, F.col("row_id").alias("old"), "new")
 
 
 def keyed_dedup_map(df: DataFrame, link: str, target_map: DataFrame, keys: list[str], part: str = PART, fit: bool | None = None) -> DataFrame:
@@ -70,7 +70,7 @@ def drop_orphans(df: DataFrame, link: str, target_map: DataFrame, part: str = PA
     m = alive.select(part, F.col("old").alias(link), F.when(F.col("survives"), F.col("new")).alias("_to"))
     j = df.join(m, [part, link], "left").withColumn("_gone", (F.col(link) >= 0) & F.col("_to").isNull()).withColumn("_to", F.coalesce("_to", F.lit(-1)).cast("long"))
     j = j.select(part, "row_id", F.coalesce("_gone", F.lit(False)).alias("_gone"), (F.col("_to") < 0).alias("_none"), "_to")
-    n = numbered(j, [part, "_gone"], ["_none", "_to", "row_id"], "new", fit)
+    n = numbered(j, [part, "_gone"], ["_none", "_to", "row_id"], "new", fit, ["row_id"])
     return n.select(part, F.col("row_id").alias("old"), F.when(~F.col("_gone"), F.col("new")).alias("new"))
 
 
@@ -83,6 +83,12 @@ def follow_parent(df: DataFrame, parent_map: DataFrame, part: str = PART) -> Dat
     return j.select(part, F.col("row_id").alias("old"), F.when(F.col("_ok"), F.col("_new")).otherwise(F.col("row_id")).alias("new"))
 
 
+def _pasted(df: DataFrame, parent_map: DataFrame, part: str = PART) -> bool:
+    """Has ``df`` in each part as many rows as the table of ``parent_map``?  One boolean."""
+    own, of = df.groupBy(part).agg(F.count("*").alias("_n")), parent_map.groupBy(part).agg(F.count("*").alias("_m"))
+    return own.join(of, part, "full").where(~F.col("_n").eqNullSafe(F.col("_m"))).isEmpty()
+
+
 def _alive(m: DataFrame):
     return F.col("survives") if "survives" in m.columns else F.col("new").isNotNull()
 
@@ -124,9 +130,25 @@ def plan_maps(tables: dict[str, DataFrame], registry: dict[str, dict], part: str
     Entries: ``key`` (a key table), ``paste`` (row N belongs to row N of that table), ``sort`` (link to order by), ``dedup`` (columns
     that with the sorted link identify a row), ``follow_drops`` (rows go with their parent), ``links`` {column: (target, kind)}.  Other
     tables that are grouped by a link on input are ordered by it again, in passes up to a fixed point or ``max_passes``.  Each map is
-    written out once, as several links go by it: three or four columns a row.
+    written out once, as several links go by it: three or four columns a row.  Unless ``fit``, a pasted table with the rows of its
+    parent goes by the parent's map.
     """
     maps: dict[str, DataFrame] = {}
+    same: dict[str, bool] = {}
+
+    def ordered(make, name: str, link: str) -> DataFrame:
+        """The map by ``link``; numbers by ranges are in a table as they are."""
+        df, to = tables[name], maps[registry[name]["links"][link][0]]
+        whole = fits(df, [part]) if fit is None else fit
+        m = make(df, link, to, part, whole)
+        return kept(m, "map") if whole else m
+
+    def pasted(name: str) -> DataFrame:
+        df, parent = tables[name], maps[registry[name]["paste"]]
+        if name not in same:
+            same[name] = not fit and _pasted(df, parent, part)
+        return parent.select(part, "old", F.when(_alive(parent), F.col("new")).alias("new")) if same[name] else follow_parent(df, parent, part)
+
     waiting = [t for t in registry if t in tables]
     while waiting:
         for name in list(waiting):
@@ -138,13 +160,13 @@ def plan_maps(tables: dict[str, DataFrame], registry: dict[str, dict], part: str
             if "key" in r:
                 maps[name] = kept(dedup_map(df, r["key"], part, fit), "map")
             elif "paste" in r:
-                maps[name] = follow_parent(df, maps[r["paste"]], part)
+                maps[name] = pasted(name)
             elif sort and r.get("follow_drops"):
-                maps[name] = kept(drop_orphans(df, sort, maps[needs], part, fit), "map")
+                maps[name] = ordered(drop_orphans, name, sort)
             elif sort and r.get("dedup"):
                 maps[name] = kept(keyed_dedup_map(df, sort, maps[needs], r["dedup"], part, fit), "map")
             elif sort:
-                maps[name] = kept(reorder_map(df, sort, maps[needs], part, fit), "map")
+                maps[name] = ordered(reorder_map, name, sort)
             else:
                 maps[name] = identity_map(df, part)
             waiting.remove(name)
@@ -165,16 +187,19 @@ def plan_maps(tables: dict[str, DataFrame], registry: dict[str, dict], part: str
             break
         for name in now:
             link = free[name]
-            maps[name] = kept(reorder_map(tables[name], link, maps[registry[name]["links"][link][0]], part, fit), "map")
+            maps[name] = ordered(reorder_map, name, link)
             done[name] = turn
     for name, r in registry.items():
         if name in tables and "paste" in r:
-            maps[name] = follow_parent(tables[name], maps[r["paste"]], part)
+            maps[name] = pasted(name)
     return maps
 
 
 def rewrite(tables: dict[str, DataFrame], registry: dict[str, dict], part: str = PART, maps: dict[str, DataFrame] | None = None, fit: bool | None = None) -> dict[str, DataFrame]:
-    """All tables sorted, deduplicated and with every link remapped; tables outside the registry pass unchanged."""
+    """All tables sorted, deduplicated and with every link remapped; tables outside the registry pass unchanged.
+
+    Unless ``fit``, each new table is written out, so that no more than the shuffles of one stay on disk at a time.
+    """
     maps = maps or plan_maps(tables, registry, part, fit=fit)
     out = {}
     for name, df in tables.items():
@@ -183,6 +208,7 @@ def rewrite(tables: dict[str, DataFrame], registry: dict[str, dict], part: str =
                 if target in maps:
                     df = remap(df, link, maps[target], kind, part)
             df = renumber(df, maps[name], part)
+            df = df if fit else kept(df, "rewritten")
         out[name] = df
     return out
 

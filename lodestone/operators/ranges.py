@@ -30,8 +30,11 @@ def small(*tables: DataFrame) -> bool | None:
 
 
 def _with_ends(dealt: DataFrame, part: list[str], ends: DataFrame) -> DataFrame:
-    """``dealt`` with the columns of ``ends`` (_p, part…, …) for its range and part; null parts equal each other."""
-    ends = ends.withColumnsRenamed({c: f"_e_{c}" for c in ("_p", *part)})
+    """``dealt`` with the columns of ``ends`` (_p, part…, …) for its range and part; null parts equal each other.
+
+    ``ends`` is written out, so that its size is known before the join and ``dealt`` isn't shuffled for it.
+    """
+    ends = table(ends, "ends").withColumnsRenamed({c: f"_e_{c}" for c in ("_p", *part)})
     match = F.col("_p") == F.col("_e__p")
     for c in part:
         match = match & F.col(c).eqNullSafe(F.col(f"_e_{c}"))
@@ -42,20 +45,24 @@ def _earlier(part: list[str]):
     return Window.partitionBy(*(part or [F.lit(0)])).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def numbered(df: DataFrame, part: list[str], order: list[str | Column], name: str, fit: bool | None = None) -> DataFrame:
+def numbered(df: DataFrame, part: list[str], order: list[str | Column], name: str, fit: bool | None = None, keep: list[str] | None = None) -> DataFrame:
     """``df`` with ``name``: the position from 0 of each row of a part in ``order``.
 
     Rows that tie in ``order`` may change places when the result is computed anew: order by enough columns, or keep the result in a
-    table.  ``fit``: what ``fits`` says, where that is known.
+    table.  ``fit``: what ``fits`` says, where that is known.  ``keep``: the columns of the result besides ``part`` and ``name``, all
+    where it isn't given.  By ranges only these are written out, and the result is that table with one small one joined to it.
     """
+    columns = df.columns if keep is None else [*part, *keep]
+    columns = [F.col(f"`{c}`") for c in columns if c != name]
     if fits(df, part) if fit is None else fit:
         w = Window.partitionBy(*(part or [F.lit(0)])).orderBy(*order)
-        return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
+        out = df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
+        return out if keep is None else out.select(*columns, name)
     dealt = df.repartitionByRange(*part, *order).sortWithinPartitions(*part, *order)
-    dealt = table(dealt.withColumn("_p", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    dealt = table(dealt.select(*columns, F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_at")), "numbered")
     ends = dealt.groupBy("_p", *part).agg(F.count("*").alias("_n"), F.min("_at").alias("_from"))
     ends = ends.select("_p", *part, (F.coalesce(F.sum("_n").over(_earlier(part)), F.lit(0)) - F.col("_from")).alias("_move"))
-    return _with_ends(dealt, part, ends).withColumn(name, F.col("_at") + F.col("_move")).select(*[F.col(f"`{c}`") for c in df.columns if c != name], name)
+    return _with_ends(dealt, part, ends).withColumn(name, F.col("_at") + F.col("_move")).select(*columns, name)
 
 
 def with_previous(df: DataFrame, part: list[str], order: str, value: str, name: str = "_prev", top: Column | None = None, fit: bool | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import checks, durable, links, ranges
@@ -23,17 +24,36 @@ def fit(spark, d):
     return _small(spark, d)
 
 
-def orders(spark, d):
+def orders(spark, d, columns=None):
+    """Orders with all their ``columns`` or those named."""
     o = read(spark, d, "orders").withColumn("df_id", (F.col("o_custkey") % 8).cast("int"))
-    return links.attach_row_id(o, ["o_orderkey"], fit=fit(spark, d))
+    return links.attach_row_id(o.select("df_id", *columns) if columns else o, ["o_orderkey"], fit=fit(spark, d))
 
 
-def lines(spark, d):
-    """Lines with ``order_row``, -1 for every seventh part key; the row number follows all columns."""
-    o = orders(spark, d).select("df_id", F.col("row_id").alias("_row"), F.col("o_orderkey").alias("l_orderkey"))
-    j = read(spark, d, "lineitem").join(o, "l_orderkey")
-    j = j.withColumn("order_row", F.when(F.col("l_partkey") % 7 == 0, -1).otherwise(F.col("_row")).cast("long")).drop("_row")
-    return links.attach_row_id(j, LINE_ORDER, fit=fit(spark, d))
+def _starts(o, ln):
+    """``o`` with the number of the first of each order's lines; None if an order has more lines than a task may sort."""
+    n, seen = durable.counted(ln.groupBy("l_orderkey").agg(F.count("*").alias("_n")), "counts", most=F.max("_n"))
+    if (seen["most"] or 0) > ranges.TASK_ROWS:
+        return None
+    n = o.join(n, "l_orderkey", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    return ranges.running(n, ["df_id"], ["_row"], {"_end": F.col("_n")}).withColumn("_start", F.col("_end") - F.col("_n")).drop("_n", "_end")
+
+
+def lines(spark, d, o=None):
+    """Lines with ``order_row``, -1 for every seventh part key; the row number follows all columns.
+
+    In large tables lines are numbered within their order, from the number of its first line on: they are shuffled once.  ``o``: the
+    numbered orders, where they are at hand.
+    """
+    o, ln = (o or orders(spark, d, ["o_orderkey"])).select("df_id", F.col("row_id").alias("_row"), F.col("o_orderkey").alias("l_orderkey")), read(spark, d, "lineitem")
+    starts = None if fit(spark, d) else _starts(o, ln)
+    j = ln.join(o if starts is None else starts, "l_orderkey")
+    j = j.withColumn("order_row", F.when(F.col("l_partkey") % 7 == 0, -1).otherwise(F.col("_row")).cast("long"))
+    if starts is None:
+        return links.attach_row_id(j.drop("_row"), LINE_ORDER, fit=fit(spark, d))
+    w = Window.partitionBy("df_id", "l_orderkey")
+    at = F.min("_start").over(w) + F.row_number().over(w.orderBy(*LINE_ORDER[1:], "_row")) - 1
+    return j.withColumn("row_id", at.cast("long")).drop("_row", "_start")
 
 
 BASE = """
@@ -118,9 +138,10 @@ REGISTRY = {
 
 
 def _tables(spark, d):
-    ln = durable.table(lines(spark, d).select("df_id", "row_id", "order_row", "l_quantity", "l_tax", "l_discount"), "lines")  # three tables are made of it
+    o = durable.table(orders(spark, d, ["o_orderkey", "o_orderdate"]), "orders")
+    ln = durable.table(lines(spark, d, o).select("df_id", "row_id", "order_row", "l_quantity", "l_tax", "l_discount"), "lines")  # three tables are made of it
     return {
-        "orders": durable.table(orders(spark, d).select("df_id", "row_id", "o_orderdate"), "orders"),
+        "orders": o.select("df_id", "row_id", "o_orderdate"),
         "lines": ln.select("df_id", "row_id", "order_row", "l_quantity"),
         "extra": ln.select("df_id", "row_id", "l_tax"),
         "tags": ln.where("row_id % 3 = 0").select("df_id", (F.col("row_id") / 3).cast("long").alias("row_id"), F.col("row_id").alias("line_row"), F.col("l_discount").alias("tag")),
@@ -130,9 +151,10 @@ def _tables(spark, d):
 def rewrite_tables(spark, d):
     """The whole rewrite: row counts, sums and links of the tables after it."""
     out = links.rewrite(_tables(spark, d), REGISTRY, fit=fit(spark, d))
-    a = out["lines"].join(out["extra"], ["df_id", "row_id"]).join(out["orders"].select("df_id", F.col("row_id").alias("order_row"), "o_orderdate"), ["df_id", "order_row"], "left")
     t = out["tags"].select("df_id", F.col("line_row").alias("row_id"), "tag", F.col("row_id").alias("tag_row"))
-    return a.join(t, ["df_id", "row_id"], "left").select("df_id", "row_id", "order_row", "l_quantity", "l_tax", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "tag", "tag_row")
+    a = out["lines"].join(out["extra"], ["df_id", "row_id"]).join(t, ["df_id", "row_id"], "left")
+    o = out["orders"].select("df_id", F.col("row_id").alias("order_row"), "o_orderdate")
+    return a.join(o, ["df_id", "order_row"], "left").select("df_id", "row_id", "order_row", "l_quantity", "l_tax", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "tag", "tag_row")
 
 
 def resort_fixpoint(spark, d):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +105,73 @@ def test_twice_is_once(after):
 
 def test_grouped_table_is_sorted_again(after):
     assert column(after["cluster"], "fIndexFwd") == sorted(column(after["cluster"], "fIndexFwd"))
+
+
+def _disk(spark):
+    """Bytes in Spark's own files, and values (rows by columns) in the application's tables."""
+    from urllib.parse import urlparse
+
+    import pyarrow.parquet as pq
+    from lodestone.operators import durable
+
+    own = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    found = [pq.read_metadata(f) for f in Path(urlparse(durable.folder(spark)).path).rglob("*.parquet")]
+    return sum(own.apply(i).length() for i in range(own.size()) if own.apply(i).getName().startswith("shuffle_")), sum(m.num_rows * m.num_columns for m in found)
+
+
+def _settled(spark, most):
+    """Bytes of Spark's own files once they are down to ``most``, or after ten seconds."""
+    for _ in range(50):
+        if (now := _disk(spark)[0]) <= most:
+            break
+        time.sleep(0.2)
+    return now
+
+
+def test_tables_leave_no_shuffle_files(spark):
+    from lodestone.operators import durable
+
+    before = _disk(spark)[0]
+    t = durable.table(spark.range(100_000).withColumn("k", F.xxhash64("id")).repartition(4, "k"), "shuffled")
+    assert t.count() == 100_000 and _settled(spark, before + 10_000) <= before + 10_000
+
+
+def test_rewrite_of_large_parts(spark, duck, monkeypatch):
+    """Parts dealt by ranges: the rows of the SQL, with few values written and no shuffle files left by the way."""
+    from conftest import DATA, same
+    from lodestone.operators import ranges
+    from lodestone.plans import linked
+
+    monkeypatch.setattr(ranges, "TASK_ROWS", 50)
+    linked._small.cache_clear()
+    before = _disk(spark)
+    try:
+        assert not linked.fit(spark, DATA)
+        q = linked.rewrite_tables(spark, DATA)
+        left = _settled(spark, before[0] + 20_000)
+        written = _disk(spark)[1] - before[1]
+        same(q.toPandas(), duck.execute(linked.SQL["rewrite_tables"]).df())
+    finally:
+        linked._small.cache_clear()
+    assert left <= before[0] + 20_000
+    assert written < 35 * 6_000
+
+
+def test_lines_of_repeated_and_missing_orders(spark, tmp_path, monkeypatch):
+    """Orders of equal keys in two parts and in one, orders without lines, lines without orders, and an order too large for a task."""
+    import duckdb
+    from conftest import DATA, same
+    from lodestone.operators import ranges
+    from lodestone.plans import linked
+
+    con = duckdb.connect()
+    con.execute(f"copy (select * from '{DATA}/orders.parquet' where o_orderkey % 5 > 0 union all select * replace (o_custkey + 1 as o_custkey) from '{DATA}/orders.parquet' where o_orderkey % 7 = 0) to '{tmp_path}/orders.parquet'")
+    con.execute(f"copy (select * from '{DATA}/lineitem.parquet' where l_orderkey % 4 > 0 union all select * replace (11 as l_orderkey) from '{DATA}/lineitem.parquet' where l_orderkey < 20) to '{tmp_path}/lineitem.parquet'")
+    for t in ("orders", "lineitem"):
+        con.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet'")
+    want = con.execute(f"with {linked.BASE} select df_id::int as df_id, row_id, order_row, l_orderkey, l_linenumber, l_partkey, l_extendedprice from l").df()
+    for rows in (100, 10):
+        monkeypatch.setattr(ranges, "TASK_ROWS", rows)
+        linked._small.cache_clear()
+        same(linked.lines(spark, str(tmp_path)).select(*want.columns).toPandas(), want)
+    linked._small.cache_clear()
